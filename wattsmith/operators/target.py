@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rowwise import row_mean, row_std, safe_ratio
@@ -88,10 +88,11 @@ def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS) -> Da
     The window is partitioned by segment, so one segment's whole series is sorted in
     one task: this form is for bounded segments; the join forms are the default.
     """
-    part = [k for k in keys if k != "datetime"]
-    iv = F.expr(f"INTERVAL {h} HOURS")
-    w = Window.partitionBy(*part).orderBy("datetime").rangeBetween(-iv, -iv)
-    return history.withColumn(f"target_{h}h", F.first("target").over(w))
+    part = ", ".join(k for k in keys if k != "datetime")
+    frame = f"INTERVAL {h} HOURS PRECEDING"
+    return history.withColumn(f"target_{h}h", F.expr(
+        f"first(target) OVER (PARTITION BY {part} ORDER BY datetime "
+        f"RANGE BETWEEN {frame} AND {frame})"))
 
 
 def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "fused",

@@ -118,13 +118,14 @@ def bundle(spark: SparkSession, sf_dir: str) -> TableBundle:
 # by NEW_BUMP so that "newest wins" is visible in the result.
 CUT_OLD = "2024-01-27 00:00:00"
 CUT_NEW = "2024-01-25 00:00:00"
-NEW_BUMP = 1000.0
+NEW_BUMP = 1000
 
 
 def split_batches(df: DataFrame, time_col: str, measures: list[str]) -> tuple[DataFrame, DataFrame]:
     t = F.col(time_col).cast("timestamp_ntz")
     old = df.filter(t < F.lit(CUT_OLD).cast("timestamp_ntz"))
+    types = dict(df.dtypes)
     new = df.filter(t >= F.lit(CUT_NEW).cast("timestamp_ntz")).select(
-        *[(F.col(f"`{c}`") + F.lit(NEW_BUMP)).alias(c) if c in measures else F.col(f"`{c}`")
-          for c in df.columns])
+        *[(F.col(f"`{c}`") + F.lit(NEW_BUMP)).cast(types[c]).alias(c) if c in measures
+          else F.col(f"`{c}`") for c in df.columns])
     return old, new
