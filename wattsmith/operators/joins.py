@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +43,25 @@ def row_width_bytes(df: DataFrame) -> int:
     return max(8, sum(_WIDTHS.get(f.dataType.typeName(), 32) for f in df.schema.fields))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's reliable checkpoint folder and return the reread.
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/wattsmith-tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "side") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder; return the reread.
 
-    Used for small derived tables (weather means, sums) that several joins reuse:
-    they are computed once, their lineage is cut (a lost executor re-reads the
-    checkpoint instead of re-aggregating the weather), and their size is known.
+    Used for small derived tables (weather means, sums, snapshots) that several
+    joins reuse: they are computed once in one job, their lineage is cut (a lost
+    executor re-reads the files instead of re-aggregating the weather), and the
+    reread carries real size statistics.
     """
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def fits_broadcast(small: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> bool:

@@ -26,6 +26,7 @@ DEFAULTS = {
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -42,7 +43,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in DEFAULTS.items():
-        if k != "spark.ui.enabled":
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
