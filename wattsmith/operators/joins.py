@@ -64,13 +64,11 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def fits_broadcast(small: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> bool:
-    """True when the (materialised) ``small`` measures under ``budget_bytes``.
-
-    The count stops at the row budget + 1, so the check is bounded work.
-    """
-    max_rows = max(1, budget_bytes // row_width_bytes(small))
-    return small.limit(max_rows + 1).count() <= max_rows
+def bounded_count(small: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> int:
+    """Rows of ``small``, counted only up to what the budget could ever admit + 1
+    (bounded work even when the side turns out big)."""
+    cap = max(1, budget_bytes // 8)
+    return small.limit(cap + 1).count()
 
 
 def maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
@@ -79,12 +77,23 @@ def maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
 
 
 class SmallSide:
-    """A materialised join side plus its measured broadcast decision."""
+    """A materialised join side, its row count, and the broadcast decision.
+
+    ``derive`` makes a side from this one (a filter, a projection, a small fold)
+    whose row count is bounded by ``row_factor`` times this one's, so its broadcast
+    decision needs no further job.
+    """
 
     def __init__(self, df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES,
-                 materialized: bool = False):
-        self.df = df if materialized else materialize(df)
-        self.broadcast = fits_broadcast(self.df, budget_bytes)
+                 materialized: bool = False, rows: int | None = None, name: str = "side"):
+        self.df = df if materialized else materialize(df, name)
+        self.budget_bytes = budget_bytes
+        self.rows = bounded_count(self.df, budget_bytes) if rows is None else rows
+        self.broadcast = self.rows * row_width_bytes(self.df) <= budget_bytes
+
+    def derive(self, fn, row_factor: int = 1) -> "SmallSide":
+        return SmallSide(fn(self.df), self.budget_bytes, materialized=True,
+                         rows=self.rows * row_factor)
 
     def side(self, transform=None) -> DataFrame:
         df = transform(self.df) if transform else self.df

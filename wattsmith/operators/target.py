@@ -63,6 +63,42 @@ def lag_table(history: DataFrame, keys: list[str], lags: list[int], name: str) -
         *[F.max(F.when(F.col("lag") == h, F.col("target"))).alias(f"{name}_{h}h") for h in lags])
 
 
+def sum_lag_table(history: DataFrame, lags: list[int] = SUM_LAGS) -> DataFrame:
+    """Lagged sums at both aggregation levels from one pass over the history.
+
+    History rows are fanned out to their ``len(lags)`` future positions, then one
+    grouping-sets aggregation yields, per (county, is_business, is_consumption,
+    datetime) [``level`` 0] and per (is_business, is_consumption, datetime)
+    [``level`` 1], the column ``v_{h}`` = sum of the targets ``h`` hours earlier:
+    0 when that hour has rows whose targets are all NULL, NULL when it has no rows.
+    Partial aggregation combines map-side, so hot keys never reach one task whole.
+    """
+    part = ["county", "is_business", "is_consumption"]
+    shifted = F.explode(F.array(*[
+        F.struct(F.lit(h).alias("lag"),
+                 (F.col("datetime") + F.make_dt_interval(F.lit(0), F.lit(h))).alias("ts"))
+        for h in lags])).alias("s")
+    fanned = history.select(*part, "target", shifted).select(
+        *part, F.col("s.ts").alias("datetime"), F.col("s.lag").alias("lag"), "target")
+    at = {h: F.col("lag") == h for h in lags}
+    return (fanned.groupingSets([TYPE_SUM_KEYS, COUNTY_TYPE_SUM_KEYS], *TYPE_SUM_KEYS)
+            .agg(*[F.when(F.count(F.when(at[h], 1)) > 0,
+                          F.coalesce(F.sum(F.when(at[h], F.col("target"))), F.lit(0.0)))
+                   .alias(f"v_{h}") for h in lags],
+                 F.grouping("county").alias("level")))
+
+
+def sum_sides(history: DataFrame, lags: list[int] = SUM_LAGS):
+    """(type-sum side, county-type-sum side), both derived from one materialised table."""
+    table = SmallSide(sum_lag_table(history, lags), name="target_sums")
+    type_side = table.derive(lambda d: d.filter(F.col("level") == 0).select(
+        *TYPE_SUM_KEYS, *[F.col(f"v_{h}").alias(f"target_all_type_sum_{h}h") for h in lags]))
+    county_side = table.derive(lambda d: d.filter(F.col("level") == 1).select(
+        *COUNTY_TYPE_SUM_KEYS,
+        *[F.col(f"v_{h}").alias(f"target_all_county_type_sum_{h}h") for h in lags]))
+    return type_side, county_side
+
+
 def join_lags_fused(features: DataFrame, history: DataFrame, keys: list[str], lags: list[int],
                     name: str, small: bool = False) -> DataFrame:
     table = lag_table(history, keys, lags, name)
@@ -104,12 +140,11 @@ def add_target_features(features: DataFrame, history: DataFrame, strategy: str =
         features = join_lags_plain(features, history, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")
     else:
         raise ValueError(f"unknown lag strategy {strategy!r}")
-    # The two sums are small (hours x counties x 4 and hours x 4): fold their lags,
-    # materialise, and broadcast when the measured size allows.
-    features = join_lags_fused(features, type_sum(history), TYPE_SUM_KEYS, SUM_LAGS,
-                               "target_all_type_sum", small=True)
-    features = join_lags_fused(features, county_type_sum(history), COUNTY_TYPE_SUM_KEYS,
-                               SUM_LAGS, "target_all_county_type_sum", small=True)
+    # The two sums are small (hours x counties x 4 and hours x 4): one materialised
+    # table holds both with their lags; each is broadcast when its size allows.
+    type_side, county_side = sum_sides(history)
+    features = features.join(type_side.side(), on=TYPE_SUM_KEYS, how="left")
+    features = features.join(county_side.side(), on=COUNTY_TYPE_SUM_KEYS, how="left")
     stats = [F.col(f"target_{h}h") for h in STATS_LAGS]
     cols = {"target_mean": row_mean(stats), "target_std": row_std(stats)}
     if ratios:

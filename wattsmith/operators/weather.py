@@ -25,7 +25,8 @@ def measures(df: DataFrame) -> list[str]:
 
 def station_side(station_map: DataFrame) -> SmallSide:
     """The station map, materialised once and broadcast if its size allows."""
-    return SmallSide(cast_latlon(station_map).select("longitude", "latitude", "county"))
+    return SmallSide(cast_latlon(station_map).select("longitude", "latitude", "county"),
+                     name="stations")
 
 
 def map_stations(weather: DataFrame, stations: SmallSide | DataFrame) -> DataFrame:
@@ -63,6 +64,32 @@ def local_mean(weather: DataFrame) -> DataFrame:
             .agg(*[F.avg(f"`{m}`").alias(m) for m in measures(weather)]))
 
 
+def hourly_means(weather: DataFrame) -> DataFrame:
+    """Global and per-county hourly means in one pass (grouping sets).
+
+    ``level`` 1 rows are the global means (county aggregated away), ``level`` 0 the
+    per-county means; the level-0 row of unmapped stations (NULL county) is
+    dropped, as the local mean ignores them.
+    """
+    ms = measures(weather)
+    out = (weather.groupingSets([["datetime"], ["county", "datetime"]], "county", "datetime")
+           .agg(*[F.avg(f"`{m}`").alias(m) for m in ms], F.grouping("county").alias("level")))
+    return out.filter((F.col("level") == 1) | F.col("county").isNotNull())
+
+
+def means_side(weather: DataFrame, name: str) -> SmallSide:
+    """Materialise ``hourly_means`` once; global and local sides derive from it."""
+    return SmallSide(hourly_means(weather), name=name)
+
+
+def global_side(means: SmallSide) -> SmallSide:
+    return means.derive(lambda d: d.filter(F.col("level") == 1).drop("county", "level"))
+
+
+def local_side(means: SmallSide) -> SmallSide:
+    return means.derive(lambda d: d.filter(F.col("level") == 0).drop("level"))
+
+
 def join_lagged(features: DataFrame, side: SmallSide, keys: list[str], lags: list[int],
                 suffix_fmt: str, transform=None) -> DataFrame:
     for h in lags:
@@ -76,9 +103,8 @@ def join_lagged(features: DataFrame, side: SmallSide, keys: list[str], lags: lis
 
 def add_forecast_features(features: DataFrame, forecast: DataFrame, stations,
                           horizon=FORECAST_HORIZON, lags=FORECAST_LAGS) -> DataFrame:
-    fw = forecast_with_county(forecast, stations, horizon)
-    g = SmallSide(global_mean(fw))
-    loc = SmallSide(local_mean(fw))
+    means = means_side(forecast_with_county(forecast, stations, horizon), "forecast_means")
+    g, loc = global_side(means), local_side(means)
     for h in lags:
         features = join_lagged(features, g, ["datetime"], [h], "_forecast_{h}h")
         features = join_lagged(features, loc, ["county", "datetime"], [h], "_forecast_local_{h}h")
@@ -93,9 +119,8 @@ def morning_only(df: DataFrame) -> DataFrame:
 
 def add_historical_features(features: DataFrame, historical: DataFrame, stations,
                             lags=HISTORICAL_LAGS) -> DataFrame:
-    hw = historical_with_county(historical, stations)
-    g = SmallSide(global_mean(hw))
-    loc = SmallSide(local_mean(hw))
+    means = means_side(historical_with_county(historical, stations), "historical_means")
+    g, loc = global_side(means), local_side(means)
     for h in lags:
         features = join_lagged(features, g, ["datetime"], [h], "_historical_{h}h")
         features = join_lagged(features, loc, ["county", "datetime"], [h],

@@ -148,6 +148,11 @@ def historical_local_mean(spark, sf):
     return rounded(wx.local_mean(_hw(spark, sf)))
 
 
+def forecast_means_grouping_sets(spark, sf):
+    """Global + local forecast means from one grouping-sets pass (level 1 = global)."""
+    return rounded(wx.hourly_means(_fw(spark, sf)))
+
+
 def _weather_join(spark, sf, step):
     base = _base(spark, sf)
     out = step(base)
@@ -156,31 +161,31 @@ def _weather_join(spark, sf, step):
 
 
 def forecast_global_lags(spark, sf):
-    side = wx.SmallSide(wx.global_mean(_fw(spark, sf)))
+    side = wx.global_side(wx.means_side(_fw(spark, sf), "forecast_means"))
     return _weather_join(spark, sf, lambda b: wx.join_lagged(
         b, side, ["datetime"], wx.FORECAST_LAGS, "_forecast_{h}h"))
 
 
 def forecast_local_lags(spark, sf):
-    side = wx.SmallSide(wx.local_mean(_fw(spark, sf)))
+    side = wx.local_side(wx.means_side(_fw(spark, sf), "forecast_means"))
     return _weather_join(spark, sf, lambda b: wx.join_lagged(
         b, side, ["county", "datetime"], wx.FORECAST_LAGS, "_forecast_local_{h}h"))
 
 
 def historical_global_lags(spark, sf):
-    side = wx.SmallSide(wx.global_mean(_hw(spark, sf)))
+    side = wx.global_side(wx.means_side(_hw(spark, sf), "historical_means"))
     return _weather_join(spark, sf, lambda b: wx.join_lagged(
         b, side, ["datetime"], wx.HISTORICAL_LAGS, "_historical_{h}h"))
 
 
 def historical_local_lags(spark, sf):
-    side = wx.SmallSide(wx.local_mean(_hw(spark, sf)))
+    side = wx.local_side(wx.means_side(_hw(spark, sf), "historical_means"))
     return _weather_join(spark, sf, lambda b: wx.join_lagged(
         b, side, ["county", "datetime"], wx.HISTORICAL_LAGS, "_historical_local_{h}h"))
 
 
 def historical_lag24_morning(spark, sf):
-    side = wx.SmallSide(wx.global_mean(_hw(spark, sf)))
+    side = wx.global_side(wx.means_side(_hw(spark, sf), "historical_means"))
     return _weather_join(spark, sf, lambda b: wx.join_lagged(
         b, side, ["datetime"], [wx.HISTORICAL_MORNING_LAG], "_historical_{h}h",
         transform=wx.morning_only))
@@ -233,15 +238,14 @@ def target_lags_plain(spark, sf):
 
 
 def target_type_sum_lags(spark, sf):
-    out = tgt.join_lags_fused(_base(spark, sf), tgt.type_sum(_history(spark, sf)),
-                              tgt.TYPE_SUM_KEYS, tgt.SUM_LAGS, "target_all_type_sum", small=True)
+    side, _ = tgt.sum_sides(_history(spark, sf).select(*tgt.SEGMENT_TIME_KEYS, "target"))
+    out = _base(spark, sf).join(side.side(), on=tgt.TYPE_SUM_KEYS, how="left")
     return rounded(out.select("row_id", *_lag_cols(out, "target_all_type_sum", tgt.SUM_LAGS)))
 
 
 def target_county_type_sum_lags(spark, sf):
-    out = tgt.join_lags_fused(_base(spark, sf), tgt.county_type_sum(_history(spark, sf)),
-                              tgt.COUNTY_TYPE_SUM_KEYS, tgt.SUM_LAGS,
-                              "target_all_county_type_sum", small=True)
+    _, side = tgt.sum_sides(_history(spark, sf).select(*tgt.SEGMENT_TIME_KEYS, "target"))
+    out = _base(spark, sf).join(side.side(), on=tgt.COUNTY_TYPE_SUM_KEYS, how="left")
     return rounded(out.select("row_id", *_lag_cols(out, "target_all_county_type_sum",
                                                    tgt.SUM_LAGS)))
 
@@ -416,6 +420,7 @@ def registry() -> dict:
         "forecast_global_mean": forecast_global_mean, "forecast_local_mean": forecast_local_mean,
         "historical_global_mean": historical_global_mean,
         "historical_local_mean": historical_local_mean,
+        "forecast_means_grouping_sets": forecast_means_grouping_sets,
         "forecast_global_lags": forecast_global_lags, "forecast_local_lags": forecast_local_lags,
         "historical_global_lags": historical_global_lags,
         "historical_local_lags": historical_local_lags,

@@ -480,6 +480,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT h.datetime, {', '.join(R('h.' + m, m) for m in HISTORICAL_MEASURES)}, "
             "s.county FROM historical_weather h LEFT JOIN station_map s ON "
             "CAST(h.longitude AS FLOAT) = s.longitude AND CAST(h.latitude AS FLOAT) = s.latitude"),
+        "forecast_means_grouping_sets": with_ctes(
+            f"SELECT NULL::INT AS county, datetime, {fm}, 1 AS level FROM fg "
+            f"UNION ALL SELECT county, datetime, {fm}, 0 AS level FROM fl"),
         "forecast_horizon": _sel("fw", f"datetime, {fm}, county"),
         "forecast_all_horizons": _sel("fw_all", f"datetime, {fm}, county"),
         "forecast_global_mean": _sel("fg", f"datetime, {fm}"),
