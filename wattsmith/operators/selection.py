@@ -42,38 +42,83 @@ def pearson(x: Column, y: Column) -> Column:
 
 
 def corr_with_target(df: DataFrame, target: str = "target") -> DataFrame:
-    """``(feature, corr)`` for every column but ``target``: one aggregation pass
-    (partial aggregates combine map-side), then the single result row is unpivoted."""
+    """``(feature, corr)`` for every column but ``target``.
+
+    Each row is unpivoted to ``(feature, x, target)`` and grouped by feature: a
+    grouped aggregate of three moments that combines map-side, so the shuffle
+    carries one partial row per feature per task whatever the row count.
+    """
     num = numeric_view(df)
     feats = [c for c in num.columns if c != target]
-    y = F.col(target)
-    row = num.agg(*[pearson(F.col(f"`{c}`"), y).alias(f"c{i}") for i, c in enumerate(feats)])
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr"))
-        for i, c in enumerate(feats)])).alias("s")
-    return row.select(stacked).select("s.feature", "s.corr")
-
-
-def corr_matrix(df: DataFrame, block: int = 120) -> DataFrame:
-    """Long-form pairwise-complete correlation matrix ``(feature_a, feature_b, corr)``
-    for a <= b. Pairs are aggregated in blocks of ``block`` so each pass stays a
-    codegen-sized aggregation; every pass is a distributed one-row aggregate."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("x")) for c in feats]))
+    long = num.select(F.col(target).alias("_y"), pairs.alias("s")).select(
+        "s.feature", "s.x", "_y")
+    return long.groupBy("feature").agg(pearson(F.col("x"), F.col("_y")).alias("corr"))
+
+
+def _gram_partials(cols: list[str], shift: list[float]):
+    """Per-partition moment sums for every column pair (a <= b), with NumPy.
+
+    Values are shifted by the column means first (exact in the formulas, and a
+    constant column becomes exactly 0). For each pair, sums run over the rows
+    where both are present: n, sum a, sum b, sum a^2, sum b^2, sum a*b.
+    """
+    import numpy as np
+    import pandas as pd
+
+    k = len(cols)
+    ia, ib = np.triu_indices(k)
+    c = np.asarray(shift, dtype="float64")
+
+    def run(batches):
+        nn = np.zeros((k, k)); sa = np.zeros((k, k)); saa = np.zeros((k, k)); sab = np.zeros((k, k))
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - c
+            m = (~np.isnan(x)).astype("float64")
+            z = np.where(m > 0, x, 0.0)
+            nn += m.T @ m
+            sa += z.T @ m            # [a, b]: sum of a over rows where a and b are present
+            saa += (z * z).T @ m
+            sab += z.T @ z
+        yield pd.DataFrame({"a": ia, "b": ib, "n": nn[ia, ib], "sa": sa[ia, ib],
+                            "sb": sa[ib, ia], "saa": saa[ia, ib], "sbb": saa[ib, ia],
+                            "sab": sab[ia, ib]})
+    return run
+
+
+def corr_matrix(df: DataFrame) -> DataFrame:
+    """Pairwise-complete Pearson matrix in long form ``(feature_a, feature_b, corr)``,
+    one row per unordered pair (names in alphabetical order) and per diagonal cell.
+
+    Each task folds its rows into k x k moment sums with matrix products, emits one
+    row per pair, and Spark adds the partials per pair (a shuffle of k(k+1)/2 rows
+    per task, independent of the row count). Column means for the shift come from
+    one aggregate first. Pairs with zero variance on either side give NULL.
+    """
     num = numeric_view(df)
     cols = num.columns
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    parts = []
-    for s in range(0, len(pairs), block):
-        chunk = pairs[s:s + block]
-        row = num.agg(*[pearson(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"p{k}")
-                        for k, (a, b) in enumerate(chunk)])
-        parts.append(row.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                     F.col(f"p{k}").alias("corr"))
-            for k, (a, b) in enumerate(chunk)])).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    means = num.agg(*[F.avg(f"`{c}`") for c in cols]).first()
+    shift = [0.0 if v is None else float(v) for v in means]
+    schema = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
+    parts = num.mapInPandas(_gram_partials(cols, shift), schema)
+    tot = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in
+                                        ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n")
+    ma, mb = F.col("sa") / n, F.col("sb") / n
+    va = F.col("saa") / n - ma * ma
+    vb = F.col("sbb") / n - mb * mb
+    cov = F.col("sab") / n - ma * mb
+    # Shifted sums leave rounding noise where a variance is mathematically 0.
+    tiny_a = va <= F.lit(1e-12) * (F.col("saa") / n)
+    tiny_b = vb <= F.lit(1e-12) * (F.col("sbb") / n)
+    corr = F.when((n > 0) & ~tiny_a & ~tiny_b, cov / F.sqrt(va * vb))
+    names = F.array(*[F.lit(c) for c in cols])
+    na, nb = F.element_at(names, F.col("a") + 1), F.element_at(names, F.col("b") + 1)
+    # Each unordered pair once, named in alphabetical order.
+    return tot.select(F.least(na, nb).alias("feature_a"), F.greatest(na, nb).alias("feature_b"),
+                      F.when(corr.isNotNull(), F.least(F.greatest(corr, F.lit(-1.0)),
+                                                       F.lit(1.0))).alias("corr"))
 
 
 def rank_by_abs_corr(corr: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ order) compares equal; FLOAT results are left as computed.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -407,6 +408,115 @@ def mae_baseline(spark, sf):
         F.count(F.lit(1)).alias("n")))
 
 
+# --- matrix, index, round trips, stream (A9 full, P17, S12-S16, U8) ----------------
+
+def corr_matrix_q(spark, sf):
+    return rounded(sel.corr_matrix(_train(spark, sf)))
+
+
+def categorical_index(spark, sf):
+    """StringIndexer (frequency order, ties alphabetical) fitted on the training rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    df = _train(spark, sf).select("row_id", *[F.col(c).cast("string").alias(c)
+                                               for c in S.CATEGORICAL_COLS])
+    model = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_index",
+                                           handleInvalid="keep")
+                             for c in S.CATEGORICAL_COLS]).fit(df)
+    return model.transform(df).select("row_id", *[f"{c}_index" for c in S.CATEGORICAL_COLS])
+
+
+def _scratch(spark, name):
+    from ..operators.joins import scratch_path
+    return scratch_path(spark, name)
+
+
+def features_roundtrip(spark, sf):
+    """Feature table written as Parquet (partitioned by year, month) and read back."""
+    from ..sources.readers import read_features, write_features
+    path = _scratch(spark, "features")
+    write_features(_train(spark, sf), path, partition_by=["year", "month"])
+    return read_features(spark, path)
+
+
+def stream_update(spark, sf):
+    """The target update run as a stream: v=0 is the old batch, the new batch arrives
+    as files, one availableNow run merges it (newest wins) into v=1."""
+    from ..streaming.updates import latest_version, start_update_stream, write_version
+    old, new = batches(spark, sf, "target")
+    root = _scratch(spark, "stream")
+    write_version(old, f"{root}/table", 0)
+    new.write.mode("overwrite").parquet(f"{root}/incoming")
+    q = start_update_stream(spark, f"{root}/incoming", new.schema, S.UPDATE_KEYS["target"],
+                            f"{root}/table", f"{root}/checkpoint")
+    q.awaitTermination()
+    return rounded(spark.read.parquet(latest_version(spark, f"{root}/table")))
+
+
+def _model_rows(spark, sf):
+    return _train(spark, sf)
+
+
+def assemble(spark, sf):
+    """The assembled model input (sentinel-filled numerics + indexed segment)."""
+    from pyspark.ml.functions import vector_to_array
+    from .training import build_pipeline
+    df = _model_rows(spark, sf)
+    pipe = build_pipeline(df)
+    prep = Pipeline(stages=pipe.getStages()[:-1]).fit(df)
+    return prep.transform(df).select("row_id", vector_to_array("features").alias("features"))
+
+
+def gbt_predict(spark, sf):
+    from .training import fit, predict
+    df = _model_rows(spark, sf)
+    return predict(fit(df), df)
+
+
+def gbt_predict_cat(spark, sf):
+    from .training import fit, predict
+    df = _model_rows(spark, sf)
+    return predict(fit(df, categorical=True), df)
+
+
+def cv_mae(spark, sf):
+    from .training import cross_validate
+    return cross_validate(_model_rows(spark, sf).withColumn(
+        "datetime", F.make_timestamp_ntz(F.col("year"), F.col("month"), F.col("day"),
+                                         F.lit(0), F.lit(0), F.lit(0))))
+
+
+def score_new(spark, sf):
+    """Fit on the old rows, apply a new batch of every table, score the test rows."""
+    from .training import fit, predict
+    b = fx.bundle(spark, sf)
+    cut = F.lit(fx.CUT_OLD).cast("timestamp_ntz")
+    old_b = b.with_tables(data=b.data.filter(F.col("datetime") < cut),
+                          target=b.target.filter(F.col("datetime") < cut))
+    model = fit(FeatureBuilder(old_b).generate(old_b.data))
+    new_target = b.target.filter(F.col("datetime") >= cut)
+    updated = upd.update_tables(old_b, new_target=new_target)
+    test = (b.data.filter(F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
+            .drop("target"))
+    return predict(model, FeatureBuilder(updated).generate(test, has_target=False))
+
+
+def runs_table(spark, sf):
+    """Fit, score, save the model and append a run record; return that record."""
+    from pyspark.sql.functions import col
+    from .runs import log_run, read_runs, save_model
+    from .training import QUICK, fit, mae
+    df = _model_rows(spark, sf)
+    model = fit(df)
+    err = mae(model.transform(df)).first()["mae"]
+    root = _scratch(spark, "runs")
+    path = save_model(model, f"{root}/model")
+    run_id = log_run(spark, f"{root}/runs", "gbt", QUICK | {"n_features": 60, "is_holiday": True},
+                     {"mean_absolute_error": err}, {"experiment": "gbt"}, df, path)
+    return read_runs(spark, f"{root}/runs").filter(col("run_id") == run_id).select(
+        "run_id", "model", "params", "metrics", "tags", "model_path")
+
+
 def registry() -> dict:
     q = {
         "scan_energy": scan_energy, "scan_client": scan_client, "scan_gas": scan_gas,
@@ -442,6 +552,10 @@ def registry() -> dict:
         "corr_with_target": corr_with_target_q, "corr_ranked": corr_ranked,
         "topk_features": topk_features, "categorical_as_string": categorical_as_string,
         "ts_folds": ts_folds, "mae_baseline": mae_baseline,
+        "corr_matrix": corr_matrix_q, "categorical_index": categorical_index,
+        "features_roundtrip": features_roundtrip, "stream_update": stream_update,
+        "assemble": assemble, "gbt_predict": gbt_predict, "gbt_predict_cat": gbt_predict_cat,
+        "cv_mae": cv_mae, "score_new": score_new, "runs_table": runs_table,
     }
     for name in ["client", "gas_prices", "electricity_prices", "forecast_weather",
                  "historical_weather", "target"]:

@@ -438,6 +438,34 @@ def update_sql(name):
                      {"batches": _batches_sql(name), "ranked_b": ranked})
 
 
+def corr_matrix_sql():
+    feats = [c for c in _feature_columns() if c != "row_id"]
+    items = []
+    for i, a in enumerate(feats):
+        for b in feats[i:]:
+            items.append(f"{{'feature_a': '{a}', 'feature_b': '{b}', "
+                         f"'corr': corr({_as_double(a)}, {_as_double(b)})}}")
+    body = f"""SELECT least(s.feature_a, s.feature_b) AS feature_a,
+  greatest(s.feature_a, s.feature_b) AS feature_b,
+  CASE WHEN isnan(s.corr) THEN NULL ELSE s.corr END AS corr
+FROM (SELECT unnest(l) AS s FROM (SELECT [{', '.join(items)}] AS l FROM feats))"""
+    return (f"WITH feats AS ({features_sql(False)}), c AS ({body}) "
+            "SELECT feature_a, feature_b, round(corr, 6) + 0.0 AS corr FROM c")
+
+
+def categorical_index_sql():
+    cats = ["county", "is_business", "product_type", "is_consumption", "segment"]
+    ctes = [f"feats AS ({features_sql(False)})"]
+    joins, cols = [], []
+    for c in cats:
+        ctes.append(f"""i_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS idx
+  FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM feats GROUP BY 1))""")
+        joins.append(f"JOIN i_{c} ON CAST(f.{c} AS VARCHAR) = i_{c}.v")
+        cols.append(f"i_{c}.idx AS {c}_index")
+    return ("WITH " + ", ".join(ctes) + f" SELECT f.row_id, {', '.join(cols)} FROM feats f "
+            + " ".join(joins))
+
+
 def _sel(view, cols):
     return with_ctes(f"SELECT {cols} FROM {view}")
 
@@ -547,4 +575,8 @@ def oracle_sql() -> dict[str, str]:
     }
     for name in UPDATE_SPECS:
         out[f"update_{name}"] = update_sql(name)
+    out["stream_update"] = update_sql("target")
+    out["features_roundtrip"] = features_sql(False)
+    out["corr_matrix"] = corr_matrix_sql()
+    out["categorical_index"] = categorical_index_sql()
     return out
