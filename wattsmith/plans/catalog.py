@@ -454,7 +454,10 @@ def stream_update(spark, sf):
 
 
 def _model_rows(spark, sf):
-    return _train(spark, sf)
+    """Training features with the time helpers kept (folds order by datetime); the
+    model stage leaves datetime/date/hour/dayofyear out of its inputs."""
+    b = fx.bundle(spark, sf)
+    return FeatureBuilder(b).generate(b.data, drop_helpers=False)
 
 
 def assemble(spark, sf):
@@ -481,9 +484,7 @@ def gbt_predict_cat(spark, sf):
 
 def cv_mae(spark, sf):
     from .training import cross_validate
-    return cross_validate(_model_rows(spark, sf).withColumn(
-        "datetime", F.make_timestamp_ntz(F.col("year"), F.col("month"), F.col("day"),
-                                         F.lit(0), F.lit(0), F.lit(0))))
+    return cross_validate(_model_rows(spark, sf))
 
 
 def score_new(spark, sf):
