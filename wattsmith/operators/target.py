@@ -27,6 +27,10 @@ RATIOS = [
     ("target_all_county_type_sum", 24 * 7, 24 * 14),
 ]
 SEGMENT_TIME_KEYS = ["county", "is_business", "product_type", "is_consumption", "datetime"]
+# Join/group key order for the lag join: hour first, the same order the rows are
+# clustered in when they come out of an hourly aggregation, so the lag table's
+# own aggregation already satisfies the join and adds no exchange.
+LAG_JOIN_KEYS = ["datetime", "county", "is_business", "product_type", "is_consumption"]
 TYPE_SUM_KEYS = ["county", "is_business", "is_consumption", "datetime"]
 COUNTY_TYPE_SUM_KEYS = ["is_business", "is_consumption", "datetime"]
 # ---------------------------------------------------------------------------
@@ -59,7 +63,7 @@ def lag_table(history: DataFrame, keys: list[str], lags: list[int], name: str) -
         for h in lags])).alias("s")
     fanned = history.select(*part, "target", shifted).select(
         *part, F.col("s.ts").alias("datetime"), F.col("s.lag").alias("lag"), "target")
-    return fanned.groupBy(*part, "datetime").agg(
+    return fanned.groupBy(*keys).agg(
         *[F.max(F.when(F.col("lag") == h, F.col("target"))).alias(f"{name}_{h}h") for h in lags])
 
 
@@ -135,7 +139,7 @@ def add_target_features(features: DataFrame, history: DataFrame, strategy: str =
                         ratios: bool = True) -> DataFrame:
     history = history.select(*SEGMENT_TIME_KEYS, "target")
     if strategy == "fused":
-        features = join_lags_fused(features, history, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")
+        features = join_lags_fused(features, history, LAG_JOIN_KEYS, TARGET_LAGS, "target")
     elif strategy == "plain":
         features = join_lags_plain(features, history, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")
     else:

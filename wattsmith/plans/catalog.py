@@ -227,7 +227,7 @@ def _lag_cols(df, prefix, lags):
 
 
 def target_lags(spark, sf):
-    out = tgt.join_lags_fused(_base(spark, sf), _history(spark, sf), tgt.SEGMENT_TIME_KEYS,
+    out = tgt.join_lags_fused(_base(spark, sf), _history(spark, sf), tgt.LAG_JOIN_KEYS,
                               tgt.TARGET_LAGS, "target")
     return rounded(out.select("row_id", *_lag_cols(out, "target", tgt.TARGET_LAGS)))
 

@@ -81,8 +81,19 @@ class FeatureBuilder:
         """
         with_target = "target" in rows.columns
         df = rows.withColumn("date", F.col("datetime").cast("date"))
-        for step in (self.general, self.client, self.forecast, self.historical, self.target):
-            df = step(df)
+        df = self.general(df)
+        order = {"general": df.columns}
+        # The target lags are the one join whose right side grows with the data
+        # (a shuffle join at scale), so it runs first, while the rows are narrow;
+        # every later join is a broadcast and adds columns map-side.
+        df = self.target(df)
+        order["target"] = [c for c in df.columns if c not in order["general"]]
+        df = self.client(df)
+        df = self.forecast(df)
+        df = self.historical(df)
+        seen = set(order["general"]) | set(order["target"])
+        rest = [c for c in df.columns if c not in seen]
+        df = df.select(*[F.col(f"`{c}`") for c in order["general"] + rest + order["target"]])
         df = downcast_floats(df)
         holidays = self.holidays if self.holidays is not None else \
             holiday_dates(rows.select(F.year("datetime").alias("year")), country=country)
