@@ -81,3 +81,14 @@ def test_easter_and_ee_holidays(spark):
     assert dt.date(2024, 2, 24) in days and dt.date(2024, 3, 29) in days    # Good Friday
     assert dt.date(2024, 5, 19) in days and dt.date(2024, 12, 24) in days   # Pentecost, Xmas Eve
     assert len(days) == 12
+
+
+def test_holiday_expression_equals_table(spark):
+    days = spark.range(0, 366 * 30).select(
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    table = cal.holiday_dates(days.select(F.year("date").alias("year")))
+    joined = days.join(table.withColumn("t", F.lit(True)), "date", "left").select(
+        "date", F.coalesce("t", F.lit(False)).alias("t"), cal.is_ee_holiday(F.col("date")).alias("e"))
+    assert joined.filter(F.col("t") != F.col("e")).count() == 0
+    in_range = table.join(days, "date", "left_semi")
+    assert joined.filter("e").count() == in_range.count() > 300

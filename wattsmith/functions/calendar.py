@@ -87,6 +87,20 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, month, day)
 
 
+def is_ee_holiday(date: Column) -> Column:
+    """Whether ``date`` is an Estonian public holiday, as a column expression (no
+    table, no join, no extra pass): fixed (month, day) pairs with their first year,
+    or a day at a fixed offset from that year's Easter Sunday."""
+    y, m, d = F.year(date), F.month(date), F.dayofmonth(date)
+    fixed = [(m == mm) & (d == dd) & (F.lit(True) if since is None else y >= F.lit(since))
+             for mm, dd, since in EE_FIXED_HOLIDAYS]
+    off = F.datediff(date, easter_sunday(y))
+    cond = off.isin(*EE_EASTER_OFFSETS)
+    for c in fixed:
+        cond = cond | c
+    return F.coalesce(cond, F.lit(False))
+
+
 def holiday_dates(years: DataFrame, year_col: str = "year", country: str = "EE") -> DataFrame:
     """``(date)`` rows: every holiday of ``country`` in each year of ``years``.
 

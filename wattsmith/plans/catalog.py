@@ -304,6 +304,13 @@ def holiday_flag(spark, sf):
         base.select(F.year("datetime").alias("year")))).select("row_id", "is_holiday")
 
 
+def holiday_expr(spark, sf):
+    """The same flag from the per-row expression (what the feature build uses)."""
+    base = _base(spark, sf)
+    return base.select("row_id", cal.is_ee_holiday(F.col("datetime").cast("date"))
+                       .alias("is_holiday"))
+
+
 def segment_numeric_q(spark, sf):
     return _base(spark, sf).select("row_id", segment_numeric(cal.segment_column())
                                    .alias("segment_numeric"))
@@ -547,6 +554,7 @@ def registry() -> dict:
         "calendar_features": calendar_features, "segment_key": segment_key,
         "cyclic_features": cyclic_features, "feature_date": feature_date,
         "holiday_calendar": holiday_calendar, "holiday_flag": holiday_flag,
+        "holiday_expr": holiday_expr,
         "segment_numeric": segment_numeric_q, "downcast_float": downcast_float,
         "features_train": features_train, "features_test": features_test,
         "union_batches": union_batches_q,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import add_general_features, holiday_dates
+from ..functions.calendar import add_general_features, is_ee_holiday
 from ..operators.client import add_client_features
 from ..operators.joins import SmallSide
 from ..operators.target import add_target_features
@@ -95,9 +95,12 @@ class FeatureBuilder:
         rest = [c for c in df.columns if c not in seen]
         df = df.select(*[F.col(f"`{c}`") for c in order["general"] + rest + order["target"]])
         df = downcast_floats(df)
-        holidays = self.holidays if self.holidays is not None else \
-            holiday_dates(rows.select(F.year("datetime").alias("year")), country=country)
-        df = add_holiday_flag(df, holidays)
+        if self.holidays is not None:
+            df = add_holiday_flag(df, self.holidays)
+        elif country == "EE":
+            df = df.withColumn("is_holiday", is_ee_holiday(F.col("date")))
+        else:
+            raise ValueError(f"no built-in calendar for {country!r}; pass holidays=")
         if drop_helpers:
             df = df.drop(*DROPPED_HELPERS)
         if with_target and has_target:

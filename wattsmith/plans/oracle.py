@@ -557,6 +557,9 @@ def oracle_sql() -> dict[str, str]:
         "holiday_flag": with_ctes("SELECT row_id, (CAST(datetime AS DATE) IN (SELECT date FROM holidays)) "
                                   "AS is_holiday FROM base",
                                   {"holiday_rows": DERIVED["base"], "holidays": EE_HOLIDAY_SQL}),
+        "holiday_expr": with_ctes("SELECT row_id, (CAST(datetime AS DATE) IN (SELECT date FROM holidays)) "
+                                  "AS is_holiday FROM base",
+                                  {"holiday_rows": DERIVED["base"], "holidays": EE_HOLIDAY_SQL}),
         "segment_numeric": _sel("base", f"row_id, CAST(replace({seg}, '_', '') AS DOUBLE) AS segment_numeric"),
         "downcast_float": _sel("historical_weather", "datetime, latitude, longitude, " + ", ".join(
             f"CAST({m} AS FLOAT) AS {m}" for m in HISTORICAL_MEASURES)),
