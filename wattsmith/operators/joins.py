@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 # Broadcast budget for a materialised side. A side goes out as a broadcast only
 # when its counted rows times its width stay under this; otherwise the join stays
-# a shuffle (sort-merge) join.
-BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
+# a shuffle (sort-merge) join. Override per session with BUDGET_CONF.
+BROADCAST_BUDGET_BYTES = 128 * 1024 * 1024
+BUDGET_CONF = "wattsmith.broadcastBudgetBytes"
+
+
+def broadcast_budget(spark) -> int:
+    v = spark.conf.get(BUDGET_CONF, None)
+    return int(v) if v else BROADCAST_BUDGET_BYTES
 
 
 def shift_hours(df: DataFrame, hours: int, col: str = "datetime") -> DataFrame:
@@ -84,9 +90,10 @@ class SmallSide:
     decision needs no further job.
     """
 
-    def __init__(self, df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES,
+    def __init__(self, df: DataFrame, budget_bytes: int | None = None,
                  materialized: bool = False, rows: int | None = None, name: str = "side"):
         self.df = df if materialized else materialize(df, name)
+        budget_bytes = budget_bytes or broadcast_budget(df.sparkSession)
         self.budget_bytes = budget_bytes
         self.rows = bounded_count(self.df, budget_bytes) if rows is None else rows
         self.broadcast = self.rows * row_width_bytes(self.df) <= budget_bytes
