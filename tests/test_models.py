@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from wattsmith.plans import catalog
-from wattsmith.plans.runs import load_model, read_runs
+from wattsmith.plans.runs import load_model
 from wattsmith.plans.training import cross_validate, fit, mae, predict
 
 

@@ -121,18 +121,31 @@ def join_lags_plain(features: DataFrame, history: DataFrame, keys: list[str], la
     return features
 
 
-def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS) -> DataFrame:
+def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
+                       bucket_hours: int | None = None) -> DataFrame:
     """Exact-time lag as a window, for frames whose rows are the history itself:
     ``target_{h}h`` is the value exactly ``h`` hours earlier in the same segment.
 
-    The window is partitioned by segment, so one segment's whole series is sorted in
-    one task: this form is for bounded segments; the join forms are the default.
+    Windows are partitioned by segment *and* a time bucket of ``bucket_hours``
+    (at least ``h``), so no task sorts a whole segment's series. Each row also goes
+    to the next bucket as a lag source only, which puts every row's partner in its
+    own partition; the copies are dropped after the window.
     """
-    part = ", ".join(k for k in keys if k != "datetime")
-    frame = f"INTERVAL {h} HOURS PRECEDING"
-    return history.withColumn(f"target_{h}h", F.expr(
-        f"first(target) OVER (PARTITION BY {part} ORDER BY datetime "
-        f"RANGE BETWEEN {frame} AND {frame})"))
+    part = [k for k in keys if k != "datetime"]
+    width = max(h, bucket_hours or 7 * 24)
+    # Wall-clock hours since 1970 (time-zone free on TIMESTAMP_NTZ).
+    hours = (F.datediff(F.col("datetime").cast("date"), F.lit("1970-01-01").cast("date"))
+             * F.lit(24) + F.hour("datetime"))
+    bucket = F.floor(hours / F.lit(width)).cast("long")
+    both = F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
+                             F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
+    spread = history.select("*", both.alias("_s")).select(
+        "*", F.col("_s.b").alias("_bucket"), F.col("_s.own").alias("_own")).drop("_s")
+    iv = f"INTERVAL {h} HOURS PRECEDING"
+    by = ", ".join(part + ["_bucket"])
+    lagged = spread.withColumn(f"target_{h}h", F.expr(
+        f"first(target) OVER (PARTITION BY {by} ORDER BY datetime RANGE BETWEEN {iv} AND {iv})"))
+    return lagged.filter(F.col("_own")).drop("_bucket", "_own")
 
 
 def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "fused",
