@@ -29,9 +29,14 @@ from .features import FeatureBuilder, add_holiday_flag, downcast_floats
 DIGITS = 6
 
 
+def round6(c):
+    """Round to 6 decimals through DECIMAL(38,10): ties are decided on the decimal
+    value the same way in Spark and in the oracle, and -0.0 becomes 0.0."""
+    return F.round(c.cast("decimal(38,10)"), DIGITS).cast("double")
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    # "+ 0.0" turns a rounded -0.0 into 0.0, so signs of zero compare equal.
-    return df.select(*[(F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
+    return df.select(*[round6(F.col(f"`{f.name}`")).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
 
@@ -525,6 +530,30 @@ def runs_table(spark, sf):
         "run_id", "model", "params", "metrics", "tags", "model_path")
 
 
+def presented(df: DataFrame) -> DataFrame:
+    """DATE columns shown as midnight TIMESTAMP_NTZ, so both engines hand the
+    comparison the same value type (the library itself keeps DATE)."""
+    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.DateType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def _presenting(fn):
+    def q(spark, sf):
+        return presented(fn(spark, sf))
+    q.__name__ = fn.__name__
+    q.__doc__ = fn.__doc__
+    return q
+
+
+# Registered queries whose result has a DATE column (see ``presented``).
+DATE_COLUMNS = {"scan_client": "date", "scan_gas": "forecast_date", "enforce_schema": "date",
+                "feature_date": "date", "holiday_calendar": "date", "update_client": "date",
+                "update_gas_prices": "forecast_date"}
+
+
 def registry() -> dict:
     q = {
         "scan_energy": scan_energy, "scan_client": scan_client, "scan_gas": scan_gas,
@@ -569,4 +598,4 @@ def registry() -> dict:
     for name in ["client", "gas_prices", "electricity_prices", "forecast_weather",
                  "historical_weather", "target"]:
         q[f"update_{name}"] = _update(name)
-    return q
+    return {k: _presenting(v) if k in DATE_COLUMNS else v for k, v in q.items()}

@@ -48,9 +48,14 @@ FORECAST_MEASURES = ["temperature", "dewpoint", "snowfall"]
 HISTORICAL_MEASURES = ["temperature", "rain", "snowfall", "surface_pressure"]
 
 
+def rnd(expr: str) -> str:
+    """6-decimal rounding through DECIMAL(38,10), exactly as the Spark side does it
+    (both engines then break decimal ties the same way; no negative zero)."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38, 10)), 6) AS DOUBLE)"
+
+
 def R(expr: str, alias: str) -> str:
-    # "+ 0.0" turns a rounded -0.0 into 0.0 (same on the Spark side).
-    return f"(round({expr}, 6) + 0.0) AS {alias}"
+    return f"{rnd(expr)} AS {alias}"
 
 
 def q(name):
@@ -353,8 +358,8 @@ def corr_sql(ranked=False, topk=None):
 FROM (SELECT unnest(l) AS s FROM (SELECT [{items}] AS l FROM feats))"""
     stmt = features_sql(False)
     if not ranked:
-        return f"WITH feats AS ({stmt}), c AS ({body}) SELECT feature, round(corr, 6) + 0.0 AS corr FROM c"
-    rank = ("SELECT feature, round(corr, 6) + 0.0 AS corr, round(abs(corr), 6) + 0.0 AS abs_corr, "
+        return f"WITH feats AS ({stmt}), c AS ({body}) SELECT feature, {rnd('corr')} AS corr FROM c"
+    rank = (f"SELECT feature, {rnd('corr')} AS corr, {rnd('abs(corr)')} AS abs_corr, "
             "row_number() OVER (ORDER BY abs(corr) DESC NULLS LAST, feature) AS rank FROM c")
     out = f"WITH feats AS ({stmt}), c AS ({body}), r AS ({rank}) SELECT * FROM r"
     if topk:
@@ -373,7 +378,7 @@ def folds_sql():
 
 
 def mae_sql():
-    return with_ctes("""SELECT f.fold, round(avg(abs(e.target - l.target)), 6) + 0.0 AS mae, count(*) AS n
+    return with_ctes(f"""SELECT f.fold, {rnd('avg(abs(e.target - l.target))')} AS mae, count(*) AS n
 FROM energy e JOIN ranked_folds f ON e.row_id = f.row_id
 JOIN hist l ON e.county = l.county AND e.is_business = l.is_business
  AND e.product_type = l.product_type AND e.is_consumption = l.is_consumption
@@ -450,7 +455,7 @@ def corr_matrix_sql():
   CASE WHEN isnan(s.corr) THEN NULL ELSE s.corr END AS corr
 FROM (SELECT unnest(l) AS s FROM (SELECT [{', '.join(items)}] AS l FROM feats))"""
     return (f"WITH feats AS ({features_sql(False)}), c AS ({body}) "
-            "SELECT feature_a, feature_b, round(corr, 6) + 0.0 AS corr FROM c")
+            f"SELECT feature_a, feature_b, {rnd('corr')} AS corr FROM c")
 
 
 def categorical_index_sql():
@@ -582,4 +587,7 @@ def oracle_sql() -> dict[str, str]:
     out["features_roundtrip"] = features_sql(False)
     out["corr_matrix"] = corr_matrix_sql()
     out["categorical_index"] = categorical_index_sql()
+    from .catalog import DATE_COLUMNS
+    for name, col in DATE_COLUMNS.items():
+        out[name] = f"SELECT * REPLACE (CAST({col} AS TIMESTAMP) AS {col}) FROM ({out[name]})"
     return out
