@@ -94,3 +94,46 @@ def test_stream_equals_batch(spark):
     streamed = catalog.stream_update(spark, SF001)
     batch = catalog._update("target")(spark, SF001)
     assert _same(streamed.select(*batch.columns), batch)
+
+
+def test_over_budget_sides_fall_back_to_shuffle_joins(spark):
+    """With a 1-byte broadcast budget every small side stays a shuffle join; the
+    feature table must not change."""
+    want = catalog.features_train(spark, SF001)
+    spark.conf.set("wattsmith.broadcastBudgetBytes", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalog.features_train(spark, SF001)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert _same(got, want)
+    finally:
+        spark.conf.unset("wattsmith.broadcastBudgetBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_parquet_inputs_and_scratch_cleanup(spark, tmp_path):
+    from test_features import _write_inputs
+    from wattsmith.operators.joins import drop_scratch, scratch_root
+    from wattsmith.plans.features import FeatureBuilder
+    from wattsmith.sources import schemas as S
+    from wattsmith.sources.readers import read_input
+    from wattsmith.sources.storage import TableBundle
+    csv, pq = tmp_path / "csv", tmp_path / "pq"
+    csv.mkdir()
+    pq.mkdir()
+    _write_inputs(str(csv))
+    for name in ["train", "client", "gas_prices", "electricity_prices", "forecast_weather",
+                 "historical_weather", "weather_station_to_county_mapping"]:
+        read_input(spark, str(csv), name, "csv").write.parquet(
+            str(pq / f"{S.FILE_NAMES[name]}.parquet"))
+    a = TableBundle.load(spark, str(csv), "csv")
+    b = TableBundle.load(spark, str(pq), "parquet")
+    want = FeatureBuilder(a).generate(a.data)
+    got = FeatureBuilder(b).generate(b.data)
+    assert _same(got.select(*want.columns), want)
+    drop_scratch(spark)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

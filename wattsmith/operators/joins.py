@@ -49,11 +49,24 @@ def row_width_bytes(df: DataFrame) -> int:
     return max(8, sum(_WIDTHS.get(f.dataType.typeName(), 32) for f in df.schema.fields))
 
 
+def scratch_root(spark) -> str:
+    from ..session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/wattsmith-tables"
+
+
 def scratch_path(spark, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
-    from ..session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/wattsmith-tables/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark) -> None:
+    """Delete every table this package materialised for the session's checkpoint
+    folder. Call only after the results that read them have been written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "side") -> DataFrame:

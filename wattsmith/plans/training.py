@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,7 +110,9 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, **kw) -> DataFrame:
         rows.append((i, float(r["mae"]) if r["mae"] is not None else None, int(r["n"]),
                      train.count()))
     folded.unpersist()
-    return spark.createDataFrame(rows, "fold int, mae double, n_test long, n_train long")
+    out = spark.createDataFrame(rows, "fold int, mae double, n_test long, n_train long")
+    # six rows: the mean over folds rides along as a column
+    return out.withColumn("mean_mae", F.avg("mae").over(Window.partitionBy(F.lit(1))))
 
 
 def cv_score(folds: DataFrame) -> float:
