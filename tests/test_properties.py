@@ -137,3 +137,16 @@ def test_parquet_inputs_and_scratch_cleanup(spark, tmp_path):
     drop_scratch(spark)
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_row_scope_gives_same_test_features(spark):
+    from wattsmith.plans.features import FeatureBuilder
+    from wattsmith.sources.storage import preprocess_test
+    b = fx.bundle(spark, SF01)
+    test = (b.data.filter(F.col("datetime") >= F.lit("2024-01-28 00:00:00").cast("timestamp_ntz"))
+            .drop("target").withColumnRenamed("datetime", "prediction_datetime"))
+    rows = preprocess_test(test)
+    scoped = FeatureBuilder(b).generate(rows, has_target=False, scope=True)
+    full = FeatureBuilder(b).generate(rows, has_target=False, scope=False)
+    assert scoped.count() == rows.count()
+    assert _same(scoped, full)

@@ -149,17 +149,21 @@ def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
 
 
 def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "fused",
-                        ratios: bool = True) -> DataFrame:
+                        ratios: bool = True, scope=None) -> DataFrame:
+    """Lags, lagged sums, row statistics and ratios. ``scope`` (a ``RowScope``)
+    first cuts the history down to what the rows can look up."""
     history = history.select(*SEGMENT_TIME_KEYS, "target")
+    lag_src = scope.restrict_segment_hours(history, TARGET_LAGS) if scope else history
+    sum_src = scope.restrict_hours(history, SUM_LAGS) if scope else history
     if strategy == "fused":
-        features = join_lags_fused(features, history, LAG_JOIN_KEYS, TARGET_LAGS, "target")
+        features = join_lags_fused(features, lag_src, LAG_JOIN_KEYS, TARGET_LAGS, "target")
     elif strategy == "plain":
-        features = join_lags_plain(features, history, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")
+        features = join_lags_plain(features, lag_src, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")
     else:
         raise ValueError(f"unknown lag strategy {strategy!r}")
     # The two sums are small (hours x counties x 4 and hours x 4): one materialised
     # table holds both with their lags; each is broadcast when its size allows.
-    type_side, county_side = sum_sides(history)
+    type_side, county_side = sum_sides(sum_src)
     features = features.join(type_side.side(), on=TYPE_SUM_KEYS, how="left")
     features = features.join(county_side.side(), on=COUNTY_TYPE_SUM_KEYS, how="left")
     stats = [F.col(f"target_{h}h") for h in STATS_LAGS]

@@ -102,8 +102,11 @@ def join_lagged(features: DataFrame, side: SmallSide, keys: list[str], lags: lis
 
 
 def add_forecast_features(features: DataFrame, forecast: DataFrame, stations,
-                          horizon=FORECAST_HORIZON, lags=FORECAST_LAGS) -> DataFrame:
-    means = means_side(forecast_with_county(forecast, stations, horizon), "forecast_means")
+                          horizon=FORECAST_HORIZON, lags=FORECAST_LAGS, scope=None) -> DataFrame:
+    fw = forecast_with_county(forecast, stations, horizon)
+    if scope is not None:
+        fw = scope.restrict_hours(fw, lags)
+    means = means_side(fw, "forecast_means")
     g, loc = global_side(means), local_side(means)
     for h in lags:
         features = join_lagged(features, g, ["datetime"], [h], "_forecast_{h}h")
@@ -118,8 +121,11 @@ def morning_only(df: DataFrame) -> DataFrame:
 
 
 def add_historical_features(features: DataFrame, historical: DataFrame, stations,
-                            lags=HISTORICAL_LAGS) -> DataFrame:
-    means = means_side(historical_with_county(historical, stations), "historical_means")
+                            lags=HISTORICAL_LAGS, scope=None) -> DataFrame:
+    hw = historical_with_county(historical, stations)
+    if scope is not None:
+        hw = scope.restrict_hours(hw, list(lags) + [HISTORICAL_MORNING_LAG])
+    means = means_side(hw, "historical_means")
     g, loc = global_side(means), local_side(means)
     for h in lags:
         features = join_lagged(features, g, ["datetime"], [h], "_historical_{h}h")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import add_general_features, is_ee_holiday
 from ..operators.client import add_client_features
 from ..operators.joins import SmallSide
+from ..operators.scope import RowScope
 from ..operators.target import add_target_features
 from ..operators.weather import (FORECAST_HORIZON, add_forecast_features,
                                  add_historical_features, station_side)
@@ -62,35 +63,42 @@ class FeatureBuilder:
     def client(self, df: DataFrame) -> DataFrame:
         return add_client_features(df, self.tables.client)
 
-    def forecast(self, df: DataFrame) -> DataFrame:
+    def forecast(self, df: DataFrame, scope=None) -> DataFrame:
         return add_forecast_features(df, self.tables.forecast_weather, self.stations(),
-                                     horizon=self.horizon)
+                                     horizon=self.horizon, scope=scope)
 
-    def historical(self, df: DataFrame) -> DataFrame:
-        return add_historical_features(df, self.tables.historical_weather, self.stations())
+    def historical(self, df: DataFrame, scope=None) -> DataFrame:
+        return add_historical_features(df, self.tables.historical_weather, self.stations(),
+                                       scope=scope)
 
-    def target(self, df: DataFrame) -> DataFrame:
-        return add_target_features(df, self.tables.target, strategy=self.lag_strategy)
+    def target(self, df: DataFrame, scope=None) -> DataFrame:
+        return add_target_features(df, self.tables.target, strategy=self.lag_strategy,
+                                   scope=scope)
 
     def generate(self, rows: DataFrame, country: str = "EE", has_target: bool = True,
-                 drop_helpers: bool = True) -> DataFrame:
+                 drop_helpers: bool = True, scope: bool | None = None) -> DataFrame:
         """Feature table for ``rows`` (training rows with ``target``, or test rows).
 
         ``target`` is carried through as a column (never re-attached by position) and
         stays DOUBLE; rows with a NULL target are dropped when ``has_target``.
+        ``scope``: cut every source down to what the rows can look up (see
+        ``operators.scope``). Default: on for test rows when they are few, off for
+        training rows (which are the history itself).
         """
         with_target = "target" in rows.columns
+        use_scope = (not has_target) if scope is None else scope
+        sc = RowScope.probe(rows) if use_scope else None
         df = rows.withColumn("date", F.col("datetime").cast("date"))
         df = self.general(df)
         order = {"general": df.columns}
         # The target lags are the one join whose right side grows with the data
         # (a shuffle join at scale), so it runs first, while the rows are narrow;
         # every later join is a broadcast and adds columns map-side.
-        df = self.target(df)
+        df = self.target(df, sc)
         order["target"] = [c for c in df.columns if c not in order["general"]]
         df = self.client(df)
-        df = self.forecast(df)
-        df = self.historical(df)
+        df = self.forecast(df, sc)
+        df = self.historical(df, sc)
         seen = set(order["general"]) | set(order["target"])
         rest = [c for c in df.columns if c not in seen]
         df = df.select(*[F.col(f"`{c}`") for c in order["general"] + rest + order["target"]])
