@@ -38,38 +38,42 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _be(spark, sf_dir, be):
+    return be if be is not None else base_events(spark, sf_dir)
+
+
 def _latlon() -> list[Column]:
     # 24 stations on an 8 x 3 grid; same expression text as the oracle SQL.
     return [F.expr("CAST(57.6 + 0.3 * (station % 8) AS FLOAT)").alias("latitude"),
             F.expr("CAST(21.7 + 0.5 * floor(station / 8) AS FLOAT)").alias("longitude")]
 
 
-def energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def energy(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
     keys = ["datetime", "county", "is_business", "product_type", "is_consumption"]
-    return (base_events(spark, sf_dir).groupBy(*keys)
+    return (_be(spark, sf_dir, be).groupBy(*keys)
             .agg(F.min("event_id").alias("row_id"), F.sum("value").alias("_sum"))
             .select(*keys, "row_id",
                     F.when(F.col("row_id") % 50 == 0, F.lit(None).cast("double"))
                      .otherwise(F.col("_sum")).alias("target")))
 
 
-def client(spark: SparkSession, sf_dir: str) -> DataFrame:
+def client(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
     return (base_events(spark, sf_dir)
             .groupBy("date", "county", "is_business", "product_type")
             .agg(F.countDistinct("user_id").cast("int").alias("eic_count"),
                  F.sum("value").alias("installed_capacity")))
 
 
-def station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (base_events(spark, sf_dir).select("station").distinct()
+def station_map(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
+    return (_be(spark, sf_dir, be).select("station").distinct()
             .select(*_latlon(),
                     F.when(F.col("station") < 18, F.col("station") % 3).cast("int")
                      .alias("county"))
             .distinct())
 
 
-def historical_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (base_events(spark, sf_dir).groupBy("datetime", "station")
+def historical_weather(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
+    return (_be(spark, sf_dir, be).groupBy("datetime", "station")
             .agg(F.avg("value").alias("temperature"), F.max("value").alias("rain"),
                  F.min("value").alias("snowfall"),
                  F.count(F.lit(1)).cast("double").alias("surface_pressure"))
@@ -77,39 +81,40 @@ def historical_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "surface_pressure"))
 
 
-def forecast_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (base_events(spark, sf_dir).groupBy("datetime", "station", "hours_ahead")
+def forecast_weather(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
+    return (_be(spark, sf_dir, be).groupBy("datetime", "station", "hours_ahead")
             .agg(F.avg("value").alias("temperature"), F.max("value").alias("dewpoint"),
                  F.min("value").alias("snowfall"))
             .select(F.col("datetime").alias("forecast_datetime"), *_latlon(),
                     "hours_ahead", "temperature", "dewpoint", "snowfall"))
 
 
-def gas_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (base_events(spark, sf_dir).groupBy("date")
+def gas_prices(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
+    return (_be(spark, sf_dir, be).groupBy("date")
             .agg(F.min("value").alias("lowest_price_per_mwh"),
                  F.max("value").alias("highest_price_per_mwh"))
             .withColumnRenamed("date", "forecast_date"))
 
 
-def electricity_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (base_events(spark, sf_dir).groupBy("datetime")
+def electricity_prices(spark: SparkSession, sf_dir: str, be: DataFrame | None = None) -> DataFrame:
+    return (_be(spark, sf_dir, be).groupBy("datetime")
             .agg(F.avg("value").alias("euros_per_mwh"))
             .withColumnRenamed("datetime", "forecast_date"))
 
 
 def bundle(spark: SparkSession, sf_dir: str) -> TableBundle:
     """All inputs as one bundle, same shape as ``TableBundle.load`` gives for CSVs."""
+    be = base_events(spark, sf_dir)
     return TableBundle.from_frames(
-        data=energy(spark, sf_dir).select("target", "county", "is_business",
-                                          "product_type", "is_consumption",
-                                          "datetime", "row_id"),
-        client=client(spark, sf_dir),
-        gas_prices=gas_prices(spark, sf_dir),
-        electricity_prices=electricity_prices(spark, sf_dir),
-        forecast_weather=forecast_weather(spark, sf_dir),
-        historical_weather=historical_weather(spark, sf_dir),
-        station_map=station_map(spark, sf_dir),
+        data=energy(spark, sf_dir, be).select("target", "county", "is_business",
+                                              "product_type", "is_consumption",
+                                              "datetime", "row_id"),
+        client=client(spark, sf_dir, be),
+        gas_prices=gas_prices(spark, sf_dir, be),
+        electricity_prices=electricity_prices(spark, sf_dir, be),
+        forecast_weather=forecast_weather(spark, sf_dir, be),
+        historical_weather=historical_weather(spark, sf_dir, be),
+        station_map=station_map(spark, sf_dir, be),
     )
 
 
