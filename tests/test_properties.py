@@ -150,3 +150,13 @@ def test_row_scope_gives_same_test_features(spark):
     full = FeatureBuilder(b).generate(rows, has_target=False, scope=False)
     assert scoped.count() == rows.count()
     assert _same(scoped, full)
+
+
+def test_fixtures_independent_of_session_time_zone(spark):
+    want = catalog.target_lags(spark, SF001)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = catalog.target_lags(spark, SF001)
+        assert _same(got, want)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -73,6 +73,11 @@ def build_pipeline(df: DataFrame, features: list[str] | None = None, categorical
     stages.append(VectorAssembler(inputCols=[f"{c}__x" for c in nums] + [f"{c}__i" for c in cats],
                                   outputCol="features", handleInvalid="keep"))
     p = dict(QUICK if params is None else params)
+    # Deep trees: keep node ids cached instead of re-walking trees each level, and
+    # checkpoint (to the session's checkpoint folder) every 10 iterations so the
+    # boosting lineage stays short and a lost executor does not replay it.
+    p.setdefault("cacheNodeIds", p.get("maxDepth", 5) >= 8)
+    p.setdefault("checkpointInterval", 10)
     if cats:
         card = max(df.agg(*[F.countDistinct(c) for c in cats]).first())
         p.setdefault("maxBins", max(32, int(card) + 1))

@@ -26,7 +26,9 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     etype = F.col("event_type")
     return ev.select(
         "event_id", ts.alias("ts"), "user_id", "value",
-        F.date_trunc("hour", ts).cast("timestamp_ntz").alias("datetime"),
+        # hour truncation from wall-clock parts: no session time zone involved
+        F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                             F.lit(0), F.lit(0)).alias("datetime"),
         ts.cast("date").alias("date"),
         (F.col("user_id") % 3).cast("int").alias("county"),
         F.when(etype.isin("purchase", "signup"), 1).otherwise(0).alias("is_business"),
