@@ -156,3 +156,18 @@ def test_test_rows_path(spark, inputs):
     assert "target" not in out.columns
     assert out.count() == test.count()
     assert len(out.columns) == 166
+
+
+def test_csv_columns_matched_by_name(spark, tmp_path):
+    """Extra columns and another column order in the file (as the source data has)."""
+    from wattsmith.sources.readers import read_input
+    pd.DataFrame({"county": [1, 2], "is_business": [0, 1], "product_type": [3, 1],
+                  "target": [1.5, None], "is_consumption": [0, 1],
+                  "datetime": ["2023-01-01 00:00:00", "2023-01-01 01:00:00"],
+                  "data_block_id": [0, 0], "row_id": [10, 11], "prediction_unit_id": [5, 6]}
+                 ).to_csv(tmp_path / "train.csv", index=False)
+    df = read_input(spark, str(tmp_path), "train", "csv", S.DATA_COLS)
+    assert df.columns == S.DATA_COLS
+    assert dict(df.dtypes)["datetime"] == "timestamp_ntz"
+    rows = df.orderBy("row_id").collect()
+    assert rows[0].target == 1.5 and rows[1].target is None and rows[1].county == 2

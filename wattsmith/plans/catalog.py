@@ -57,6 +57,16 @@ def scan_energy(spark, sf):
     return rounded(enforce_schema(fx.energy(spark, sf), S.SCHEMAS["train"]))
 
 
+def scan_energy_csv(spark, sf):
+    """The CSV path: the view is written as ``train.csv`` (header, no schema) and
+    scanned back with the explicit schema and column list."""
+    from ..sources.readers import read_input
+    root = _scratch(spark, "csv")
+    (fx.energy(spark, sf).select(*S.DATA_COLS).write.option("header", True)
+     .csv(f"{root}/train.csv"))
+    return rounded(read_input(spark, root, "train", "csv", S.DATA_COLS))
+
+
 def scan_client(spark, sf):
     return rounded(enforce_schema(fx.client(spark, sf), S.SCHEMAS["client"]))
 
@@ -556,7 +566,7 @@ DATE_COLUMNS = {"scan_client": "date", "scan_gas": "forecast_date", "enforce_sch
 
 def registry() -> dict:
     q = {
-        "scan_energy": scan_energy, "scan_client": scan_client, "scan_gas": scan_gas,
+        "scan_energy": scan_energy, "scan_energy_csv": scan_energy_csv, "scan_client": scan_client, "scan_gas": scan_gas,
         "scan_electricity": scan_electricity, "scan_forecast": scan_forecast,
         "scan_historical": scan_historical, "scan_stations": scan_stations,
         "enforce_schema": enforce_schema_q, "preprocess_test": preprocess_test_q,

@@ -483,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
     keys = "county, is_business, product_type, is_consumption"
     out = {
         "scan_energy": _sel("energy", f"{R('target', 'target')}, {keys}, datetime, row_id"),
+        "scan_energy_csv": _sel("energy", f"{R('target', 'target')}, {keys}, datetime, row_id"),
         "scan_client": _sel("client", "product_type, county, eic_count, "
                             f"{R('installed_capacity', 'installed_capacity')}, is_business, date"),
         "scan_gas": _sel("gas_prices", f"forecast_date, {R('lowest_price_per_mwh', 'lowest_price_per_mwh')}, "

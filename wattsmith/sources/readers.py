@@ -13,16 +13,16 @@ from .schemas import SCHEMAS
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                fmt: str = "csv", columns: list[str] | None = None) -> DataFrame:
-    """Scan one input with an explicit schema and project ``columns``.
+    """Scan one input and project ``columns`` with the types of ``schema``.
 
-    CSV files are read by header name against ``schema`` (no inference, so no extra
-    pass over the data); Parquet is read as stored and cast to ``schema``. Either
-    way the projection reaches the scan's ReadSchema.
+    CSV columns are matched by header *name* (files may hold more columns, in any
+    order): the header gives string columns without an inference pass, and one
+    projection selects and casts the needed ones, so the scan reads only those.
+    Parquet is read as stored and cast the same way.
     """
     cols = columns or schema.fieldNames()
     if fmt == "csv":
-        df = (spark.read.schema(schema).option("header", True)
-              .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+        df = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     else:
