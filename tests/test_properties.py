@@ -160,3 +160,15 @@ def test_fixtures_independent_of_session_time_zone(spark):
         assert _same(got, want)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("name", ["client", "forecast_weather", "target"])
+def test_unique_upsert_equals_full_dedupe(spark, name):
+    old, new = catalog.batches(spark, SF001, name)
+    keys = UPDATE_KEYS[name]
+    base = upd.upsert(old, old.limit(0), keys)            # unique by construction
+    full = upd.upsert(base, new, keys)
+    fast = upd.upsert(base, new, keys, current_unique=True)
+    assert _same(fast, full)
+    again = upd.upsert(fast, new, keys, current_unique=True)
+    assert _same(again, full)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..sources.readers import enforce_schema
 from ..sources.schemas import UPDATE_KEYS
+from .joins import SmallSide
 
 SEQ = "_batch_seq"
 
@@ -34,17 +35,31 @@ def keep_newest(tagged: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in values]))
 
 
-def upsert(current: DataFrame, new: DataFrame, keys: list[str], schema=None) -> DataFrame:
+def upsert(current: DataFrame, new: DataFrame, keys: list[str], schema=None,
+           current_unique: bool = False) -> DataFrame:
     """``current`` with ``new`` merged in; ``new`` is first cast to ``schema``
-    (the types captured at load) and projected to ``current``'s columns."""
+    (the types captured at load) and projected to ``current``'s columns.
+
+    ``current_unique``: the caller knows ``current`` has one row per key (true of
+    every table this function produced). Then only the batch needs deduplicating:
+    current rows whose key the batch carries are dropped by an anti-join (a
+    broadcast one when the batch measures small), and the big table is never
+    shuffled. Otherwise the union of both is deduplicated (exact on any input).
+    """
     cols = current.columns
     new = enforce_schema(new, schema, cols) if schema is not None else new.select(*cols)
-    return keep_newest(union_batches(current, new), keys).select(*cols)
+    if not current_unique:
+        return keep_newest(union_batches(current, new), keys).select(*cols)
+    batch = SmallSide(keep_newest(union_batches(new), keys).select(*cols), name="batch")
+    kept = current.join(batch.side(lambda d: d.select(*keys)), on=keys, how="left_anti")
+    return kept.select(*cols).unionByName(batch.df)
 
 
 def update_tables(tables, new_client=None, new_gas_prices=None, new_electricity_prices=None,
-                  new_forecast_weather=None, new_historical_weather=None, new_target=None):
-    """Apply one batch of new rows to every table of a ``TableBundle``."""
+                  new_forecast_weather=None, new_historical_weather=None, new_target=None,
+                  tables_unique: bool = False):
+    """Apply one batch of new rows to every table of a ``TableBundle``
+    (``tables_unique``: the bundle came out of an earlier update, see ``upsert``)."""
     schemas = tables.schemas()
     changes = {}
     for field, name, new in [("client", "client", new_client),
@@ -55,5 +70,5 @@ def update_tables(tables, new_client=None, new_gas_prices=None, new_electricity_
                              ("target", "target", new_target)]:
         if new is not None:
             changes[field] = upsert(getattr(tables, field), new, UPDATE_KEYS[name],
-                                    schemas[name])
+                                    schemas[name], current_unique=tables_unique)
     return tables.with_tables(**changes)

@@ -53,7 +53,10 @@ def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructTy
     def merge(batch: DataFrame, batch_id: int) -> None:
         current_path = latest_version(batch.sparkSession, table_root)
         current = batch.sparkSession.read.parquet(current_path)
-        merged = upsert(current, batch.select(*current.columns), keys)
+        # v=0 is the initial load (keys not guaranteed unique); every later version
+        # was produced by upsert and is unique, so only the batch is deduplicated.
+        merged = upsert(current, batch.select(*current.columns), keys,
+                        current_unique=not current_path.endswith("/v=0"))
         write_version(merged, table_root, batch_id + 1)
 
     writer = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
