@@ -59,3 +59,34 @@ def test_watermark_dedupe(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("dedupe_out").count() == 5
+
+
+def test_scoring_stream_equals_batch_scoring(spark):
+    from conftest import SF001
+    from wattsmith.plans.runs import save_model
+    from wattsmith.plans.training import fit
+    from wattsmith.sources import fixtures as fx
+    from wattsmith.streaming.scoring import score_batch, start_scoring_stream
+    root = scratch_path(spark, "scoring")
+    tables = fx.bundle(spark, SF001)
+    model = fit(_train_features(tables), params={"stepSize": 0.1, "maxDepth": 2,
+                                                         "maxIter": 2})
+    save_model(model, f"{root}/model")
+    test = (tables.data.filter(F.col("datetime") >= F.lit("2024-01-29 00:00:00")
+                               .cast("timestamp_ntz"))
+            .drop("target").withColumnRenamed("datetime", "prediction_datetime"))
+    test.write.parquet(f"{root}/incoming")
+    q = start_scoring_stream(spark, lambda s: fx.bundle(s, SF001), f"{root}/model",
+                             f"{root}/incoming", test.schema, f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/out").select("row_id", "prediction")
+    want = score_batch(tables, model, test)
+    assert got.count() == test.count()
+    j = got.join(want.withColumnRenamed("prediction", "w"), "row_id")
+    assert j.count() == test.count()
+    assert j.filter(F.abs(F.col("prediction") - F.col("w")) > 1e-9).count() == 0
+
+
+def _train_features(tables):
+    from wattsmith.plans.features import FeatureBuilder
+    return FeatureBuilder(tables).generate(tables.data)

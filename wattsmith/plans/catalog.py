@@ -524,6 +524,24 @@ def score_new(spark, sf):
     return predict(model, FeatureBuilder(updated).generate(test, has_target=False))
 
 
+def stream_score(spark, sf):
+    """Scoring as a stream: a model fitted on the training rows scores test-row
+    files (the last two days) micro-batch by micro-batch."""
+    from ..streaming.scoring import start_scoring_stream
+    from .runs import save_model
+    from .training import fit
+    root = _scratch(spark, "stream-score")
+    save_model(fit(_model_rows(spark, sf)), f"{root}/model")
+    b = fx.bundle(spark, sf)
+    test = (b.data.filter(F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
+            .drop("target").withColumnRenamed("datetime", "prediction_datetime"))
+    test.write.parquet(f"{root}/incoming")
+    q = start_scoring_stream(spark, lambda s: fx.bundle(s, sf), f"{root}/model",
+                             f"{root}/incoming", test.schema, f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("row_id", "prediction")
+
+
 def runs_table(spark, sf):
     """Fit, score, save the model and append a run record; return that record."""
     from pyspark.sql.functions import col
@@ -604,6 +622,7 @@ def registry() -> dict:
         "features_roundtrip": features_roundtrip, "stream_update": stream_update,
         "assemble": assemble, "gbt_predict": gbt_predict, "gbt_predict_cat": gbt_predict_cat,
         "cv_mae": cv_mae, "score_new": score_new, "runs_table": runs_table,
+        "stream_score": stream_score,
     }
     for name in ["client", "gas_prices", "electricity_prices", "forecast_weather",
                  "historical_weather", "target"]:
