@@ -57,33 +57,41 @@ def corr_with_target(df: DataFrame, target: str = "target") -> DataFrame:
     return long.groupBy("feature").agg(pearson(F.col("x"), F.col("_y")).alias("corr"))
 
 
-def _gram_partials(cols: list[str], shift: list[float]):
-    """Per-partition moment sums for every column pair (a <= b), with NumPy.
-
-    Values are shifted by the column means first (exact in the formulas, and a
-    constant column becomes exactly 0). For each pair, sums run over the rows
-    where both are present: n, sum a, sum b, sum a^2, sum b^2, sum a*b.
+def _gram_partials(cols: list[str]):
+    """Per-task moment sums for every column pair (a <= b), with NumPy.
+
+    Each task shifts every column by its own mean over the task's first batch
+    (``ca``/``cb`` are emitted with the sums, so the shift can be undone exactly)
+    and sums over the rows where both values are present: n, sum a, sum b,
+    sum a^2, sum b^2, sum a*b. Shifting keeps the sums small, which keeps the
+    variance of a near-constant column exact.
     """
     import numpy as np
     import pandas as pd
 
     k = len(cols)
     ia, ib = np.triu_indices(k)
-    c = np.asarray(shift, dtype="float64")
 
     def run(batches):
         nn = np.zeros((k, k)); sa = np.zeros((k, k)); saa = np.zeros((k, k)); sab = np.zeros((k, k))
+        c = None
         for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - c
+            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+            if c is None:
+                with np.errstate(all="ignore"):
+                    c = np.nan_to_num(np.nanmean(x, axis=0)) if len(x) else np.zeros(k)
+            x = x - c
             m = (~np.isnan(x)).astype("float64")
             z = np.where(m > 0, x, 0.0)
             nn += m.T @ m
             sa += z.T @ m            # [a, b]: sum of a over rows where a and b are present
             saa += (z * z).T @ m
             sab += z.T @ z
+        if c is None:
+            return
         yield pd.DataFrame({"a": ia, "b": ib, "n": nn[ia, ib], "sa": sa[ia, ib],
                             "sb": sa[ib, ia], "saa": saa[ia, ib], "sbb": saa[ib, ia],
-                            "sab": sab[ia, ib]})
+                            "sab": sab[ia, ib], "ca": c[ia], "cb": c[ib]})
     return run
 
 
@@ -91,20 +99,37 @@ def corr_matrix(df: DataFrame) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form ``(feature_a, feature_b, corr)``,
     one row per unordered pair (names in alphabetical order) and per diagonal cell.
 
-    Each task folds its rows into k x k moment sums with matrix products, emits one
-    row per pair, and Spark adds the partials per pair (a shuffle of k(k+1)/2 rows
-    per task, independent of the row count). Column means for the shift come from
-    one aggregate first. Pairs with zero variance on either side give NULL.
+    One pass over ``df``: each task folds its rows into k x k shifted moment sums
+    with matrix products and emits one row per pair. Spark then moves every task's
+    sums onto one common shift per column (exact algebra on the partial rows) and
+    adds them per pair. The shuffle carries k(k+1)/2 rows per task, whatever the
+    row count. Pairs with zero variance on either side give NULL.
     """
     num = numeric_view(df)
     cols = num.columns
-    means = num.agg(*[F.avg(f"`{c}`") for c in cols]).first()
-    shift = [0.0 if v is None else float(v) for v in means]
-    schema = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
-    parts = num.mapInPandas(_gram_partials(cols, shift), schema)
-    tot = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in
-                                        ("n", "sa", "sb", "saa", "sbb", "sab")])
+    schema = ("a int, b int, n double, sa double, sb double, saa double, sbb double, "
+              "sab double, ca double, cb double")
+    parts = num.mapInPandas(_gram_partials(cols), schema)
+    # Common shift per column: the count-weighted mean of the task shifts, from the
+    # diagonal partial rows (tasks x k rows).
+    shift = (parts.filter(F.col("a") == F.col("b")).groupBy("a")
+             .agg(F.coalesce(F.try_divide(F.sum(F.col("n") * F.col("ca")), F.sum("n")),
+                             F.lit(0.0)).alias("shift")))
+    da = F.col("ca") - F.col("shift_a")
+    db = F.col("cb") - F.col("shift_b")
     n = F.col("n")
+    # one row per column: a bounded broadcast
+    moved = (parts.join(F.broadcast(shift.withColumnRenamed("shift", "shift_a")), "a")
+             .join(F.broadcast(shift.withColumnRenamed("a", "b")
+                               .withColumnRenamed("shift", "shift_b")), "b")
+             .select("a", "b", "n",
+                     (F.col("sa") + n * da).alias("sa"), (F.col("sb") + n * db).alias("sb"),
+                     (F.col("saa") + 2 * da * F.col("sa") + n * da * da).alias("saa"),
+                     (F.col("sbb") + 2 * db * F.col("sb") + n * db * db).alias("sbb"),
+                     (F.col("sab") + db * F.col("sa") + da * F.col("sb") + n * da * db)
+                     .alias("sab")))
+    tot = moved.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in
+                                        ("n", "sa", "sb", "saa", "sbb", "sab")])
     ma, mb = F.col("sa") / n, F.col("sb") / n
     va = F.col("saa") / n - ma * ma
     vb = F.col("sbb") / n - mb * mb
