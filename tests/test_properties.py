@@ -172,3 +172,11 @@ def test_unique_upsert_equals_full_dedupe(spark, name):
     assert _same(fast, full)
     again = upd.upsert(fast, new, keys, current_unique=True)
     assert _same(again, full)
+
+
+def test_assert_unique(spark):
+    old, new = catalog.batches(spark, SF001, "target")
+    keys = UPDATE_KEYS["target"]
+    upd.assert_unique(old, keys, "old")
+    with pytest.raises(ValueError):
+        upd.assert_unique(old.unionByName(new), keys, "union")

@@ -18,6 +18,20 @@ from .joins import SmallSide
 SEQ = "_batch_seq"
 
 
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their count (one partial-aggregated
+    pass). The fused lags and the key-unique upsert assume this is empty."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > 1))
+
+
+def assert_unique(df: DataFrame, keys: list[str], name: str = "table") -> None:
+    """Raise if ``df`` has a repeated key (reads a few examples, never the table)."""
+    dup = duplicate_keys(df, keys).limit(5).collect()
+    if dup:
+        raise ValueError(f"{name}: {len(dup)}+ repeated keys on {keys}, e.g. {dup[0].asDict()}")
+
+
 def union_batches(*batches: DataFrame) -> DataFrame:
     """Union by column name, tagging each batch with its position (0 = oldest)."""
     tagged = [b.withColumn(SEQ, F.lit(i)) for i, b in enumerate(batches)]

@@ -374,6 +374,19 @@ def batches(spark, sf, name):
     return fx.split_batches(df, _TIME[name], _MEASURES[name])
 
 
+def target_key_duplicates(spark, sf):
+    """Repeated (segment, hour) keys in the history: the lag joins need none."""
+    return upd.duplicate_keys(_history(spark, sf), S.UPDATE_KEYS["target"])
+
+
+def client_key_duplicates(spark, sf):
+    """Repeated (date, county, is_business, product_type) in the merged client table:
+    the union of both batches before the upsert has them, the upsert removes them."""
+    old, new = batches(spark, sf, "client")
+    keys = S.UPDATE_KEYS["client"]
+    return upd.duplicate_keys(old.unionByName(new), keys)
+
+
 def union_batches_q(spark, sf):
     old, new = batches(spark, sf, "target")
     return rounded(upd.union_batches(old, new).withColumnRenamed(upd.SEQ, "batch"))
@@ -579,7 +592,7 @@ def _presenting(fn):
 # Registered queries whose result has a DATE column (see ``presented``).
 DATE_COLUMNS = {"scan_client": "date", "scan_gas": "forecast_date", "enforce_schema": "date",
                 "feature_date": "date", "holiday_calendar": "date", "update_client": "date",
-                "update_gas_prices": "forecast_date"}
+                "update_gas_prices": "forecast_date", "client_key_duplicates": "date"}
 
 
 def registry() -> dict:
@@ -615,6 +628,8 @@ def registry() -> dict:
         "segment_numeric": segment_numeric_q, "downcast_float": downcast_float,
         "features_train": features_train, "features_test": features_test,
         "union_batches": union_batches_q,
+        "target_key_duplicates": target_key_duplicates,
+        "client_key_duplicates": client_key_duplicates,
         "corr_with_target": corr_with_target_q, "corr_ranked": corr_ranked,
         "topk_features": topk_features, "categorical_as_string": categorical_as_string,
         "ts_folds": ts_folds, "mae_baseline": mae_baseline,

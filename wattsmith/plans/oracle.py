@@ -585,6 +585,12 @@ def oracle_sql() -> dict[str, str]:
     for name in UPDATE_SPECS:
         out[f"update_{name}"] = update_sql(name)
     out["stream_update"] = update_sql("target")
+    out["target_key_duplicates"] = with_ctes(
+        "SELECT datetime, county, is_business, product_type, is_consumption, count(*) AS n "
+        "FROM hist GROUP BY ALL HAVING count(*) > 1")
+    out["client_key_duplicates"] = with_ctes(
+        "SELECT date, county, is_business, product_type, count(*) AS n FROM batches "
+        "GROUP BY ALL HAVING count(*) > 1", {"batches": _batches_sql("client")})
     out["features_roundtrip"] = features_sql(False)
     out["corr_matrix"] = corr_matrix_sql()
     out["categorical_index"] = categorical_index_sql()
