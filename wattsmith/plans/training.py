@@ -98,11 +98,14 @@ def mae(scored: DataFrame, label: str = "target", prediction: str = "prediction"
                       F.count(F.lit(1)).alias("n"))
 
 
-def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, **kw) -> DataFrame:
+def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target",
+                   **kw) -> DataFrame:
     """Expanding-window CV: fold ``i`` trains on every row before its test block.
 
-    Returns one row per fold (fold, mae, n_test, n_train). The fold loop is over
-    six Spark fits; each fit and each score is distributed.
+    Returns one row per fold (fold, mae, n_test, n_train, lag168_mae: MAE of the
+    value a week earlier as the forecast, on the test rows that have one) plus the
+    mean MAE over folds. The fold loop is over six Spark fits; each fit and each
+    score is distributed.
     """
     spark = df.sparkSession
     folded = assign_folds(df, n_splits).cache()
@@ -112,10 +115,14 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, **kw) -> DataFrame:
         test = folded.filter(F.col("fold") == i)
         model = fit(train, **kw)
         r = mae(model.transform(test)).first()
+        base = None
+        if "target_168h" in df.columns:   # naive forecast: the value a week earlier
+            base = test.agg(F.avg(F.abs(F.col(label) - F.col("target_168h")))).first()[0]
         rows.append((i, float(r["mae"]) if r["mae"] is not None else None, int(r["n"]),
-                     train.count()))
+                     train.count(), base))
     folded.unpersist()
-    out = spark.createDataFrame(rows, "fold int, mae double, n_test long, n_train long")
+    out = spark.createDataFrame(
+        rows, "fold int, mae double, n_test long, n_train long, lag168_mae double")
     # six rows: the mean over folds rides along as a column
     return out.withColumn("mean_mae", F.avg("mae").over(Window.partitionBy(F.lit(1))))
 
