@@ -23,6 +23,7 @@ from ..operators import weather as wx
 from ..sources import fixtures as fx
 from ..sources import schemas as S
 from ..sources.readers import enforce_schema
+from ..operators.joins import SmallSide
 from ..sources.storage import filter_since, preprocess_test
 from .features import FeatureBuilder, add_holiday_flag, downcast_floats
 
@@ -164,6 +165,27 @@ def historical_local_mean(spark, sf):
     return rounded(wx.local_mean(_hw(spark, sf)))
 
 
+def lineitem_region_means(spark, sf):
+    """The weather-means operator on the larger stand-in tables: shipments are the
+    readings, suppliers the stations, a supplier's nation's region the county.
+    Station map (supplier x nation, a size-checked broadcast), then global and
+    per-region hourly means of four measures in one grouping-sets pass."""
+    import os
+    li = spark.read.parquet(os.path.join(sf, "lineitem.parquet"))
+    ts = F.col("l_shipdate").cast("timestamp_ntz")
+    rows = li.select(
+        F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                             F.lit(0), F.lit(0)).alias("datetime"),
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    sup = spark.read.parquet(os.path.join(sf, "supplier.parquet"))
+    nat = spark.read.parquet(os.path.join(sf, "nation.parquet"))
+    stations = SmallSide(sup.join(nat, sup.s_nationkey == nat.n_nationkey)
+                         .select(F.col("s_suppkey").alias("l_suppkey"),
+                                 F.col("n_regionkey").alias("county")), name="suppliers")
+    mapped = rows.join(stations.side(), "l_suppkey", "left").drop("l_suppkey")
+    return rounded(wx.hourly_means(mapped))
+
+
 def forecast_means_grouping_sets(spark, sf):
     """Global + local forecast means from one grouping-sets pass (level 1 = global)."""
     return rounded(wx.hourly_means(_fw(spark, sf)))
@@ -609,6 +631,7 @@ def registry() -> dict:
         "historical_global_mean": historical_global_mean,
         "historical_local_mean": historical_local_mean,
         "forecast_means_grouping_sets": forecast_means_grouping_sets,
+        "lineitem_region_means": lineitem_region_means,
         "forecast_global_lags": forecast_global_lags, "forecast_local_lags": forecast_local_lags,
         "historical_global_lags": historical_global_lags,
         "historical_local_lags": historical_local_lags,

@@ -585,6 +585,17 @@ def oracle_sql() -> dict[str, str]:
     for name in UPDATE_SPECS:
         out[f"update_{name}"] = update_sql(name)
     out["stream_update"] = update_sql("target")
+    lm = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = {"li": """SELECT CAST(date_trunc('hour', l.l_shipdate) AS TIMESTAMP) AS datetime,
+  n.n_regionkey AS county, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax
+FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""}
+    avgs = ", ".join(R(f"avg({m})", m) for m in lm)
+    out["lineitem_region_means"] = with_ctes(
+        f"SELECT CAST(NULL AS INT) AS county, datetime, {avgs}, CAST(1 AS TINYINT) AS level "
+        f"FROM li GROUP BY datetime UNION ALL "
+        f"SELECT county, datetime, {avgs}, CAST(0 AS TINYINT) AS level FROM li "
+        f"WHERE county IS NOT NULL GROUP BY county, datetime", li)
     out["target_key_duplicates"] = with_ctes(
         "SELECT datetime, county, is_business, product_type, is_consumption, count(*) AS n "
         "FROM hist GROUP BY ALL HAVING count(*) > 1")
