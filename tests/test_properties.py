@@ -180,3 +180,13 @@ def test_assert_unique(spark):
     upd.assert_unique(old, keys, "old")
     with pytest.raises(ValueError):
         upd.assert_unique(old.unionByName(new), keys, "union")
+
+
+def test_lag_strategies_give_same_features(spark):
+    from wattsmith.plans.features import FeatureBuilder
+    b = fx.bundle(spark, SF01)
+    auto = FeatureBuilder(b).generate(b.data)                      # in place
+    fused = FeatureBuilder(b, lag_strategy="fused").generate(b.data)
+    plain = FeatureBuilder(b, lag_strategy="plain").generate(b.data)
+    assert _same(auto, fused.select(*auto.columns))
+    assert _same(auto, plain.select(*auto.columns))

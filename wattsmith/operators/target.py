@@ -121,31 +121,42 @@ def join_lags_plain(features: DataFrame, history: DataFrame, keys: list[str], la
     return features
 
 
-def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
-                       bucket_hours: int | None = None) -> DataFrame:
-    """Exact-time lag as a window, for frames whose rows are the history itself:
-    ``target_{h}h`` is the value exactly ``h`` hours earlier in the same segment.
-
-    Windows are partitioned by segment *and* a time bucket of ``bucket_hours``
-    (at least ``h``), so no task sorts a whole segment's series. Each row also goes
-    to the next bucket as a lag source only, which puts every row's partner in its
-    own partition; the copies are dropped after the window.
+def lags_in_place(rows: DataFrame, lags: list[int], name: str = "target",
+                  keys=SEGMENT_TIME_KEYS, bucket_hours: int | None = None) -> DataFrame:
+    """Exact-time lags computed on the rows themselves (when the rows *are* the
+    history): ``{name}_{h}h`` is the value exactly ``h`` hours earlier in the same
+    segment, for every ``h`` in ``lags``.
+
+    Windows are partitioned by segment *and* a time bucket at least as wide as the
+    longest lag, so no task sorts a whole segment's series. Each row also goes to
+    the next bucket as a lag source only, which puts every row's partners in its
+    own partition; the copies are dropped afterwards. One sort serves all lags (the
+    frames share partitioning and order), and the rows are copied 2x, not 13x.
     """
     part = [k for k in keys if k != "datetime"]
-    width = max(h, bucket_hours or 7 * 24)
+    width = max(max(lags), bucket_hours or 7 * 24)
     # Wall-clock hours since 1970 (time-zone free on TIMESTAMP_NTZ).
     hours = (F.datediff(F.col("datetime").cast("date"), F.lit("1970-01-01").cast("date"))
              * F.lit(24) + F.hour("datetime"))
     bucket = F.floor(hours / F.lit(width)).cast("long")
     both = F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
                              F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
-    spread = history.select("*", both.alias("_s")).select(
+    spread = rows.select("*", both.alias("_s")).select(
         "*", F.col("_s.b").alias("_bucket"), F.col("_s.own").alias("_own")).drop("_s")
-    iv = f"INTERVAL {h} HOURS PRECEDING"
     by = ", ".join(part + ["_bucket"])
-    lagged = spread.withColumn(f"target_{h}h", F.expr(
-        f"first(target) OVER (PARTITION BY {by} ORDER BY datetime RANGE BETWEEN {iv} AND {iv})"))
-    return lagged.filter(F.col("_own")).drop("_bucket", "_own")
+    cols = {}
+    for h in lags:
+        iv = f"INTERVAL {h} HOURS PRECEDING"
+        cols[f"{name}_{h}h"] = F.expr(
+            f"first({name}) OVER (PARTITION BY {by} ORDER BY datetime "
+            f"RANGE BETWEEN {iv} AND {iv})")
+    return spread.withColumns(cols).filter(F.col("_own")).drop("_bucket", "_own")
+
+
+def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
+                       bucket_hours: int | None = None) -> DataFrame:
+    """One exact-time lag in window form (see ``lags_in_place``)."""
+    return lags_in_place(history, [h], "target", keys, bucket_hours)
 
 
 def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "fused",
@@ -155,7 +166,10 @@ def add_target_features(features: DataFrame, history: DataFrame, strategy: str =
     history = history.select(*SEGMENT_TIME_KEYS, "target")
     lag_src = scope.restrict_segment_hours(history, TARGET_LAGS) if scope else history
     sum_src = scope.restrict_hours(history, SUM_LAGS) if scope else history
-    if strategy == "fused":
+    if strategy == "in_place":
+        # the rows are the history: lags straight from their own series, no join
+        features = lags_in_place(features, TARGET_LAGS)
+    elif strategy == "fused":
         features = join_lags_fused(features, lag_src, LAG_JOIN_KEYS, TARGET_LAGS, "target")
     elif strategy == "plain":
         features = join_lags_plain(features, lag_src, SEGMENT_TIME_KEYS, TARGET_LAGS, "target")

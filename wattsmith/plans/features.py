@@ -38,12 +38,14 @@ def add_holiday_flag(df: DataFrame, holidays: DataFrame) -> DataFrame:
 class FeatureBuilder:
     """Builds the feature table from a :class:`TableBundle`.
 
-    ``lag_strategy``: "fused" (history shuffled once for all 13 lags) or "plain"
-    (one join per lag); both give the same rows. ``horizon``: forecast hours kept,
+    ``lag_strategy``: "auto" (default: "in_place" for training rows that are the
+    history itself, else "fused"), "in_place" (bucketed windows over the rows' own
+    series, no join), "fused" (history fanned out once for all 13 lags, one join)
+    or "plain" (one join per lag); all give the same rows. ``horizon``: forecast hours kept,
     ``None`` for every non-null horizon.
     """
 
-    def __init__(self, tables: TableBundle, lag_strategy: str = "fused",
+    def __init__(self, tables: TableBundle, lag_strategy: str = "auto",
                  horizon=FORECAST_HORIZON, holidays: DataFrame | None = None):
         self.tables = tables
         self.lag_strategy = lag_strategy
@@ -71,9 +73,9 @@ class FeatureBuilder:
         return add_historical_features(df, self.tables.historical_weather, self.stations(),
                                        scope=scope)
 
-    def target(self, df: DataFrame, scope=None) -> DataFrame:
-        return add_target_features(df, self.tables.target, strategy=self.lag_strategy,
-                                   scope=scope)
+    def target(self, df: DataFrame, scope=None, strategy: str | None = None) -> DataFrame:
+        return add_target_features(df, self.tables.target,
+                                   strategy=strategy or self.lag_strategy, scope=scope)
 
     def generate(self, rows: DataFrame, country: str = "EE", has_target: bool = True,
                  drop_helpers: bool = True, scope: bool | None = None) -> DataFrame:
@@ -94,7 +96,12 @@ class FeatureBuilder:
         # The target lags are the one join whose right side grows with the data
         # (a shuffle join at scale), so it runs first, while the rows are narrow;
         # every later join is a broadcast and adds columns map-side.
-        df = self.target(df, sc)
+        strategy = self.lag_strategy
+        if strategy == "auto":
+            is_history = (rows is self.tables.data and self.tables.target_is_data
+                          and with_target)
+            strategy = "in_place" if is_history else "fused"
+        df = self.target(df, sc, strategy)
         order["target"] = [c for c in df.columns if c not in order["general"]]
         df = self.client(df)
         df = self.forecast(df, sc)

@@ -39,6 +39,9 @@ class TableBundle:
     historical_weather: DataFrame
     station_map: DataFrame
     target: DataFrame
+    # True while ``target`` is the projection of ``data`` (then training rows can
+    # take their lags from their own series).
+    target_is_data: bool = False
 
     @classmethod
     def from_frames(cls, data, client, gas_prices, electricity_prices, forecast_weather,
@@ -49,7 +52,8 @@ class TableBundle:
                    forecast_weather=forecast_weather,
                    historical_weather=historical_weather,
                    station_map=cast_latlon(station_map),
-                   target=target if target is not None else target_history(data))
+                   target=target if target is not None else target_history(data),
+                   target_is_data=target is None)
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, fmt: str = "csv",
@@ -68,6 +72,8 @@ class TableBundle:
         )
 
     def with_tables(self, **tables: DataFrame) -> "TableBundle":
+        if "target" in tables or "data" in tables:
+            tables["target_is_data"] = False
         return replace(self, **tables)
 
     def schemas(self) -> dict:
