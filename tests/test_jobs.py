@@ -33,3 +33,29 @@ def test_notebook_flow(spark):
     assert preds.count() == test_rows.count()
     rec = read_runs(spark, f"{root}/runs").first()
     assert rec.params["n_features"] == "60" and rec.metrics["mean_absolute_error"] == score
+
+
+def test_command_line_steps(spark, tmp_path):
+    """features -> train -> evaluate -> score through the command-line entry."""
+    import pandas as pd
+
+    from test_features import _write_inputs
+    from wattsmith.__main__ import main
+    inp = tmp_path / "in"
+    inp.mkdir()
+    _write_inputs(str(inp))
+    train = pd.read_csv(inp / "train.csv")
+    last = train[train.datetime >= train.datetime.max()[:10]]
+    last.drop(columns=["target"]).rename(columns={"datetime": "prediction_datetime"}).to_csv(
+        inp / "test.csv", index=False)
+    out = tmp_path / "out"
+    assert main(["features", "--input", str(inp), "--output", str(out / "features")]) == 0
+    assert main(["train", "--features", str(out / "features"), "--model", str(out / "model"),
+                 "--runs", str(out / "runs")]) == 0
+    assert main(["evaluate", "--features", str(out / "features"), "--runs",
+                 str(out / "runs")]) == 0
+    assert main(["score", "--input", str(inp), "--test", str(inp / "test.csv"), "--model",
+                 str(out / "model"), "--output", str(out / "pred")]) == 0
+    pred = spark.read.parquet(str(out / "pred"))
+    assert pred.count() == len(last) and set(pred.columns) == {"row_id", "prediction"}
+    assert spark.read.parquet(str(out / "runs")).count() == 2
