@@ -90,3 +90,28 @@ def test_scoring_stream_equals_batch_scoring(spark):
 def _train_features(tables):
     from wattsmith.plans.features import FeatureBuilder
     return FeatureBuilder(tables).generate(tables.data)
+
+
+def test_partitioned_stream_rewrites_touched_days_only(spark):
+    from conftest import SF001
+    from wattsmith.plans import catalog
+    from wattsmith.streaming.updates import (init_partitioned_table,
+                                             start_partitioned_update_stream)
+    keys = S.UPDATE_KEYS["target"]
+    old, new = catalog.batches(spark, SF001, "target")
+    root = scratch_path(spark, "ptable")
+    init_partitioned_table(old, f"{root}/table", keys)
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(f"{root}/table/day=2024-01-02")
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = [st.getPath().getName() for st in fs.listStatus(fs_path)]
+    new.write.parquet(f"{root}/incoming")
+    q = start_partitioned_update_stream(spark, f"{root}/incoming", new.schema, keys,
+                                        f"{root}/table", f"{root}/ckpt")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/table").drop("day")
+    want = upsert(old, new, keys)
+    assert got.count() == want.count()
+    assert got.select(*want.columns).exceptAll(want).count() == 0
+    # an untouched day keeps its original files
+    assert [st.getPath().getName() for st in fs.listStatus(fs_path)] == before

@@ -107,8 +107,11 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target
     mean MAE over folds. The fold loop is over six Spark fits; each fit and each
     score is distributed.
     """
+    from ..operators.joins import materialize
     spark = df.sparkSession
-    folded = assign_folds(df, n_splits).cache()
+    # written once to the checkpoint folder: six fits re-read it, and a lost
+    # executor re-reads files instead of rebuilding the features
+    folded = materialize(assign_folds(df, n_splits), "cv_folds")
     rows = []
     for i in range(n_splits):
         train = folded.filter(F.col("fold") < i)
@@ -120,7 +123,6 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target
             base = test.agg(F.avg(F.abs(F.col(label) - F.col("target_168h")))).first()[0]
         rows.append((i, float(r["mae"]) if r["mae"] is not None else None, int(r["n"]),
                      train.count(), base))
-    folded.unpersist()
     out = spark.createDataFrame(
         rows, "fold int, mae double, n_test long, n_train long, lag168_mae double")
     # six rows: the mean over folds rides along as a column

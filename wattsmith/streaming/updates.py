@@ -65,6 +65,67 @@ def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructTy
     return writer.start()
 
 
+# A batch spanning more days than this rewrites the whole table instead.
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def merge_into_partitioned(batch: DataFrame, table_path: str, keys: list[str],
+                           part_col: str = "day", time_col: str = "datetime") -> None:
+    """Merge ``batch`` into a Parquet table partitioned by ``part_col`` (the day of
+    ``time_col``), rewriting only the partitions the batch touches.
+
+    The touched days are a short list (bounded by the batch's time span), so they
+    prune the read statically. The table is unique by key and every key lies in one
+    day, so the merge per touched day is exact. The result is staged in the
+    checkpoint folder first (a path cannot be read and overwritten in one job),
+    then written with dynamic partition overwrite.
+    """
+    from ..operators.joins import scratch_path
+    spark = batch.sparkSession
+    batch = batch.withColumn(part_col, F.col(time_col).cast("date"))
+    days = [r[0] for r in batch.select(part_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1)
+            .collect()]
+    current = spark.read.parquet(table_path)
+    if len(days) <= MAX_TOUCHED_PARTITIONS:
+        current = current.filter(F.col(part_col).isin(days))
+    merged = upsert(current, batch.select(*current.columns), keys, current_unique=True)
+    staged = scratch_path(spark, "merge")
+    merged.write.parquet(staged)
+    (spark.read.parquet(staged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
+
+
+def start_partitioned_update_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
+                                    keys: list[str], table_path: str, checkpoint: str,
+                                    time_col: str = "datetime", fmt: str = "parquet",
+                                    available_now: bool = True):
+    """As ``start_update_stream``, but the table is one Parquet path partitioned by
+    day and each micro-batch rewrites only the days it touches. The table must
+    already exist, unique by key (e.g. written by ``init_partitioned_table``)."""
+    stream = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        stream = stream.option("header", True)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            merge_into_partitioned(batch, table_path, keys, time_col=time_col)
+
+    writer = (stream.load(source_dir).writeStream.foreachBatch(merge)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def init_partitioned_table(df: DataFrame, table_path: str, keys: list[str],
+                           part_col: str = "day", time_col: str = "datetime") -> None:
+    """Write the initial table deduplicated by key and partitioned by day."""
+    from ..operators.update import keep_newest, union_batches
+    unique = keep_newest(union_batches(df), keys).select(*df.columns)
+    (unique.withColumn(part_col, F.col(time_col).cast("date")).write.mode("overwrite")
+     .partitionBy(part_col).parquet(table_path))
+
+
 def dedupe_stream(source: DataFrame, keys: list[str], event_time: str,
                   delay: str = "2 days") -> DataFrame:
     """Append-only variant: drop repeats of a key within the watermark delay.
@@ -74,5 +135,6 @@ def dedupe_stream(source: DataFrame, keys: list[str], event_time: str,
             .dropDuplicatesWithinWatermark(keys).drop("_event_ts"))
 
 
-__all__ = ["latest_version", "start_update_stream", "write_version", "dedupe_stream",
-           "F"]
+__all__ = ["dedupe_stream", "init_partitioned_table", "latest_version",
+           "merge_into_partitioned", "start_partitioned_update_stream", "start_update_stream",
+           "write_version"]
