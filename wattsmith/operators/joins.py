@@ -40,13 +40,15 @@ def left_join(left: DataFrame, right: DataFrame, on: list[str], suffix: str = "_
     return left.join(right, on=on, how="left")
 
 
-_WIDTHS = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4,
-           "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_FIXED = {"boolean", "byte", "short", "integer", "float", "date", "long", "double",
+          "timestamp", "timestamp_ntz"}
 
 
 def row_width_bytes(df: DataFrame) -> int:
-    """Estimated bytes per row (strings and nested types counted as 32)."""
-    return max(8, sum(_WIDTHS.get(f.dataType.typeName(), 32) for f in df.schema.fields))
+    """Bytes per row as a broadcast hash relation holds it: an UnsafeRow slot of 8
+    bytes per field plus a 16-byte header and hash entry; strings and nested
+    values are counted at 32 extra bytes."""
+    return 16 + sum(8 if f.dataType.typeName() in _FIXED else 40 for f in df.schema.fields)
 
 
 def scratch_root(spark) -> str:

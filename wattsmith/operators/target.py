@@ -168,6 +168,8 @@ def add_target_features(features: DataFrame, history: DataFrame, strategy: str =
     sum_src = scope.restrict_hours(history, SUM_LAGS) if scope else history
     if strategy == "in_place":
         # the rows are the history: lags straight from their own series, no join
+        if "target" not in features.columns:
+            raise ValueError("in_place lags need rows that carry the target history")
         features = lags_in_place(features, TARGET_LAGS)
     elif strategy == "fused":
         features = join_lags_fused(features, lag_src, LAG_JOIN_KEYS, TARGET_LAGS, "target")

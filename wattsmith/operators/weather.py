@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import cast_latlon
-from .joins import SmallSide, left_join, maybe_broadcast, shift_hours
+from .joins import SmallSide, left_join, shift_hours
 
 # Forecast horizon kept (hours ahead, inclusive) and the lags
 # (hours) at which each weather mean is joined.
@@ -136,7 +136,7 @@ def add_historical_features(features: DataFrame, historical: DataFrame, stations
     return features
 
 
-__all__ = ["FORECAST_HORIZON", "FORECAST_LAGS", "HISTORICAL_LAGS", "add_forecast_features",
-           "add_historical_features", "forecast_with_county", "global_mean",
-           "historical_with_county", "local_mean", "map_stations", "maybe_broadcast",
-           "station_side"]
+__all__ = ["FORECAST_HORIZON", "FORECAST_LAGS", "HISTORICAL_LAGS", "SmallSide",
+           "add_forecast_features", "add_historical_features", "forecast_with_county",
+           "global_mean", "historical_with_county", "hourly_means", "local_mean",
+           "map_stations", "station_side"]
