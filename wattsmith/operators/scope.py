@@ -31,9 +31,13 @@ class RowScope:
 
     @classmethod
     def probe(cls, rows: DataFrame, cap: int = DEFAULT_ROW_CAP) -> "RowScope | None":
-        """A scope for ``rows`` if they number at most ``cap`` (counted with a limit,
-        so a large frame is not scanned to the end), else None."""
-        if rows.limit(cap + 1).count() > cap:
+        """A scope for ``rows`` if they number at most ``cap``, else None.
+
+        The rows are counted with a plain distributed count (partial counts per
+        task; no limit, which would funnel rows into one task). Only when they are
+        few are their keys materialised.
+        """
+        if rows.count() > cap:
             return None
         keys = SmallSide(rows.select(*SEGMENT_KEYS, "datetime").distinct(), name="row_keys")
         return cls(keys) if keys.broadcast else None
