@@ -38,6 +38,8 @@ def test_cross_validate_six_folds(spark):
     assert [r.fold for r in rows] == list(range(6))
     assert all(r.mae is not None and r.n_test > 0 for r in rows)
     assert all(a.n_train < b.n_train for a, b in zip(rows, rows[1:]))
+    # the fitted model beats the naive forecast (the value a week earlier)
+    assert sum(r.mae for r in rows) < sum(r.lag168_mae for r in rows)
 
 
 def test_runs_table(spark):
