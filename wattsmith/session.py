@@ -52,7 +52,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we make one under /tmp.
+    Only when the session has none and runs in local mode (tests) do we make one
+    under the local temp folder; a cluster session without one is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        # A machine-local folder is invisible to the other executors.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                           "for cluster runs")
     path = tempfile.mkdtemp(prefix="wattsmith-ckpt-")
     sc.setCheckpointDir(path)
     return path
