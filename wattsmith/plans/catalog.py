@@ -593,19 +593,25 @@ def runs_table(spark, sf):
         "run_id", "model", "params", "metrics", "tags", "model_path")
 
 
-def presented(df: DataFrame) -> DataFrame:
-    """DATE columns shown as midnight TIMESTAMP_NTZ, so both engines hand the
-    comparison the same value type (the library itself keeps DATE)."""
-    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
-        return df
-    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
-                       if isinstance(f.dataType, T.DateType) else F.col(f"`{f.name}`")
-                       for f in df.schema.fields])
-
-
-def _presenting(fn):
+def presented(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
+    """Value types both engines hand to a comparison the same way: DATE columns as
+    midnight TIMESTAMP_NTZ, and the integer columns that can hold NULL (a county
+    from the station map, a count from a left join) as DOUBLE, which pandas shows
+    identically for both. The library itself keeps DATE and INT."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = c.cast("timestamp_ntz").alias(f.name)
+        elif f.name in as_double:
+            c = c.cast("double").alias(f.name)
+        out.append(c)
+    return df.select(*out)
+
+
+def _presenting(fn, as_double=()):
     def q(spark, sf):
-        return presented(fn(spark, sf))
+        return presented(fn(spark, sf), as_double)
     q.__name__ = fn.__name__
     q.__doc__ = fn.__doc__
     return q
@@ -617,6 +623,16 @@ DATE_COLUMNS = {"scan_client": "date", "scan_gas": "forecast_date", "enforce_sch
                 "update_gas_prices": "forecast_date", "client_key_duplicates": "date"}
 
 
+# Registered queries whose result has an integer column that can be NULL.
+NULLABLE_INTS = {"scan_stations": ("county",), "forecast_station_join": ("county",),
+                 "historical_station_join": ("county",), "forecast_horizon": ("county",),
+                 "forecast_all_horizons": ("county",),
+                 "forecast_means_grouping_sets": ("county",),
+                 "lineitem_region_means": ("county",), "client_lag2d": ("eic_count",),
+                 "features_train": ("eic_count",), "features_test": ("eic_count",),
+                 "features_roundtrip": ("eic_count",)}
+
+
 def registry() -> dict:
     q = {
         "scan_energy": scan_energy, "scan_energy_csv": scan_energy_csv, "scan_client": scan_client, "scan_gas": scan_gas,
@@ -665,4 +681,5 @@ def registry() -> dict:
     for name in ["client", "gas_prices", "electricity_prices", "forecast_weather",
                  "historical_weather", "target"]:
         q[f"update_{name}"] = _update(name)
-    return {k: _presenting(v) if k in DATE_COLUMNS else v for k, v in q.items()}
+    return {k: _presenting(v, NULLABLE_INTS.get(k, ())) if k in DATE_COLUMNS or k in NULLABLE_INTS
+            else v for k, v in q.items()}

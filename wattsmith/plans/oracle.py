@@ -605,7 +605,10 @@ LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""}
     out["features_roundtrip"] = features_sql(False)
     out["corr_matrix"] = corr_matrix_sql()
     out["categorical_index"] = categorical_index_sql()
-    from .catalog import DATE_COLUMNS
+    from .catalog import DATE_COLUMNS, NULLABLE_INTS
     for name, col in DATE_COLUMNS.items():
         out[name] = f"SELECT * REPLACE (CAST({col} AS TIMESTAMP) AS {col}) FROM ({out[name]})"
+    for name, cols in NULLABLE_INTS.items():
+        repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+        out[name] = f"SELECT * REPLACE ({repl}) FROM ({out[name]})"
     return out
