@@ -59,3 +59,14 @@ def test_command_line_steps(spark, tmp_path):
     pred = spark.read.parquet(str(out / "pred"))
     assert pred.count() == len(last) and set(pred.columns) == {"row_id", "prediction"}
     assert spark.read.parquet(str(out / "runs")).count() == 2
+
+
+def test_rank_inside_folds(spark):
+    root = scratch_path(spark, "flow2")
+    tables = fx.bundle(spark, SF001)
+    test_rows = tables.data.filter(
+        F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")).drop("target")
+    names, score, preds, _ = jobs.select_train_log(
+        spark, tables, test_rows, f"{root}/runs", f"{root}/model", params=TINY,
+        rank_in_fold=True)
+    assert score >= 0 and preds.count() == test_rows.count() and names

@@ -48,21 +48,35 @@ def evaluate(spark: SparkSession, features_path: str, runs_path: str,
     return score
 
 
+def top_names(train_df: DataFrame, n_features: int = N_FEATURES) -> list[str]:
+    """The top ``n - 1`` feature names by |corr| with the target (a bounded list)."""
+    helpers = [c for c in ("datetime", "date", "hour", "dayofyear", "fold")
+               if c in train_df.columns]
+    ranked = top_k_features(corr_with_target(train_df.drop(*helpers)), n_features)
+    names = [r.feature for r in ranked.orderBy("rank").select("feature").collect()]
+    return [n for n in names if n in feature_columns(train_df)]
+
+
 def select_train_log(spark: SparkSession, tables: TableBundle, test_rows: DataFrame,
                      runs_path: str, model_path: str, n_features: int = N_FEATURES,
-                     params: dict | None = None, categorical: bool = False):
+                     params: dict | None = None, categorical: bool = False,
+                     rank_in_fold: bool = False):
     """Rank → top-k → CV → fit → score ``test_rows`` → record. Returns
-    (feature names, CV MAE, predictions DataFrame, run id)."""
+    (feature names, CV MAE, predictions DataFrame, run id).
+
+    ``rank_in_fold``: rank features again inside every CV fold on its training
+    rows only (the default, like the notebooks, ranks once on all rows and so lets
+    the test blocks take part in the selection)."""
     builder = FeatureBuilder(tables)
     train_df = builder.generate(tables.data, drop_helpers=False)
-    ranked = top_k_features(corr_with_target(train_df.drop("datetime", "date", "hour",
-                                                          "dayofyear")), n_features)
-    # At most n - 1 names come back to the driver (a bounded list).
-    names = [r.feature for r in ranked.orderBy("rank").select("feature").collect()]
-    names = [n for n in names if n in feature_columns(train_df)]
+    names = top_names(train_df, n_features)
     p = dict(QUICK if params is None else params)
-    score = cv_score(cross_validate(train_df, params=p, features=names,
-                                    categorical=categorical))
+    if rank_in_fold:
+        folds = cross_validate(train_df, params=p, categorical=categorical,
+                               select=lambda tr: top_names(tr, n_features))
+    else:
+        folds = cross_validate(train_df, params=p, features=names, categorical=categorical)
+    score = cv_score(folds)
     model = fit(train_df, params=p, features=names, categorical=categorical)
     save_model(model, model_path)
     test_df = builder.generate(test_rows, has_target=False)

@@ -106,13 +106,15 @@ def mae(scored: DataFrame, label: str = "target", prediction: str = "prediction"
 
 
 def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target",
-                   **kw) -> DataFrame:
+                   select=None, **kw) -> DataFrame:
     """Expanding-window CV: fold ``i`` trains on every row before its test block.
 
     Returns one row per fold (fold, mae, n_test, n_train, lag168_mae: MAE of the
     value a week earlier as the forecast, on the test rows that have one) plus the
     mean MAE over folds. The fold loop is over six Spark fits; each fit and each
-    score is distributed.
+    score is distributed. ``select``: optional ``train rows -> feature names``,
+    run inside every fold on that fold's training rows only (feature selection
+    without looking at the test block).
     """
     from ..operators.joins import materialize
     spark = df.sparkSession
@@ -123,6 +125,8 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target
     for i in range(n_splits):
         train = folded.filter(F.col("fold") < i)
         test = folded.filter(F.col("fold") == i)
+        if select is not None:
+            kw = dict(kw, features=select(train))
         model = fit(train, **kw)
         r = mae(model.transform(test)).first()
         base = None
