@@ -171,3 +171,21 @@ def test_csv_columns_matched_by_name(spark, tmp_path):
     assert dict(df.dtypes)["datetime"] == "timestamp_ntz"
     rows = df.orderBy("row_id").collect()
     assert rows[0].target == 1.5 and rows[1].target is None and rows[1].county == 2
+
+
+def test_feature_table_csv_handoff_and_saved_schemas(spark, features, inputs, tmp_path):
+    """S12/S13: the feature table written as CSV and read back with its schema;
+    S10: the schemas captured at load are the explicit ones."""
+    from wattsmith.sources.readers import read_features, write_features
+    root, _, _ = inputs
+    path = str(tmp_path / "features_csv")
+    write_features(features, path, fmt="csv")
+    back = read_features(spark, path, fmt="csv", schema=features.schema)
+    assert back.count() == features.count()
+    assert back.select("row_id", "target", "segment").exceptAll(
+        features.select("row_id", "target", "segment")).count() == 0
+    t = TableBundle.load(spark, root, "csv")
+    saved = t.schemas()
+    assert [f.name for f in saved["client"].fields] == S.CLIENT_COLS
+    assert dict((f.name, f.dataType.simpleString()) for f in saved["target"].fields)[
+        "datetime"] == "timestamp_ntz"
