@@ -92,3 +92,39 @@ def test_holiday_expression_equals_table(spark):
     assert joined.filter(F.col("t") != F.col("e")).count() == 0
     in_range = table.join(days, "date", "left_semi")
     assert joined.filter("e").count() == in_range.count() > 300
+
+
+def test_easter_matches_dateutil_for_every_year(spark):
+    """The Spark computus against an independent implementation, 1583-2999."""
+    from dateutil.easter import easter
+    years = spark.range(1583, 3000).select(F.col("id").cast("int").alias("y"))
+    got = {r.y: r.e for r in years.select("y", cal.easter_sunday(F.col("y")).alias("e")).collect()}
+    assert all(got[y] == easter(y) for y in range(1583, 3000))
+
+
+def test_row_stats_property(spark):
+    """Row mean / sample std equal Python's statistics on random rows with NULLs."""
+    import statistics
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    val = st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False, width=64))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(val, val, val, val), min_size=1, max_size=40))
+    def check(rows):
+        df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+        cols = [F.col(c) for c in "abcd"]
+        out = df.select(row_mean(cols).alias("m"), row_std(cols).alias("s")).collect()
+        for r, o in zip(rows, out):
+            xs = [x for x in r if x is not None]
+            if not xs:
+                assert o.m is None and o.s is None
+                continue
+            assert math.isclose(o.m, statistics.fmean(xs), rel_tol=1e-9, abs_tol=1e-6)
+            if len(xs) < 2:
+                assert o.s is None
+            else:
+                assert math.isclose(o.s, statistics.stdev(xs), rel_tol=1e-6, abs_tol=1e-6)
+    check()
