@@ -93,9 +93,10 @@ class FeatureBuilder:
         df = rows.withColumn("date", F.col("datetime").cast("date"))
         df = self.general(df)
         order = {"general": df.columns}
-        # The target lags are the one join whose right side grows with the data
-        # (a shuffle join at scale), so it runs first, while the rows are narrow;
-        # every later join is a broadcast and adds columns map-side.
+        # The target lags are the one step that shuffles the rows (windows over the
+        # rows' own series for training rows, a join to the fanned-out history
+        # otherwise), so they run first, while the rows are narrow; every later
+        # join is a size-checked broadcast and adds its columns map-side.
         strategy = self.lag_strategy
         if strategy == "auto":
             is_history = (rows is self.tables.data and self.tables.target_is_data
