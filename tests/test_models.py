@@ -46,3 +46,4 @@ def test_runs_table(spark):
     rec = catalog.runs_table(spark, "/root/testdata/sf0.001").collect()
     assert len(rec) == 1 and rec[0].metrics["mean_absolute_error"] >= 0
     assert rec[0].params["maxIter"] == "10"
+    assert 0 < len(rec[0].input_example) <= 5 and rec[0].input_example[0].startswith("{")

@@ -590,7 +590,7 @@ def runs_table(spark, sf):
     run_id = log_run(spark, f"{root}/runs", "gbt", QUICK | {"n_features": 60, "is_holiday": True},
                      {"mean_absolute_error": err}, {"experiment": "gbt"}, df, path)
     return read_runs(spark, f"{root}/runs").filter(col("run_id") == run_id).select(
-        "run_id", "model", "params", "metrics", "tags", "model_path")
+        "run_id", "model", "params", "metrics", "tags", "input_example", "model_path")
 
 
 def presented(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUNS_SCHEMA = T.StructType([
@@ -21,6 +22,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()), True),
     T.StructField("tags", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("input_schema", T.StringType(), True),
+    T.StructField("input_example", T.ArrayType(T.StringType()), True),
     T.StructField("model_path", T.StringType(), True),
     T.StructField("ts", T.TimestampNTZType(), True),
 ])
@@ -28,14 +30,18 @@ RUNS_SCHEMA = T.StructType([
 
 def log_run(spark: SparkSession, runs_path: str, model: str, params: dict, metrics: dict,
             tags: dict | None = None, input_df: DataFrame | None = None,
-            model_path: str | None = None) -> str:
+            model_path: str | None = None, example_rows: int = 5) -> str:
     """Append one run record; ``params`` of several dicts are merged by the caller
-    (``a | b``), as the notebooks merge model and preprocessing settings."""
+    (``a | b``), as the notebooks merge model and preprocessing settings. The input
+    is recorded by its schema and ``example_rows`` rows as JSON (never the frame)."""
     run_id = uuid.uuid4().hex
+    example = ([r[0] for r in input_df.limit(example_rows)
+                .select(F.to_json(F.struct("*"))).collect()]
+               if input_df is not None and example_rows else None)
     row = (run_id, model, {k: str(v) for k, v in params.items()},
            {k: float(v) for k, v in metrics.items() if v is not None},
            {k: str(v) for k, v in (tags or {}).items()},
-           input_df.schema.json() if input_df is not None else None, model_path,
+           input_df.schema.json() if input_df is not None else None, example, model_path,
            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     spark.createDataFrame([row], RUNS_SCHEMA).write.mode("append").parquet(runs_path)
     return run_id
