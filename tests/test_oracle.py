@@ -13,13 +13,15 @@ FAST = ["scan_energy", "scan_client", "filter_since", "forecast_horizon",
         "target_lags", "target_type_sum_lags", "target_county_type_sum_lags", "target_row_std",
         "target_ratios", "calendar_features", "cyclic_features", "holiday_flag",
         "update_forecast_weather", "union_batches", "ts_folds", "features_train",
-        "features_test", "corr_ranked"]
+        "features_test", "corr_ranked", "corr_matrix", "categorical_index",
+        "lineitem_region_means", "scan_energy_csv", "target_lag_range_frame",
+        "target_key_duplicates", "client_key_duplicates", "update_client"]
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("events",):
+    for t in ("events", "lineitem", "supplier", "nation"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF001, t)}.parquet')")
     return c
 

@@ -16,7 +16,7 @@ def row_mean(cols: list[Column]) -> Column:
     """Mean of the non-null values in ``cols``; NULL when all are NULL."""
     n = _count_present(cols)
     s = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0.0)) for c in cols])
-    return F.when(n > 0, s / n)
+    return F.when(n > 0, F.try_divide(s, n))
 
 
 def row_std(cols: list[Column]) -> Column:
@@ -26,7 +26,7 @@ def row_std(cols: list[Column]) -> Column:
     ss = reduce(lambda a, b: a + b,
                 [F.when(c.isNotNull(), (c - mean) * (c - mean)).otherwise(F.lit(0.0))
                  for c in cols])
-    return F.when(n >= 2, F.sqrt(ss / (n - 1)))
+    return F.when(n >= 2, F.sqrt(F.try_divide(ss, n - 1)))
 
 
 def safe_ratio(numerator: Column, denominator: Column, eps: float = 1e-3) -> Column:

@@ -130,14 +130,17 @@ def corr_matrix(df: DataFrame) -> DataFrame:
                      .alias("sab")))
     tot = moved.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in
                                         ("n", "sa", "sb", "saa", "sbb", "sab")])
-    ma, mb = F.col("sa") / n, F.col("sb") / n
-    va = F.col("saa") / n - ma * ma
-    vb = F.col("sbb") / n - mb * mb
-    cov = F.col("sab") / n - ma * mb
+    def per_row(c):   # NULL for a pair with no complete rows (ANSI-safe)
+        return F.try_divide(F.col(c), n)
+
+    ma, mb = per_row("sa"), per_row("sb")
+    va = per_row("saa") - ma * ma
+    vb = per_row("sbb") - mb * mb
+    cov = per_row("sab") - ma * mb
     # Shifted sums leave rounding noise where a variance is mathematically 0.
-    tiny_a = va <= F.lit(1e-12) * (F.col("saa") / n)
-    tiny_b = vb <= F.lit(1e-12) * (F.col("sbb") / n)
-    corr = F.when((n > 0) & ~tiny_a & ~tiny_b, cov / F.sqrt(va * vb))
+    tiny_a = va <= F.lit(1e-12) * per_row("saa")
+    tiny_b = vb <= F.lit(1e-12) * per_row("sbb")
+    corr = F.when((n > 0) & ~tiny_a & ~tiny_b, F.try_divide(cov, F.sqrt(va * vb)))
     names = F.array(*[F.lit(c) for c in cols])
     na, nb = F.element_at(names, F.col("a") + 1), F.element_at(names, F.col("b") + 1)
     # Each unordered pair once, named in alphabetical order.
