@@ -457,11 +457,12 @@ def ts_folds(spark, sf):
 
 def mae_baseline(spark, sf):
     """MAE per fold of the 7-day-ago value used as the forecast (rows where it exists)."""
-    feats = _train(spark, sf).select("row_id", "target", "target_168h")
-    folds = folds_op.assign_folds(_fold_rows(spark, sf)).select("row_id", "fold")
-    j = feats.join(folds, "row_id").filter(F.col("target_168h").isNotNull())
+    rows = _fold_rows(spark, sf)
+    lagged = tgt.join_lags_fused(rows, _history(spark, sf), tgt.LAG_JOIN_KEYS, [168], "target")
+    folds = folds_op.assign_folds(rows).select("row_id", "fold")
+    j = lagged.join(folds, "row_id").filter(F.col("target_168h").isNotNull())
     return rounded(j.groupBy("fold").agg(
-        F.avg(F.abs(F.col("target") - F.col("target_168h").cast("double"))).alias("mae"),
+        F.avg(F.abs(F.col("target") - F.col("target_168h"))).alias("mae"),
         F.count(F.lit(1)).alias("n")))
 
 
