@@ -79,10 +79,18 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     executor re-reads the files instead of re-aggregating the weather), and the
     reread carries real size statistics.
     """
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """``materialize`` that also returns the row count, observed during the write
+    itself (no second job)."""
+    from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["n"])
 
 
 def bounded_count(small: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> int:
@@ -107,7 +115,11 @@ class SmallSide:
 
     def __init__(self, df: DataFrame, budget_bytes: int | None = None,
                  materialized: bool = False, rows: int | None = None, name: str = "side"):
-        self.df = df if materialized else materialize(df, name)
+        if materialized:
+            self.df = df
+        else:
+            self.df, counted = materialize_counted(df, name)
+            rows = counted if rows is None else rows
         budget_bytes = budget_bytes or broadcast_budget(df.sparkSession)
         self.budget_bytes = budget_bytes
         self.rows = bounded_count(self.df, budget_bytes) if rows is None else rows
