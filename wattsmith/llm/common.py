@@ -72,22 +72,25 @@ def prefix_sums(values: Column, block: int = 128) -> Column:
     return let(values, lambda v: let(blocks_of(v), lambda blocks: within(v, blocks)))
 
 
-def add_slots(df: DataFrame, group: str, order: list[Column], rows_per_slice: int, rows: int,
-              slot: str) -> DataFrame:
-    """Number the rows of each ``group`` 0, 1, 2, ... without one task per group.
-
-    Rows are dealt to slices by the hash of their order columns, numbered inside
-    (group, slice), and shifted by the counts of the slices before. Only the
-    counts, one per (group, slice), meet in a window.
+def running_total(df: DataFrame, group: list[str], order: list[str], weight: Column, rows: int,
+                  out: str) -> DataFrame:
+    """Add ``out``: the sum of ``weight`` over the rows of the same group that come
+    before, in some fixed order, without one task per group.
+
+    Rows are dealt to about sqrt(``rows``) slices by the hash of their order
+    columns, summed inside (group, slice), and shifted by the totals of the slices
+    before. Only those totals, one per (group, slice), meet in a window. Rows that
+    agree in all order columns are interchangeable.
     """
-    slices = max(1, math.ceil(rows / rows_per_slice))
-    cut = df.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(slices)).cast("int"))
-    counts = cut.groupBy(F.col(group).alias("__g"), F.col("__slice").alias("__s")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("__g").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    inside = Window.partitionBy(group, "__slice").orderBy(*order)
-    return (cut.withColumn("__rank", F.row_number().over(inside))
-            .join(offsets, (F.col(group) == F.col("__g")) & (F.col("__slice") == F.col("__s")))
-            .withColumn(slot, F.col("__before") + F.col("__rank") - 1)
-            .drop("__g", "__s", "__n", "__before", "__rank", "__slice"))
+    slices = max(1, math.isqrt(max(0, rows)))
+    cut = (df.withColumn("__w", weight.cast("bigint"))
+           .withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(slices)).cast("int")))
+    keys = [*group, "__slice"]
+    totals = cut.groupBy(*keys).agg(F.sum("__w").alias("__t"))
+    before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (cut.withColumn("__in", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
+            .join(offsets, keys)
+            .withColumn(out, F.col("__off") + F.col("__in"))
+            .drop("__w", "__slice", "__in", "__off"))

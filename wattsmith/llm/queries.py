@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import pii, quality_rules, secrets, sharding, simhash
 
-MODULES = [quality_rules]
+MODULES = [pii, simhash, secrets, quality_rules, sharding]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
