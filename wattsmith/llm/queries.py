@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality_rules, secrets, sharding, simhash
+from . import (decontaminate, importance, language_id, line_dedup, pii, quality_rules, secrets,
+               sentencepiece, sharding, simhash)
 
-MODULES = [pii, simhash, secrets, quality_rules, sharding]
+MODULES = [importance, decontaminate, pii, simhash, line_dedup, language_id, sentencepiece, secrets,
+           quality_rules, sharding]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
