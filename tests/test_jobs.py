@@ -19,6 +19,10 @@ def test_batch_job(spark):
     score = jobs.evaluate(spark, fpath, f"{root}/runs", params=TINY)
     runs = read_runs(spark, f"{root}/runs")
     assert runs.count() == 2 and runs.filter(F.col("run_id") == run_id).count() == 1
+    again = jobs.evaluate(spark, fpath, f"{root}/runs", params=TINY, run_id=run_id)
+    own = read_runs(spark, f"{root}/runs").filter(F.col("run_id") == run_id).collect()
+    assert len(own) == 1 and own[0].metrics == {"mean_absolute_error": again}
+    assert own[0].tags == {"step": "train"} and read_runs(spark, f"{root}/runs").count() == 2
     assert score >= 0
 
 
@@ -51,9 +55,9 @@ def test_command_line_steps(spark, tmp_path):
     out = tmp_path / "out"
     assert main(["features", "--input", str(inp), "--output", str(out / "features")]) == 0
     assert main(["train", "--features", str(out / "features"), "--model", str(out / "model"),
-                 "--runs", str(out / "runs")]) == 0
+                 "--runs", str(out / "runs"), "--trees", "2"]) == 0
     assert main(["evaluate", "--features", str(out / "features"), "--runs",
-                 str(out / "runs")]) == 0
+                 str(out / "runs"), "--trees", "2"]) == 0
     assert main(["score", "--input", str(inp), "--test", str(inp / "test.csv"), "--model",
                  str(out / "model"), "--output", str(out / "pred")]) == 0
     pred = spark.read.parquet(str(out / "pred"))

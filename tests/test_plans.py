@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF001
 from wattsmith.plans import catalog
 from wattsmith.plans.features import FeatureBuilder
@@ -35,16 +37,26 @@ def test_training_plan_shuffles_rows_once(spark):
     assert plan.count("BroadcastHashJoin") >= 12
 
 
-def test_test_rows_plan_lag_join_has_one_exchange_per_side(spark):
+def _shape(plan):
+    return re.findall(r"(\w+Join|Exchange \w+|Window|Sort|HashAggregate)\b", plan)
+
+
+def test_test_rows_plan_has_no_join_for_the_lags(spark):
+    """Rows and history meet in one window exchange; the plan is the same for a few
+    rows as for all, and the history is cut by a literal range."""
     _no_auto_broadcast(spark)
     try:
         b = fx.bundle(spark, SF001)
         rows = b.data.drop("target")
-        plan = _plan(FeatureBuilder(b).generate(rows, has_target=False, scope=False))
+        few = rows.filter(F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
+        whole = _plan(FeatureBuilder(b).generate(rows, has_target=False))
+        part = _plan(FeatureBuilder(b).generate(few, has_target=False))
     finally:
         _reset(spark)
-    assert plan.count("SortMergeJoin") == 1
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
+    assert "SortMergeJoin" not in whole
+    assert len(re.findall(r"Exchange hashpartitioning", whole)) == 3
+    assert _shape(whole) == _shape(part)
+    assert re.search(r"datetime#\d+ >= 20", part)
 
 
 def test_time_filter_reaches_the_scan(spark, tmp_path):

@@ -1,8 +1,8 @@
 """Command line for the batch job: ``python -m wattsmith <step> ...``.
 
   features  --input DIR [--format csv|parquet] --output PATH
-  train     --features PATH --model PATH --runs PATH [--profile quick|lightgbm|xgboost]
-  evaluate  --features PATH --runs PATH [--profile ...]
+  train     --features PATH --model PATH --runs PATH [--profile lightgbm|xgboost] [--trees N]
+  evaluate  --features PATH --runs PATH [--run ID] [--profile ...]
   score     --input DIR [--format ...] --test PATH --model PATH --output PATH
 
 Each step is one Spark application reading what the previous one wrote. The
@@ -18,9 +18,9 @@ import json
 from pyspark.sql import SparkSession
 
 
-def _profile(name: str) -> dict:
-    from .plans.training import PROFILES, QUICK
-    return dict(QUICK) if name == "quick" else dict(PROFILES[name])
+def _profile(args) -> dict:
+    from .plans.training import profile
+    return profile(args.profile, args.trees)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -34,11 +34,14 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--features", required=True)
     t.add_argument("--model", required=True)
     t.add_argument("--runs", required=True)
-    t.add_argument("--profile", default="quick", choices=["quick", "lightgbm", "xgboost"])
+    t.add_argument("--profile", default="lightgbm", choices=["lightgbm", "xgboost"])
+    t.add_argument("--trees", type=int, help="another number of trees than the profile's")
     e = sub.add_parser("evaluate")
     e.add_argument("--features", required=True)
     e.add_argument("--runs", required=True)
-    e.add_argument("--profile", default="quick", choices=["quick", "lightgbm", "xgboost"])
+    e.add_argument("--run", help="id of the run that train recorded; its record gets the error")
+    e.add_argument("--profile", default="lightgbm", choices=["lightgbm", "xgboost"])
+    e.add_argument("--trees", type=int, help="another number of trees than the profile's")
     s = sub.add_parser("score")
     s.add_argument("--input", required=True)
     s.add_argument("--format", default="csv", choices=["csv", "parquet"])
@@ -61,10 +64,10 @@ def main(argv: list[str] | None = None) -> int:
         out = {"features": args.output}
     elif args.step == "train":
         out = {"run_id": jobs.train(spark, args.features, args.model, args.runs,
-                                    _profile(args.profile))}
+                                    _profile(args))}
     elif args.step == "evaluate":
         out = {"mean_absolute_error": jobs.evaluate(spark, args.features, args.runs,
-                                                    _profile(args.profile))}
+                                                    _profile(args), args.run)}
     else:
         from .plans.runs import load_model
         from .sources.readers import read_table

@@ -46,14 +46,29 @@ def ordered_positions(df: DataFrame, order_cols: list[str], num_partitions: int
             .drop("_pid", "_idx", "_off"))
 
 
+def cumulative_counts(counts: DataFrame, time_col: str) -> DataFrame:
+    """``counts`` (one row per time, ``_cnt``) with ``_start``, the rows at earlier times.
+
+    Times may be as many as the rows (seconds, say), so they are cut into contiguous
+    slices, summed inside each, and shifted by the totals of the slices before: only
+    one row per slice meets in a window.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(counts.repartitionByRange(parts, time_col).withColumn("_pid", F.spark_partition_id()))
+    totals = ranged.groupBy("_pid").agg(F.sum("_cnt").alias("_t"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(time_col).rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(
+        ranged.withColumn("_in", F.coalesce(F.sum("_cnt").over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_pid").withColumn("_start", F.col("_off") + F.col("_in"))
+        .drop("_pid", "_in", "_off"))
+
+
 def assign_folds(df: DataFrame, n_splits: int = N_SPLITS, time_col: str = "datetime",
                  tie_col: str = "row_id") -> DataFrame:
     """``df`` plus ``fold`` (see module doc)."""
-    hours = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy(time_col).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per distinct timestamp: bounded by the time span, not by the data.
-    hours = hours.withColumn("_start", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    hours = materialize(hours)
+    hours = cumulative_counts(df.groupBy(time_col).agg(F.count(F.lit(1)).alias("_cnt")), time_col)
     n = hours.agg(F.coalesce(F.sum("_cnt"), F.lit(0))).first()[0]
     t = n // (n_splits + 1)
     first = n - n_splits * t
@@ -64,16 +79,17 @@ def assign_folds(df: DataFrame, n_splits: int = N_SPLITS, time_col: str = "datet
 
     start, end = F.col("_start"), F.col("_start") + F.col("_cnt") - 1
     hours = hours.withColumn("_f0", fold_of(start)).withColumn("_f1", fold_of(end))
-    side = SmallSide(hours.select(time_col, "_start", "_f0", "_f1"), materialized=True)
-    tagged = df.join(side.side(), on=time_col, how="left")
+    side = SmallSide(hours.select(F.col(time_col).alias("_hour"), "_start", "_f0", "_f1"), materialized=True)
+    # Rows without a time come first, in Spark's order, and belong to folds like any other.
+    tagged = df.join(side.side(), F.col(time_col).eqNullSafe(F.col("_hour"))).drop("_hour")
     whole = tagged.filter(F.col("_f0") == F.col("_f1")).withColumn("fold", F.col("_f0"))
     split = tagged.filter(F.col("_f0") != F.col("_f1"))
     ranked = ordered_positions(split, [time_col, tie_col], pos_col="_pos")
     # _pos counts rows of boundary hours only; add back the rows of whole hours
     # in between by using the hour start plus the rank inside the hour.
-    first_in_hour = ranked.groupBy(time_col).agg(F.min("_pos").alias("_p0"))
-    ranked = (ranked.join(F.broadcast(first_in_hour), time_col)
+    first_in_hour = ranked.groupBy(F.col(time_col).alias("_hour")).agg(F.min("_pos").alias("_p0"))
+    ranked = (ranked.join(F.broadcast(first_in_hour), F.col(time_col).eqNullSafe(F.col("_hour")))
               .withColumn("fold", fold_of(F.col("_start") + F.col("_pos") - F.col("_p0")))
-              .drop("_pos", "_p0"))
+              .drop("_pos", "_p0", "_hour"))
     cols = df.columns + ["fold"]
     return whole.select(*cols).unionByName(ranked.select(*cols))

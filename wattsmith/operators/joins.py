@@ -85,19 +85,20 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
 def materialize_counted(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
     """``materialize`` that also returns the row count, observed during the write
     itself (no second job)."""
+    out, counts = materialize_observed(df, name)
+    return out, counts["n"]
+
+
+def materialize_observed(df: DataFrame, name: str = "side", **counts) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns the row count ``n`` and, by name, how many
+    rows satisfy each condition in ``counts``."""
     from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
-
-
-def bounded_count(small: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> int:
-    """Rows of a materialised side. A plain count over the written Parquet files:
-    distributed, and it reads row-group metadata rather than column data (a
-    ``limit`` first would funnel rows of every task into one)."""
-    return small.count()
+    seen = [F.count_if(c).alias(k) for k, c in counts.items()]
+    df.observe(obs, F.count(F.lit(1)).alias("n"), *seen).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), {k: int(v) for k, v in obs.get.items()}
 
 
 def maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
@@ -108,26 +109,30 @@ def maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
 class SmallSide:
     """A materialised join side, its row count, and the broadcast decision.
 
-    ``derive`` makes a side from this one (a filter, a projection, a small fold)
-    whose row count is bounded by ``row_factor`` times this one's, so its broadcast
-    decision needs no further job.
+    ``derive`` makes a side from this one (a filter, a projection, a shift) with its
+    own row count, so its decision is its own and needs no further job. ``counts``
+    names conditions to count while the side is written (see ``counted``).
     """
 
     def __init__(self, df: DataFrame, budget_bytes: int | None = None,
-                 materialized: bool = False, rows: int | None = None, name: str = "side"):
+                 materialized: bool = False, rows: int | None = None, name: str = "side",
+                 counts: dict | None = None):
+        self.counted: dict = {}
         if materialized:
             self.df = df
         else:
-            self.df, counted = materialize_counted(df, name)
-            rows = counted if rows is None else rows
-        budget_bytes = budget_bytes or broadcast_budget(df.sparkSession)
-        self.budget_bytes = budget_bytes
-        self.rows = bounded_count(self.df, budget_bytes) if rows is None else rows
-        self.broadcast = self.rows * row_width_bytes(self.df) <= budget_bytes
-
-    def derive(self, fn, row_factor: int = 1) -> "SmallSide":
+            self.df, self.counted = materialize_observed(df, name, **(counts or {}))
+            rows = self.counted["n"] if rows is None else rows
+        self.budget_bytes = budget_bytes or broadcast_budget(df.sparkSession)
+        # Over written Parquet files a count reads footers, not column data.
+        self.rows = self.df.count() if rows is None else rows
+        self.broadcast = self.rows * row_width_bytes(self.df) <= self.budget_bytes
+
+    def derive(self, fn, rows: int | None = None) -> "SmallSide":
+        """The side ``fn`` makes of this one; ``rows``: its row count (default: no more
+        than this one's)."""
         return SmallSide(fn(self.df), self.budget_bytes, materialized=True,
-                         rows=self.rows * row_factor)
+                         rows=self.rows if rows is None else rows)
 
     def side(self, transform=None) -> DataFrame:
         df = transform(self.df) if transform else self.df

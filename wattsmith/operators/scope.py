@@ -1,57 +1,33 @@
-"""Row scope: restrict each source to what a small set of prediction rows can use.
-
-Scoring a day of new rows must not aggregate years of weather or fan out the
-whole target history. When the rows are few (a bounded probe says so), their
-keys are materialised once and every source is cut down by a broadcast semi-join
-before it is aggregated: the history to the exact (segment, hour - lag) keys the
-lag joins will look up, and the weather / target sums to the hours they will look
-up. The left joins then return exactly what they would on the full sources.
+"""Row scope: restrict each source to the hours a set of prediction rows can use.
+
+Scoring a day of new rows must not aggregate years of weather or look through the
+whole target history. One aggregate gives the rows' first and last hour; every
+source is then cut to the hours its lags reach back to from there, by a literal
+compare that reaches the scan. The joins return exactly what they would on the
+full sources, the plan is the same for any number of rows, and nothing is
+collected but the two hours.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import SmallSide
-
-SEGMENT_KEYS = ["county", "is_business", "product_type", "is_consumption"]
-# Rows above this many are treated as a training-size frame (no scoping).
-DEFAULT_ROW_CAP = 2_000_000
-
-
-def _back(lags: list[int]):
-    return F.explode(F.array(*[F.col("datetime") - F.make_dt_interval(F.lit(0), F.lit(h))
-                               for h in lags]))
-
 
 class RowScope:
-    def __init__(self, keys: SmallSide):
-        self.keys = keys
+    def __init__(self, first: dt.datetime | None, last: dt.datetime | None):
+        self.first, self.last = first, last
 
     @classmethod
-    def probe(cls, rows: DataFrame, cap: int = DEFAULT_ROW_CAP) -> "RowScope | None":
-        """A scope for ``rows`` if they number at most ``cap``, else None.
-
-        The rows are counted with a plain distributed count (partial counts per
-        task; no limit, which would funnel rows into one task). Only when they are
-        few are their keys materialised.
-        """
-        if rows.count() > cap:
-            return None
-        keys = SmallSide(rows.select(*SEGMENT_KEYS, "datetime").distinct(), name="row_keys")
-        return cls(keys) if keys.broadcast else None
-
-    def hours(self, lags: list[int]) -> DataFrame:
-        """Source hours the rows reach through ``lags``; bounded by rows x lags."""
-        return self.keys.df.select(_back(lags).alias("datetime")).distinct()
-
-    def segment_hours(self, lags: list[int]) -> DataFrame:
-        return self.keys.df.select(*SEGMENT_KEYS, _back(lags).alias("datetime")).distinct()
+    def probe(cls, rows: DataFrame) -> "RowScope":
+        return cls(*rows.agg(F.min("datetime"), F.max("datetime")).first())
 
     def restrict_hours(self, df: DataFrame, lags: list[int]) -> DataFrame:
-        return df.join(F.broadcast(self.hours(lags)), on="datetime", how="left_semi")
-
-    def restrict_segment_hours(self, df: DataFrame, lags: list[int]) -> DataFrame:
-        return df.join(F.broadcast(self.segment_hours(lags)), on=SEGMENT_KEYS + ["datetime"],
-                       how="left_semi")
+        """The rows of ``df`` that ``lags`` (hours) can reach back to."""
+        if self.first is None:  # no row has a time, so nothing is looked up
+            return df.filter(F.lit(False))
+        def at(t, h):
+            return F.lit((t - dt.timedelta(hours=h)).isoformat(sep=" ")).cast("timestamp_ntz")
+        return df.filter(F.col("datetime").between(at(self.first, max(lags)), at(self.last, min(lags))))

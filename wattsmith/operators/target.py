@@ -68,38 +68,36 @@ def lag_table(history: DataFrame, keys: list[str], lags: list[int], name: str) -
 
 
 def sum_lag_table(history: DataFrame, lags: list[int] = SUM_LAGS) -> DataFrame:
-    """Lagged sums at both aggregation levels from one pass over the history.
-
-    History rows are fanned out to their ``len(lags)`` future positions, then one
-    grouping-sets aggregation yields, per (county, is_business, is_consumption,
-    datetime) [``level`` 0] and per (is_business, is_consumption, datetime)
-    [``level`` 1], the column ``v_{h}`` = sum of the targets ``h`` hours earlier:
-    0 when that hour has rows whose targets are all NULL, NULL when it has no rows.
-    Partial aggregation combines map-side, so hot keys never reach one task whole.
+    """Lagged sums at both aggregation levels from one aggregation of the history.
+
+    The history is summed per (county, is_business, is_consumption, datetime)
+    [``level`` 0], those sums are rolled up over the counties [``level`` 1] (Spark
+    reuses the exchange), and only these small tables are fanned out to the hours
+    that look back at them. ``v_{h}`` is the sum ``h`` hours earlier: 0 when that
+    hour has rows whose targets are all NULL, NULL when it has no rows.
     """
-    part = ["county", "is_business", "is_consumption"]
-    shifted = F.explode(F.array(*[
-        F.struct(F.lit(h).alias("lag"),
-                 (F.col("datetime") + F.make_dt_interval(F.lit(0), F.lit(h))).alias("ts"))
-        for h in lags])).alias("s")
-    fanned = history.select(*part, "target", shifted).select(
-        *part, F.col("s.ts").alias("datetime"), F.col("s.lag").alias("lag"), "target")
-    at = {h: F.col("lag") == h for h in lags}
-    return (fanned.groupingSets([TYPE_SUM_KEYS, COUNTY_TYPE_SUM_KEYS], *TYPE_SUM_KEYS)
-            .agg(*[F.when(F.count(F.when(at[h], 1)) > 0,
-                          F.coalesce(F.sum(F.when(at[h], F.col("target"))), F.lit(0.0)))
-                   .alias(f"v_{h}") for h in lags],
-                 F.grouping("county").alias("level")))
+    by_county = type_sum(history)
+    overall = summed(by_county, COUNTY_TYPE_SUM_KEYS)
+
+    def level(sums, keys, n):
+        return lag_table(sums, keys, lags, "v").select(
+            F.col("county") if "county" in keys else F.lit(None).cast(history.schema["county"].dataType).alias("county"),
+            *COUNTY_TYPE_SUM_KEYS, *[F.col(f"v_{h}h").alias(f"v_{h}") for h in lags],
+            F.lit(n).cast("byte").alias("level"))
+    return level(by_county, TYPE_SUM_KEYS, 0).unionByName(level(overall, COUNTY_TYPE_SUM_KEYS, 1))
 
 
 def sum_sides(history: DataFrame, lags: list[int] = SUM_LAGS):
     """(type-sum side, county-type-sum side), both derived from one materialised table."""
-    table = SmallSide(sum_lag_table(history, lags), name="target_sums")
+    table = SmallSide(sum_lag_table(history, lags), name="target_sums",
+                      counts={"whole": F.col("level") == 1})
     type_side = table.derive(lambda d: d.filter(F.col("level") == 0).select(
-        *TYPE_SUM_KEYS, *[F.col(f"v_{h}").alias(f"target_all_type_sum_{h}h") for h in lags]))
+        *TYPE_SUM_KEYS, *[F.col(f"v_{h}").alias(f"target_all_type_sum_{h}h") for h in lags]),
+        rows=table.rows - table.counted["whole"])
     county_side = table.derive(lambda d: d.filter(F.col("level") == 1).select(
         *COUNTY_TYPE_SUM_KEYS,
-        *[F.col(f"v_{h}").alias(f"target_all_county_type_sum_{h}h") for h in lags]))
+        *[F.col(f"v_{h}").alias(f"target_all_county_type_sum_{h}h") for h in lags]),
+        rows=table.counted["whole"])
     return type_side, county_side
 
 
@@ -121,6 +119,23 @@ def join_lags_plain(features: DataFrame, history: DataFrame, keys: list[str], la
     return features
 
 
+def _hours(col: str = "datetime"):
+    """Wall-clock hours since 1970 (time-zone free on TIMESTAMP_NTZ)."""
+    return (F.datediff(F.col(col).cast("date"), F.lit("1970-01-01").cast("date")) * F.lit(24)
+            + F.hour(col))
+
+
+def _exact_lags(spread: DataFrame, value: str, lags: list[int], name: str, part: list[str]) -> DataFrame:
+    by = ", ".join(part + ["_bucket"])
+    cols = {}
+    for h in lags:
+        iv = f"INTERVAL {h} HOURS PRECEDING"
+        cols[f"{name}_{h}h"] = F.expr(
+            f"first({value}, true) OVER (PARTITION BY {by} ORDER BY datetime "
+            f"RANGE BETWEEN {iv} AND {iv})")
+    return spread.withColumns(cols).filter(F.col("_own"))
+
+
 def lags_in_place(rows: DataFrame, lags: list[int], name: str = "target",
                   keys=SEGMENT_TIME_KEYS, bucket_hours: int | None = None) -> DataFrame:
     """Exact-time lags computed on the rows themselves (when the rows *are* the
@@ -134,23 +149,26 @@ def lags_in_place(rows: DataFrame, lags: list[int], name: str = "target",
     frames share partitioning and order), and the rows are copied 2x, not 13x.
     """
     part = [k for k in keys if k != "datetime"]
-    width = max(max(lags), bucket_hours or 7 * 24)
-    # Wall-clock hours since 1970 (time-zone free on TIMESTAMP_NTZ).
-    hours = (F.datediff(F.col("datetime").cast("date"), F.lit("1970-01-01").cast("date"))
-             * F.lit(24) + F.hour("datetime"))
-    bucket = F.floor(hours / F.lit(width)).cast("long")
+    bucket = F.floor(_hours() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
     both = F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
                              F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
     spread = rows.select("*", both.alias("_s")).select(
         "*", F.col("_s.b").alias("_bucket"), F.col("_s.own").alias("_own")).drop("_s")
-    by = ", ".join(part + ["_bucket"])
-    cols = {}
-    for h in lags:
-        iv = f"INTERVAL {h} HOURS PRECEDING"
-        cols[f"{name}_{h}h"] = F.expr(
-            f"first({name}) OVER (PARTITION BY {by} ORDER BY datetime "
-            f"RANGE BETWEEN {iv} AND {iv})")
-    return spread.withColumns(cols).filter(F.col("_own")).drop("_bucket", "_own")
+    return _exact_lags(spread, name, lags, name, part).drop("_bucket", "_own")
+
+
+def lags_by_windows(rows: DataFrame, history: DataFrame, lags: list[int], name: str = "target",
+                    keys=SEGMENT_TIME_KEYS, bucket_hours: int | None = None) -> DataFrame:
+    """The same for rows that are not the history (rows to score): the history's rows
+    go to their bucket and the next one as lag sources only, and each row of
+    ``rows`` to its own. One exchange and one sort of both, no join."""
+    part = [k for k in keys if k != "datetime"]
+    bucket = F.floor(_hours() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
+    own = rows.withColumns({"_bucket": bucket, "_own": F.lit(True), "_past": F.lit(None).cast("double")})
+    past = history.select(*part, "datetime", F.explode(F.array(bucket, bucket + 1)).alias("_bucket"),
+                          F.lit(False).alias("_own"), F.col("target").cast("double").alias("_past"))
+    spread = own.unionByName(past, allowMissingColumns=True)
+    return _exact_lags(spread, "_past", lags, name, part).drop("_bucket", "_own", "_past")
 
 
 def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
@@ -159,18 +177,20 @@ def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,
     return lags_in_place(history, [h], "target", keys, bucket_hours)
 
 
-def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "fused",
+def add_target_features(features: DataFrame, history: DataFrame, strategy: str = "windows",
                         ratios: bool = True, scope=None) -> DataFrame:
     """Lags, lagged sums, row statistics and ratios. ``scope`` (a ``RowScope``)
     first cuts the history down to what the rows can look up."""
     history = history.select(*SEGMENT_TIME_KEYS, "target")
-    lag_src = scope.restrict_segment_hours(history, TARGET_LAGS) if scope else history
+    lag_src = scope.restrict_hours(history, TARGET_LAGS) if scope else history
     sum_src = scope.restrict_hours(history, SUM_LAGS) if scope else history
     if strategy == "in_place":
         # the rows are the history: lags straight from their own series, no join
         if "target" not in features.columns:
             raise ValueError("in_place lags need rows that carry the target history")
         features = lags_in_place(features, TARGET_LAGS)
+    elif strategy == "windows":
+        features = lags_by_windows(features, lag_src, TARGET_LAGS)
     elif strategy == "fused":
         features = join_lags_fused(features, lag_src, LAG_JOIN_KEYS, TARGET_LAGS, "target")
     elif strategy == "plain":

@@ -1,13 +1,16 @@
 """Incremental update: union a new batch into a table and keep one row per key.
 
 "Newest wins": every row carries its batch sequence number and the row with the
-highest one is kept. The choice is an aggregation (``max`` of a struct that starts
-with the sequence number), so Spark combines map-side before the shuffle and a
-hot key never lands whole in one task.
+highest one is kept. The choice is ``max_by`` per column under one order, the
+sequence number and then a hash of the row, so Spark keeps fixed-width columns in a
+hash aggregate, combines map-side before the shuffle, and takes all columns from
+the same row; a hot key never lands whole in one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from ..sources.schemas import UPDATE_KEYS
 from .joins import SmallSide
 
 SEQ = "_batch_seq"
+_ORDER = "_row_order"
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,11 +46,14 @@ def union_batches(*batches: DataFrame) -> DataFrame:
 
 
 def keep_newest(tagged: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per ``keys``: the one from the newest batch (ties: larger values)."""
+    """One row per ``keys``: the one from the newest batch (of several in that batch,
+    the one whose values hash highest, so the choice repeats)."""
     values = [c for c in tagged.columns if c not in keys and c != SEQ]
-    packed = F.struct(F.col(SEQ), *[F.col(f"`{c}`") for c in values])
-    return (tagged.groupBy(*keys).agg(F.max(packed).alias("_row"))
-            .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in values]))
+    if not values:
+        return tagged.select(*keys).distinct()
+    tie = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in values]), 16)
+    ranked = tagged.withColumn(_ORDER, F.shiftleft(F.col(SEQ).cast("long"), 48) + tie)
+    return ranked.groupBy(*keys).agg(*[F.max_by(f"`{c}`", _ORDER).alias(c) for c in values])
 
 
 def upsert(current: DataFrame, new: DataFrame, keys: list[str], schema=None,
@@ -65,7 +72,9 @@ def upsert(current: DataFrame, new: DataFrame, keys: list[str], schema=None,
     if not current_unique:
         return keep_newest(union_batches(current, new), keys).select(*cols)
     batch = SmallSide(keep_newest(union_batches(new), keys).select(*cols), name="batch")
-    kept = current.join(batch.side(lambda d: d.select(*keys)), on=keys, how="left_anti")
+    held = batch.side(lambda d: d.select(*[F.col(k).alias(f"_new_{k}") for k in keys]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    kept = current.join(held, same, "left_anti")  # null-safe, as grouping by key is
     return kept.select(*cols).unionByName(batch.df)
 
 

@@ -65,29 +65,41 @@ def local_mean(weather: DataFrame) -> DataFrame:
 
 
 def hourly_means(weather: DataFrame) -> DataFrame:
-    """Global and per-county hourly means in one pass (grouping sets).
+    """Global and per-county hourly means from one aggregation of the raw rows.
 
-    ``level`` 1 rows are the global means (county aggregated away), ``level`` 0 the
-    per-county means; the level-0 row of unmapped stations (NULL county) is
-    dropped, as the local mean ignores them.
+    Sums and counts per (county, hour) first; the global means roll those up (Spark
+    reuses the exchange), so the raw rows are neither expanded nor shuffled twice.
+    ``level`` 1 rows are the global means, over all stations; ``level`` 0 the
+    per-county means, without the unmapped stations (NULL county).
     """
     ms = measures(weather)
-    out = (weather.groupingSets([["datetime"], ["county", "datetime"]], "county", "datetime")
-           .agg(*[F.avg(f"`{m}`").alias(m) for m in ms], F.grouping("county").alias("level")))
-    return out.filter((F.col("level") == 1) | F.col("county").isNotNull())
+    sums = [F.sum(f"`{m}`").alias(f"_s{i}") for i, m in enumerate(ms)]
+    counts = [F.count(f"`{m}`").alias(f"_n{i}") for i, m in enumerate(ms)]
+    parts = weather.groupBy("county", "datetime").agg(*sums, *counts)
+    whole = parts.groupBy("datetime").agg(*[F.sum(c).alias(c) for i in range(len(ms))
+                                            for c in (f"_s{i}", f"_n{i}")])
+    means = [F.try_divide(f"_s{i}", f"_n{i}").alias(m) for i, m in enumerate(ms)]
+
+    def level(df, county, n):
+        return df.select(county, "datetime", *means, F.lit(n).cast("byte").alias("level"))
+    kind = parts.schema["county"].dataType
+    return level(parts.filter(F.col("county").isNotNull()), F.col("county"), 0).unionByName(
+        level(whole, F.lit(None).cast(kind).alias("county"), 1))
 
 
 def means_side(weather: DataFrame, name: str) -> SmallSide:
     """Materialise ``hourly_means`` once; global and local sides derive from it."""
-    return SmallSide(hourly_means(weather), name=name)
+    return SmallSide(hourly_means(weather), name=name, counts={"whole": F.col("level") == 1})
 
 
 def global_side(means: SmallSide) -> SmallSide:
-    return means.derive(lambda d: d.filter(F.col("level") == 1).drop("county", "level"))
+    return means.derive(lambda d: d.filter(F.col("level") == 1).drop("county", "level"),
+                        rows=means.counted.get("whole"))
 
 
 def local_side(means: SmallSide) -> SmallSide:
-    return means.derive(lambda d: d.filter(F.col("level") == 0).drop("level"))
+    own = means.rows - means.counted["whole"] if "whole" in means.counted else None
+    return means.derive(lambda d: d.filter(F.col("level") == 0).drop("level"), rows=own)
 
 
 def join_lagged(features: DataFrame, side: SmallSide, keys: list[str], lags: list[int],

@@ -39,9 +39,10 @@ class FeatureBuilder:
     """Builds the feature table from a :class:`TableBundle`.
 
     ``lag_strategy``: "auto" (default: "in_place" for training rows that are the
-    history itself, else "fused"), "in_place" (bucketed windows over the rows' own
-    series, no join), "fused" (history fanned out once for all 13 lags, one join)
-    or "plain" (one join per lag); all give the same rows. ``horizon``: forecast hours kept,
+    history itself, else "windows"), "in_place" (bucketed windows over the rows' own
+    series, no join), "windows" (the same over rows and history together), "fused"
+    (history fanned out once for all 13 lags, one join) or "plain" (one join per
+    lag); all give the same rows. ``horizon``: forecast hours kept,
     ``None`` for every non-null horizon.
     """
 
@@ -84,8 +85,8 @@ class FeatureBuilder:
         ``target`` is carried through as a column (never re-attached by position) and
         stays DOUBLE; rows with a NULL target are dropped when ``has_target``.
         ``scope``: cut every source down to what the rows can look up (see
-        ``operators.scope``). Default: on for test rows when they are few, off for
-        training rows (which are the history itself).
+        ``operators.scope``). Default: on for test rows, off for training rows (which
+        are the history itself).
         """
         with_target = "target" in rows.columns
         use_scope = (not has_target) if scope is None else scope
@@ -93,15 +94,15 @@ class FeatureBuilder:
         df = rows.withColumn("date", F.col("datetime").cast("date"))
         df = self.general(df)
         order = {"general": df.columns}
-        # The target lags are the one step that shuffles the rows (windows over the
-        # rows' own series for training rows, a join to the fanned-out history
-        # otherwise), so they run first, while the rows are narrow; every later
+        # The target lags are the one step that shuffles the rows (windows over their
+        # own series, or over them and the history), so they run first, while the
+        # rows are narrow; every later
         # join is a size-checked broadcast and adds its columns map-side.
         strategy = self.lag_strategy
         if strategy == "auto":
             is_history = (rows is self.tables.data and self.tables.target_is_data
                           and with_target)
-            strategy = "in_place" if is_history else "fused"
+            strategy = "in_place" if is_history else "windows"
         df = self.target(df, sc, strategy)
         order["target"] = [c for c in df.columns if c not in order["general"]]
         df = self.client(df)

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import materialize
 from ..operators.selection import N_FEATURES, corr_with_target, top_k_features
 from ..sources.readers import read_features, write_features
 from ..sources.storage import TableBundle
 from .features import FeatureBuilder
-from .runs import log_run, save_model
-from .training import QUICK, cross_validate, cv_score, feature_columns, fit, predict
+from .runs import add_metrics, log_run, save_model
+from .training import cross_validate, cv_score, feature_columns, fit, predict
 
 
 def preprocess(spark: SparkSession, tables: TableBundle, features_path: str) -> str:
@@ -29,22 +30,25 @@ def preprocess(spark: SparkSession, tables: TableBundle, features_path: str) ->
 
 
 def train(spark: SparkSession, features_path: str, model_path: str, runs_path: str,
-          params: dict | None = None) -> str:
+          params: dict) -> str:
     """Step 2: fit on every feature column, save the model, record the run."""
     df = read_features(spark, features_path)
-    p = dict(QUICK if params is None else params)
-    model = fit(df, params=p)
+    model = fit(df, params)
     save_model(model, model_path)
-    return log_run(spark, runs_path, "gbt", p, {}, {"step": "train"}, df, model_path)
+    return log_run(spark, runs_path, "gbt", params, {}, {"step": "train"}, df, model_path)
 
 
-def evaluate(spark: SparkSession, features_path: str, runs_path: str,
-             params: dict | None = None) -> float:
-    """Step 3: expanding-fold CV; the mean MAE is appended as a run record."""
+def evaluate(spark: SparkSession, features_path: str, runs_path: str, params: dict,
+             run_id: str | None = None) -> float:
+    """Step 3: expanding-fold CV; the mean MAE goes to the run of ``run_id`` (the one
+    step 2 recorded), or to a record of its own."""
     df = read_features(spark, features_path)
-    p = dict(QUICK if params is None else params)
-    score = cv_score(cross_validate(df, params=p))
-    log_run(spark, runs_path, "gbt", p, {"mean_absolute_error": score}, {"step": "evaluate"})
+    score = cv_score(cross_validate(df, params))
+    metrics = {"mean_absolute_error": score}
+    if run_id:
+        add_metrics(spark, runs_path, run_id, metrics)
+    else:
+        log_run(spark, runs_path, "gbt", params, metrics, {"step": "evaluate"})
     return score
 
 
@@ -58,8 +62,8 @@ def top_names(train_df: DataFrame, n_features: int = N_FEATURES) -> list[str]:
 
 
 def select_train_log(spark: SparkSession, tables: TableBundle, test_rows: DataFrame,
-                     runs_path: str, model_path: str, n_features: int = N_FEATURES,
-                     params: dict | None = None, categorical: bool = False,
+                     runs_path: str, model_path: str, params: dict,
+                     n_features: int = N_FEATURES, categorical: bool = False,
                      rank_in_fold: bool = False):
     """Rank → top-k → CV → fit → score ``test_rows`` → record. Returns
     (feature names, CV MAE, predictions DataFrame, run id).
@@ -68,21 +72,21 @@ def select_train_log(spark: SparkSession, tables: TableBundle, test_rows: DataFr
     rows only (the default, like the notebooks, ranks once on all rows and so lets
     the test blocks take part in the selection)."""
     builder = FeatureBuilder(tables)
-    train_df = builder.generate(tables.data, drop_helpers=False)
+    # Written once: ranking, folds, fit and the record's example all read it.
+    train_df = materialize(builder.generate(tables.data, drop_helpers=False), "features")
     names = top_names(train_df, n_features)
-    p = dict(QUICK if params is None else params)
     if rank_in_fold:
-        folds = cross_validate(train_df, params=p, categorical=categorical,
+        folds = cross_validate(train_df, params, categorical=categorical,
                                select=lambda tr: top_names(tr, n_features))
     else:
-        folds = cross_validate(train_df, params=p, features=names, categorical=categorical)
+        folds = cross_validate(train_df, params, features=names, categorical=categorical)
     score = cv_score(folds)
-    model = fit(train_df, params=p, features=names, categorical=categorical)
+    model = fit(train_df, params, features=names, categorical=categorical)
     save_model(model, model_path)
     test_df = builder.generate(test_rows, has_target=False)
     preds = predict(model, test_df)
-    run_id = log_run(spark, runs_path, "gbt", p | {"n_features": n_features,
-                                                   "is_holiday": "is_holiday" in names},
+    run_id = log_run(spark, runs_path, "gbt", params | {"n_features": n_features,
+                                                        "is_holiday": "is_holiday" in names},
                      {"mean_absolute_error": score}, {"experiment": "top-k"},
                      train_df.select(*[F.col(f"`{n}`") for n in names]), model_path)
     return names, score, preds, run_id

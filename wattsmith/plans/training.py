@@ -22,18 +22,15 @@ from ..sources.schemas import CATEGORICAL_COLS
 # the number of expanding folds.
 # ---------------------------------------------------------------------------
 PROFILES = {
-    # learning rate 0.1, 500 trees; the 31-leaf limit (leaf-wise growth under a
-    # depth cap of 10) is what bounds each tree, and a depth-wise learner reaches
-    # 32 leaves at depth 5. Leaves of at least 20 rows and 255 bins are that
-    # library's documented defaults.
-    "lightgbm": {"stepSize": 0.1, "maxDepth": 5, "maxIter": 500,
+    # learning rate 0.1, depth 10, 500 trees; leaves of at least 20 rows and 255 bins
+    # are that library's documented defaults. It also stops a tree at 31 leaves, which
+    # a depth-wise learner cannot do: these trees may grow to the full depth.
+    "lightgbm": {"stepSize": 0.1, "maxDepth": 10, "maxIter": 500,
                  "minInstancesPerNode": 20, "maxBins": 255},
     # learning rate 0.1, depth 10 (that library grows depth-wise too), 500 trees,
     # 256 histogram bins (its documented default).
     "xgboost": {"stepSize": 0.1, "maxDepth": 10, "maxIter": 500, "maxBins": 256},
 }
-# A small profile for smoke runs and the registered queries.
-QUICK = {"stepSize": 0.1, "maxDepth": 4, "maxIter": 10}
 N_SPLITS = 6
 # ---------------------------------------------------------------------------
 
@@ -41,6 +38,11 @@ MISSING = -1.0e9   # stand-in for NULL: trees put it in its own region below eve
 NOT_FEATURES = {"row_id", "target", "datetime", "date", "hour", "dayofyear", "fold"}
 
 
+def profile(name: str, trees: int | None = None) -> dict:
+    """A profile's settings, with another number of trees if given."""
+    return PROFILES[name] | ({"maxIter": trees} if trees else {})
+
+
 def feature_columns(df: DataFrame) -> list[str]:
     """Model inputs: every numeric/boolean/string column but keys and the label."""
     out = []
@@ -56,44 +58,44 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
-def build_pipeline(df: DataFrame, features: list[str] | None = None, categorical: bool = False,
-                   params: dict | None = None, label: str = "target") -> Pipeline:
-    """Fill NULLs with a sentinel, index categoricals, assemble, and boost.
+def build_pipeline(df: DataFrame, params: dict, features: list[str] | None = None,
+                   categorical: bool = False, label: str = "target") -> Pipeline:
+    """Fill NULLs and NaNs with a sentinel, index categoricals, assemble, and boost.
 
     ``categorical``: index the five categorical columns and let the trees split
-    them as categories (``maxBins`` covers their cardinality); otherwise only the
-    string ``segment`` is indexed and everything else is numeric.
+    them as categories; otherwise only the string ``segment`` is indexed and
+    everything else is numeric. The booster's ``maxBins`` must cover the largest
+    category count; ``fit`` raises it from the indexer's labels.
     """
     features = features or feature_columns(df)
     types = dict(df.dtypes)
     cats = [c for c in features if c in CATEGORICAL_COLS and (categorical or types[c] == "string")]
     nums = [c for c in features if c not in cats]
-    fill = ", ".join(
-        f"coalesce(CAST({_q(c)} AS DOUBLE), {MISSING}) AS {_q(c + '__x')}" for c in nums)
-    stages = [SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__")]
-    for c in cats:
-        src = c if types[c] == "string" else f"{c}__s"
-        if src != c:
-            stages.append(SQLTransformer(
-                statement=f"SELECT *, CAST({_q(c)} AS STRING) AS {_q(src)} FROM __THIS__"))
-        stages.append(StringIndexer(inputCol=src, outputCol=f"{c}__i", handleInvalid="keep"))
+    cast = [f"coalesce(nanvl(CAST({_q(c)} AS DOUBLE), {MISSING}), {MISSING}) AS {_q(c + '__x')}" for c in nums]
+    cast += [f"CAST({_q(c)} AS STRING) AS {_q(c + '__s')}" for c in cats]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(cast)} FROM __THIS__")]
+    if cats:
+        stages.append(StringIndexer(inputCols=[f"{c}__s" for c in cats],
+                                    outputCols=[f"{c}__i" for c in cats], handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[f"{c}__x" for c in nums] + [f"{c}__i" for c in cats],
                                   outputCol="features", handleInvalid="keep"))
-    p = dict(QUICK if params is None else params)
+    p = dict(params)
     # Deep trees: keep node ids cached instead of re-walking trees each level, and
     # checkpoint (to the session's checkpoint folder) every 10 iterations so the
     # boosting lineage stays short and a lost executor does not replay it.
     p.setdefault("cacheNodeIds", p.get("maxDepth", 5) >= 8)
     p.setdefault("checkpointInterval", 10)
-    if cats:
-        card = max(df.agg(*[F.countDistinct(c) for c in cats]).first())
-        p["maxBins"] = max(p.get("maxBins", 32), int(card) + 1)
     stages.append(GBTRegressor(featuresCol="features", labelCol=label, seed=42, **p))
     return Pipeline(stages=stages)
 
 
-def fit(df: DataFrame, **kw) -> PipelineModel:
-    return build_pipeline(df, **kw).fit(df)
+def fit(df: DataFrame, params: dict, **kw) -> PipelineModel:
+    """Fit the pipeline; ``df`` is read once per stage, so pass a written table."""
+    *prepare, booster = build_pipeline(df, params, **kw).getStages()
+    prepared = Pipeline(stages=prepare).fit(df)
+    labels = [len(x) for s in prepared.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
+    booster.setMaxBins(max([booster.getMaxBins(), *[n + 1 for n in labels]]))
+    return PipelineModel(prepared.stages + [booster.fit(prepared.transform(df))])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -105,16 +107,26 @@ def mae(scored: DataFrame, label: str = "target", prediction: str = "prediction"
                       F.count(F.lit(1)).alias("n"))
 
 
-def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target",
+def cv_blocks(folded: DataFrame, n_splits: int = N_SPLITS, label: str = "target") -> DataFrame:
+    """What each fold has, without a model: fold, n_test, n_train, lag168_mae (MAE of
+    the value a week earlier as the forecast, on the test rows that have one)."""
+    base = (F.abs(F.col(label) - F.col("target_168h").cast("double"))
+            if "target_168h" in folded.columns else F.lit(None).cast("double"))
+    per = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n_test"), F.avg(base).alias("lag168_mae"))
+    before = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)  # a row per fold
+    return per.withColumn("n_train", F.coalesce(F.sum("n_test").over(before), F.lit(0))).filter(
+        (F.col("fold") >= 0) & (F.col("fold") < n_splits)).select("fold", "n_test", "n_train", "lag168_mae")
+
+
+def cross_validate(df: DataFrame, params: dict, n_splits: int = N_SPLITS, label: str = "target",
                    select=None, **kw) -> DataFrame:
     """Expanding-window CV: fold ``i`` trains on every row before its test block.
 
-    Returns one row per fold (fold, mae, n_test, n_train, lag168_mae: MAE of the
-    value a week earlier as the forecast, on the test rows that have one) plus the
-    mean MAE over folds. The fold loop is over six Spark fits; each fit and each
-    score is distributed. ``select``: optional ``train rows -> feature names``,
-    run inside every fold on that fold's training rows only (feature selection
-    without looking at the test block).
+    Returns one row per fold (fold, mae, n_test, n_train, lag168_mae: see
+    ``cv_blocks``) plus the mean MAE over folds. The fold loop is over six Spark
+    fits; each fit and each score is distributed. ``select``: optional ``train rows
+    -> feature names``, run inside every fold on that fold's training rows only
+    (feature selection without looking at the test block).
     """
     from ..operators.joins import materialize
     spark = df.sparkSession
@@ -127,15 +139,10 @@ def cross_validate(df: DataFrame, n_splits: int = N_SPLITS, label: str = "target
         test = folded.filter(F.col("fold") == i)
         if select is not None:
             kw = dict(kw, features=select(train))
-        model = fit(train, **kw)
-        r = mae(model.transform(test)).first()
-        base = None
-        if "target_168h" in df.columns:   # naive forecast: the value a week earlier
-            base = test.agg(F.avg(F.abs(F.col(label) - F.col("target_168h")))).first()[0]
-        rows.append((i, float(r["mae"]) if r["mae"] is not None else None, int(r["n"]),
-                     train.count(), base))
-    out = spark.createDataFrame(
-        rows, "fold int, mae double, n_test long, n_train long, lag168_mae double")
+        r = mae(fit(train, params, **kw).transform(test)).first()
+        rows.append((i, float(r["mae"]) if r["mae"] is not None else None))
+    out = spark.createDataFrame(rows, "fold int, mae double").join(
+        cv_blocks(folded, n_splits, label), "fold", "left")
     # six rows: the mean over folds rides along as a column
     return out.withColumn("mean_mae", F.avg("mae").over(Window.partitionBy(F.lit(1))))
 

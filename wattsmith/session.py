@@ -8,6 +8,7 @@ caller has not set them already.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         # A machine-local folder is invisible to the other executors.
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                            "for cluster runs")

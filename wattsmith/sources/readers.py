@@ -16,13 +16,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     """Scan one input and project ``columns`` with the types of ``schema``.
 
     CSV columns are matched by header *name* (files may hold more columns, in any
-    order): the header gives string columns without an inference pass, and one
-    projection selects and casts the needed ones, so the scan reads only those.
-    Parquet is read as stored and cast the same way.
+    order): the header line alone is read first, and the scan gets the saved types in
+    the header's order (unknown columns as strings), so filters on typed columns reach
+    it. Parquet is read as stored and cast the same way.
     """
     cols = columns or schema.fieldNames()
     if fmt == "csv":
-        df = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+        names = spark.read.option("header", True).csv(path).columns
+        types = {f.name: f.dataType for f in schema.fields}
+        typed = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        df = spark.read.schema(typed).option("header", True).option("mode", "FAILFAST").csv(path)
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     else:

@@ -1,49 +1,146 @@
 """The incremental update as a stream: new batches arrive as files, each micro-batch
 is merged into the current table version (newest wins) and written as the next one.
 
-``foreachBatch`` gives exactly-once table versions: a batch's output goes to a
-folder named after its batch id and the pointer to the latest version is only
-the folder listing, so a retried batch overwrites its own folder.
+A version is a folder of its own, never overwritten, and a commit record written
+last: ``_commits/<n>`` names the folder, the version it was merged into, and the
+stream and batch it came from. A batch that is already recorded is not merged
+again, so replays after a lost checkpoint record change nothing; a new stream
+continues from the latest version; of two streams that commit at once one gets the
+number and the other merges again into the new version. Readers see a version
+once its record is whole.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import SmallSide, scratch_path
 from ..operators.update import upsert
 
 
-def latest_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the highest ``v=<n>`` folder under ``table_root`` (None if none)."""
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _read_text(spark: SparkSession, path) -> str:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = path.getFileSystem(conf)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _claims(spark: SparkSession, table_root: str) -> dict[int, dict | None]:
+    """Commit records by number; None where a writer ended before its record was whole."""
+    fs, path = _fs(spark, f"{table_root.rstrip('/')}/_commits")
     if not fs.exists(path):
-        return None
-    versions = []
+        return {}
+    out: dict[int, dict | None] = {}
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(name[2:]))
-    return f"{table_root.rstrip('/')}/v={max(versions)}" if versions else None
+        if name.isdigit():
+            try:
+                out[int(name)] = json.loads(_read_text(spark, st.getPath()))
+            except ValueError:
+                out[int(name)] = None
+    return out
+
+
+def commits(spark: SparkSession, table_root: str) -> dict[int, dict]:
+    """The table's versions: number -> record (path, parent, stream, batch)."""
+    return {n: c for n, c in _claims(spark, table_root).items() if c}
 
 
-def write_version(df: DataFrame, table_root: str, version: int) -> str:
-    path = f"{table_root.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
+def latest_version(spark: SparkSession, table_root: str) -> str | None:
+    """Path of the latest version's folder (None if there is no version)."""
+    done = commits(spark, table_root)
+    return done[max(done)]["path"] if done else None
+
+
+def _commit(spark: SparkSession, table_root: str, number: int, record: dict) -> bool:
+    """Write the record of version ``number`` unless that number is taken."""
+    fs, path = _fs(spark, f"{table_root.rstrip('/')}/_commits/{number:012d}")
+    try:
+        out = fs.create(path, False)
+    except Exception as e:  # noqa: BLE001  the number is taken, or the folder cannot be written
+        if fs.exists(path):
+            return False
+        raise e
+    try:
+        out.write(bytearray(json.dumps(record).encode()))
+    finally:
+        out.close()
+    return True
+
+
+def write_version(df: DataFrame, table_root: str, version: int = 0) -> str:
+    """Write ``df`` as version ``version`` (the initial load); return its folder."""
+    spark = df.sparkSession
+    path = f"{table_root.rstrip('/')}/data/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _commit(spark, table_root, version, {"path": path, "parent": None, "stream": None, "batch": None}):
+        raise ValueError(f"{table_root} has a version {version}")
     return path
 
 
+def merge_version(batch: DataFrame, table_root: str, keys: list[str], stream: str, batch_id: int) -> str:
+    """Merge one batch of a stream into the latest version, once; return its folder."""
+    spark = batch.sparkSession
+    while True:
+        claims = _claims(spark, table_root)
+        done = {n: c for n, c in claims.items() if c}
+        if not done:
+            raise ValueError(f"{table_root} has no version to merge into")
+        for c in done.values():
+            if c["stream"] == stream and c["batch"] == batch_id:
+                return c["path"]
+        parent = max(done)
+        current = spark.read.parquet(done[parent]["path"])
+        # The initial load's keys may repeat; a merged version's do not, so only the
+        # batch is deduplicated then.
+        merged = upsert(current, batch.select(*current.columns), keys,
+                        current_unique=done[parent]["parent"] is not None)
+        path = f"{table_root.rstrip('/')}/data/{uuid.uuid4().hex}"
+        merged.write.parquet(path)
+        if _commit(spark, table_root, max(claims) + 1,
+                   {"path": path, "parent": parent, "stream": stream, "batch": batch_id}):
+            return path
+        fs, p = _fs(spark, path)  # another stream was first: merge into its version
+        fs.delete(p, True)
+
+
+def retire_versions(spark: SparkSession, table_root: str, keep: int = 2) -> list[int]:
+    """Delete the folders of all but the ``keep`` latest versions; their records stay,
+    so that replayed batches are still known. Returns the retired numbers."""
+    done = commits(spark, table_root)
+    old = sorted(done)[:-keep] if keep else sorted(done)
+    for n in old:
+        fs, p = _fs(spark, done[n]["path"])
+        fs.delete(p, True)
+    return old
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream of this checkpoint (a new checkpoint has a new one)."""
+    _, path = _fs(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return json.loads(_read_text(spark, path))["id"]
+
+
 def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
                         keys: list[str], table_root: str, checkpoint: str,
                         fmt: str = "parquet", available_now: bool = True):
-    """Merge every new file under ``source_dir`` into the table at ``table_root``.
+    """Merge every new file under ``source_dir`` into the versions at ``table_root``.
 
-    Version ``v=0`` must exist (the initial load). Batch ``b`` writes ``v=b+1``.
+    A first version must exist (``write_version``).
     """
     stream = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -51,13 +148,7 @@ def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructTy
     source = stream.load(source_dir)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        current_path = latest_version(batch.sparkSession, table_root)
-        current = batch.sparkSession.read.parquet(current_path)
-        # v=0 is the initial load (keys not guaranteed unique); every later version
-        # was produced by upsert and is unique, so only the batch is deduplicated.
-        merged = upsert(current, batch.select(*current.columns), keys,
-                        current_unique=not current_path.endswith("/v=0"))
-        write_version(merged, table_root, batch_id + 1)
+        merge_version(batch, table_root, keys, stream_id(batch.sparkSession, checkpoint), batch_id)
 
     writer = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -65,34 +156,33 @@ def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructTy
     return writer.start()
 
 
-# A batch spanning more days than this rewrites the whole table instead.
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
 def merge_into_partitioned(batch: DataFrame, table_path: str, keys: list[str],
                            part_col: str = "day", time_col: str = "datetime") -> None:
     """Merge ``batch`` into a Parquet table partitioned by ``part_col`` (the day of
     ``time_col``), rewriting only the partitions the batch touches.
 
-    The touched days are a short list (bounded by the batch's time span), so they
-    prune the read statically. The table is unique by key and every key lies in one
-    day, so the merge per touched day is exact. The result is staged in the
-    checkpoint folder first (a path cannot be read and overwritten in one job),
-    then written with dynamic partition overwrite.
+    The batch's first and last day prune the read statically and its distinct days
+    (a join side, broadcast only if its counted size allows) cut it to the touched
+    ones; rows without a time have a day too, the null one. The table is unique by
+    key and every key lies in one day, so the merge per touched day is exact. The
+    result is staged in the checkpoint folder first (a path cannot be read and
+    overwritten in one job), then written with dynamic partition overwrite.
     """
-    from ..operators.joins import scratch_path
     spark = batch.sparkSession
     batch = batch.withColumn(part_col, F.col(time_col).cast("date"))
-    days = [r[0] for r in batch.select(part_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1)
-            .collect()]
-    current = spark.read.parquet(table_path)
-    if len(days) <= MAX_TOUCHED_PARTITIONS:
-        current = current.filter(F.col(part_col).isin(days))
+    days = SmallSide(batch.select(F.col(part_col).alias("_day")).distinct(), name="days")
+    lo, hi, nulls = days.df.agg(F.min("_day"), F.max("_day"), F.count_if(F.col("_day").isNull())).first()
+    day = F.col(part_col)
+    span = day.between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+    current = spark.read.parquet(table_path).filter(span | day.isNull() if nulls else span)
+    current = current.join(days.side(), current[part_col].eqNullSafe(F.col("_day")), "left_semi")
     merged = upsert(current, batch.select(*current.columns), keys, current_unique=True)
     staged = scratch_path(spark, "merge")
     merged.write.parquet(staged)
     (spark.read.parquet(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
 
 
 def start_partitioned_update_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -135,6 +225,6 @@ def dedupe_stream(source: DataFrame, keys: list[str], event_time: str,
             .dropDuplicatesWithinWatermark(keys).drop("_event_ts"))
 
 
-__all__ = ["dedupe_stream", "init_partitioned_table", "latest_version",
-           "merge_into_partitioned", "start_partitioned_update_stream", "start_update_stream",
-           "write_version"]
+__all__ = ["commits", "dedupe_stream", "init_partitioned_table", "latest_version",
+           "merge_into_partitioned", "merge_version", "retire_versions",
+           "start_partitioned_update_stream", "start_update_stream", "write_version"]
