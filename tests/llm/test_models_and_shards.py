@@ -13,7 +13,7 @@ from wattsmith.llm.queries import registry
 
 SF = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
-EXTRA = {"shard": F.lit(1), "n": F.lit("x"), "key": F.lit(0), "score": F.lit("l"), "ids": F.lit(9), "kept": F.lit(2)}
+EXTRA = ["shard", "n", "key", "score", "ids", "kept"]  # clashing names
 
 
 # --- op10 ------------------------------------------------------------------
@@ -45,7 +45,7 @@ def sharded(docs, **kw):
 
 
 def test_shards_of_documents(spark):
-    rows, texts = sharded(spark.read.parquet(f"{SF01}/documents.parquet").withColumns(EXTRA))
+    rows, texts = sharded(spark.read.parquet(f"{SF01}/documents.parquet").withColumns({c: F.lit("extra") for c in EXTRA}))
     of_text = held(rows, texts, 16)
     assert all(len(s) == 1 for s in of_text.values())  # room for all: no link is cut
 
@@ -113,7 +113,7 @@ def test_segmentation_is_close_to_the_library(tokenizer):
 def test_round_trip(spark, make_docs):
     odd = [None, "", " ", "  two", "▁", "a▁b ▁", "\U0001F600\x00￾", "x" * 50_000, "é" * 3000 + " end ", "\n\t"]
     docs = make_docs([(i, t) for i, t in enumerate(odd)]).unionByName(
-        spark.read.parquet(f"{SF}/documents.parquet")).withColumns(EXTRA)
+        spark.read.parquet(f"{SF}/documents.parquet")).withColumns({c: F.lit("extra") for c in EXTRA})
     got = sentencepiece.encoded(docs).collect()
     assert len(got) == 210 and all(r.round_trip for r in got)
     ids = {r.doc_id: r.ids for r in got[:len(odd)]}
@@ -164,11 +164,18 @@ def test_language_accuracy_and_contract(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_the_most_frequent_grams_fit_the_bound(spark):
+    counts = spark.createDataFrame([(lang, g, n) for lang in "ab" for g, n in enumerate([1] * 50 + [9] * 30 + [10**12] * 5)],
+                                   "lang string, gram long, n long")
+    assert {k: len(v[0]) for k, v in language_id.most_frequent(counts, 40).items()} == {"a": 35, "b": 35}
+    assert {k: len(v[0]) for k, v in language_id.most_frequent(counts, 1000).items()} == {"a": 85, "b": 85}
+
+
 def test_language_edge_cases(spark, make_docs):
     train = make_docs([(1, "the cat"), (2, None), (3, "")]).withColumn("lang", F.lit("en")).select("lang", "text")
     models = language_id.learn(train)
     rows = [(1, None), (2, ""), (3, "123 !"), (4, "cat"), (None, "日本"), (5, "\U00020000")]
-    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(make_docs(rows).withColumns(EXTRA), models).collect()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(make_docs(rows).withColumns({c: F.lit("extra") for c in EXTRA}), models).collect()}
     assert got == {1: ("und", 0.0), 2: ("und", 0.0), 3: ("und", 0.0), 4: ("en", 1.0), None: ("en", 1.0), 5: ("en", 1.0)}
     none = language_id.learn(train.limit(0))
     assert [r.lang_pred for r in language_id.predict(make_docs([(1, "cat")]), none).collect()] == ["und"]
@@ -190,7 +197,7 @@ def test_importance_prefers_the_target(spark, make_docs):
     r = random.Random(2)
     good = ["".join(r.choice(["sun ", "sea ", "sky ", "sand "]) for _ in range(60)) for _ in range(150)]
     bad = ["".join(r.choice(["buy ", "now ", "sun ", "win "]) for _ in range(60)) for _ in range(150)]
-    docs = make_docs([(i, t) for i, t in enumerate(good + bad)] + [(900, None), (901, ""), (None, "sea sky")]).withColumns(EXTRA)
+    docs = make_docs([(i, t) for i, t in enumerate(good + bad)] + [(900, None), (901, ""), (None, "sea sky")]).withColumns({c: F.lit("extra") for c in EXTRA})
     labels = [(i, 1, 0) for i in range(0, 75)] + [(i, 0, 0) for i in range(150, 200)] + [(i, 1, 1) for i in range(200, 225)]
     labels = spark.createDataFrame(labels + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     got = importance.resample(docs, labels).collect()

@@ -11,7 +11,7 @@ from wattsmith.llm import decontaminate, line_dedup, simhash
 from wattsmith.llm.graph import components
 
 SF = "/root/testdata/sf0.001"
-EXTRA = {"h1": F.lit(1), "fp": F.lit("x"), "key": F.lit(0), "line": F.lit("l"), "th": F.lit(9), "s": F.lit(2)}
+EXTRA = ["h1", "fp", "key", "line", "th", "s"]  # clashing names
 
 
 def words(n, seed=0, size=400):
@@ -62,7 +62,7 @@ def test_simhash_equals_brute_force(spark, make_docs, hot):
     rows += [(100 + i, t) for i, t in enumerate(near_family(1, 60))] + [(300 + i, words(50, 9)) for i in range(20)]
     rows += [(400, words(50, 9)), (400, words(50, 9)), (None, words(50, 9))]
     docs = make_docs(rows).unionByName(spark.read.parquet(f"{SF}/documents.parquet").withColumn(
-        "doc_id", F.col("doc_id") + 1000)).withColumns(EXTRA)
+        "doc_id", F.col("doc_id") + 1000)).withColumns({c: F.lit("extra") for c in EXTRA})
     got = simhash.groups(docs, hot=hot).collect()
     own = docs.select("doc_id", "text").collect()
     fps = [plain_fingerprint(r.text) for r in own]
@@ -84,7 +84,7 @@ def test_simhash_spark_hash_is_the_contract_hash(spark):
 def test_keep_one(make_docs):
     rows = [(5, words(60, 1)), (3, words(60, 1)), (3, words(60, 1)), (7, words(60, 2)), (None, words(60, 3)),
             (8, None), (9, ""), (3, words(60, 4))]
-    docs = make_docs(rows).withColumns(EXTRA)
+    docs = make_docs(rows).withColumns({c: F.lit("extra") for c in EXTRA})
     got = simhash.keep_one(docs)
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
@@ -116,7 +116,7 @@ def test_leaks_equal_brute_force(spark, make_docs):
     rows = [(1, words(3000, 11) + " " + words(14, 1) + ". " + words(3000, 12)), (2, " ".join(changed)), (3, " ".join(late)),
             (4, words(60, 3).upper().replace(" ", ",\n")), (5, None), (6, ""), (7, words(30, 5)), (None, words(14, 1)),
             (8, words(14, 1)), (8, words(14, 1)), (8, words(9, 6)), (9, words(5, 8))]
-    docs = make_docs(rows).withColumns(EXTRA)
+    docs = make_docs(rows).withColumns({c: F.lit("extra") for c in EXTRA})
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("sh", F.lit(1))
     want = set()
     for i, t in items:
@@ -210,7 +210,7 @@ def test_line_dedup_equals_brute_force(spark, make_docs):
                 lines.append(r.choice(["", "  ", "\t"]))
         rows.append((r.choice([i, i, 3, None]), "\n".join(lines)))
     rows += [(70, None), (71, ""), (72, "\n\n"), (73, "q" * 100_000), (74, "q" * 100_001), rows[0], rows[5]]
-    docs = make_docs(rows).withColumns(EXTRA)
+    docs = make_docs(rows).withColumns({c: F.lit("extra") for c in EXTRA})
     got = line_dedup.dedup(docs).collect()
     want = plain_dedup(rows)
     assert sorted(((x.doc_id, x.text) for x in got), key=str) == sorted(

@@ -136,7 +136,8 @@ def count_grams(train: DataFrame) -> DataFrame:
 def most_frequent(counts: DataFrame, limit: int = MAX_GRAMS) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Each language's 4-grams and counts, as many of the most frequent as the bound
     allows. A histogram of counts gives the least count that fits."""
-    step = F.least(F.col("n"), F.lit(4096))
+    # Counts in geometric steps (a few hundred of them), whatever the corpus's size.
+    step = F.floor(16 * F.log2("n")).cast("int")
     hist = counts.groupBy("lang", step.alias("c")).agg(F.count(F.lit(1)).alias("grams")).toPandas()
     langs = sorted(hist["lang"].unique())
     if not langs:
@@ -147,9 +148,11 @@ def most_frequent(counts: DataFrame, limit: int = MAX_GRAMS) -> dict[str, tuple[
     for lang in langs:
         h = hist[hist["lang"] == lang].sort_values("c", ascending=False)
         fits = h[h["grams"].cumsum() <= limit]
-        least[lang] = int(fits["c"].min()) if len(fits) else 4096
+        if not len(fits):
+            raise ValueError(f"{lang}: the most frequent 4-grams alone exceed {limit}")
+        least[lang] = int(fits["c"].min())
     floor = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(c)) for lang, c in least.items()])
-    kept = counts.filter(F.col("n") >= floor).toPandas()
+    kept = counts.filter(step >= floor).toPandas()
     out = {}
     for lang, part in kept.groupby("lang"):
         k = part["gram"].to_numpy().view(np.uint64)
@@ -230,7 +233,7 @@ class Models:
         self.langs = sorted(learned)
         models = [KneserNey(*learned[lang]) for lang in self.langs]
         self.grams, self.contexts = [], []
-        for order in range(ORDER, 0, -1):
+        for order in range(ORDER, 0, -1) if models else ():
             keys = np.unique(np.concatenate([m.keys[order - 1] for m in models]))
             self.grams.append(self._sorted(keys, np.stack([m.log_probability(keys, order) for m in models], 1)))
             ctx = np.unique(np.concatenate([m.contexts[order - 1] for m in models]))

@@ -6,6 +6,9 @@ shard that holds most of the group and has room, as far as that shard's quota
 goes. Documents without links have nothing to cut: they fill the shards to their
 exact capacity at the end. Law ``rows``: counts differ by at most one.
 
+A group too large for one shard fills about one shard a round; without such groups
+two or three rounds settle, and propagation ends when nothing moves.
+
 The state is a count per (group, shard), at most ``shards`` rows per group, so a
 group with a third of all documents is as small as any. Moves are granted by
 running totals of counts against quotas (``common.running_total``), which never
@@ -26,7 +29,7 @@ from wattsmith.operators.joins import materialize, materialize_counted
 
 from .common import read_table, running_total
 
-SHARDS, ROUNDS = 16, 6
+SHARDS, ROUNDS = 16, 12
 G = ["g1", "g2"]  # 128 bits of hash name a text
 
 
@@ -90,11 +93,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot."""
     rows, total = materialize_counted(described(docs, id_col, text_col), "described")
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
-    groups = rows.groupBy(*G).agg(F.count(F.lit(1)).alias("size_of_group"))
-    groups, _ = materialize_counted(groups, "groups")
-    linked = rows.join(groups.filter("size_of_group > 1"), G)
-    state = materialize(linked.select(*G, F.pmod(F.xxhash64("doc_id", *G), F.lit(shards)).cast("int").alias("shard"))
-                        .groupBy(*G, "shard").agg(F.count(F.lit(1)).alias("n")), "placed")
+    # Counts first: what follows sees a group as at most one row per shard.
+    first = F.pmod(F.xxhash64("doc_id", *G), F.lit(shards)).cast("int").alias("shard")
+    start = materialize(rows.groupBy(*G, first).agg(F.count(F.lit(1)).alias("n")), "start")
+    groups = materialize(start.groupBy(*G).agg(F.sum("n").alias("size_of_group")), "groups")
+    state = materialize(start.join(groups.filter("size_of_group > 1"), G).select(*G, "shard", "n"), "placed")
     for _ in range(rounds):
         state, moved = propagate(state, capacity, total)
         if not moved:
