@@ -41,7 +41,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"                # stands for a space
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]*")
 _NONE = float("-inf")
-REMEMBERED = 1 << 19           # chunks a worker keeps, of at most REMEMBERED_CHARS characters
+REMEMBERED = 1 << 17           # chunks a worker keeps, of at most REMEMBERED_CHARS characters
 REMEMBERED_CHARS = 64
 
 
