@@ -145,7 +145,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of ``docs``: its id, the measures and ``kept``."""
     bound_arrow(docs.sparkSession)
     return (docs.select(F.col(id_col).alias("doc_id"), _measured(limits)(F.col(text_col)).alias("m"))
-            .select("doc_id", "m.*"))
+            .select("doc_id", *[f"m.{c}" for c in (
+                "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                "kept", "dup_line_share", "top_coverage", "symbol_share")]))
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
