@@ -171,6 +171,28 @@ def test_the_most_frequent_grams_fit_the_bound(spark):
     assert {k: len(v[0]) for k, v in language_id.most_frequent(counts, 1000).items()} == {"a": 85, "b": 85}
 
 
+def test_parts_of_a_model_give_what_the_whole_gives(spark, monkeypatch):
+    """No n-gram is dropped where the model takes more than a worker may hold at once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    train = docs.filter("doc_id % 2 = 0").select("lang", "text")
+    learned = {}
+    for r in train.collect():
+        if r.text and r.lang and language_id.has_letter(r.text):
+            learned.setdefault(r.lang, []).extend(language_id.gram_slices(r.text))
+    whole = language_id.Models({k: np.unique(np.concatenate(v), return_counts=True) for k, v in learned.items()})
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 200_000)
+    models = language_id.learn(train)
+    assert len(models) > 2
+    texts = docs.unionByName(spark.createDataFrame([(None, None, "x"), (-1, "", "x"), (-2, "日本 zzz", "x"), (0, "12", "x")], docs.schema))
+    got = language_id.predict(texts, models, carry=("text",)).collect()
+    assert len(got) == texts.count()
+    for r in got:
+        want = whole.predict(r.text)
+        assert (r.lang_pred, r.n) == (want[0], want[3])
+        assert r.score == pytest.approx(want[2], rel=1e-4)
+        assert r.entropy == (None if want[1] is None else pytest.approx(want[1], rel=1e-5))
+
+
 def test_language_edge_cases(spark, make_docs):
     train = make_docs([(1, "the cat"), (2, None), (3, "")]).withColumn("lang", F.lit("en")).select("lang", "text")
     models = language_id.learn(train)

@@ -12,8 +12,11 @@ character wins. The cross-entropies of the training documents give each language
 a limit (a high quantile); a document beyond its language's limit is marked
 ``rejected`` and its score halved.
 
-What goes to the workers is bounded: ``MODEL_BYTES`` fixes how many 4-grams a
-language may keep, the most frequent ones. Counts are of all training documents.
+Every n-gram is kept. Discounts and the two lowest orders are counted in Spark over
+all of them. What a worker holds at once is bounded by ``MODEL_BYTES``: a larger model
+is cut into parts by the two middle characters of its 4-grams, a part has all that
+scoring its 4-grams needs, and the texts are read once per part, whose sums are added.
+Only the 4-grams around one pair of characters are never cut apart.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0. If
 nothing can be learned (no training row with a language and letters), all are
@@ -41,8 +44,8 @@ ORDER = 4
 SPACE = 32
 OTHER_LETTER = 0xFFFF        # letters beyond 16 bits
 SLICE = 1 << 20              # characters handled at once
-MODEL_BYTES = 96 << 20       # most the broadcast model may take
-MAX_GRAMS = 200_000          # most 4-grams a language keeps
+MODEL_BYTES = 96 << 20       # what a part of the model sent to the workers may take
+MAX_GRAMS = 200_000          # 4-grams a language keeps in ``most_frequent``
 FLUSH = 1 << 21              # distinct n-grams a task holds before it passes them on
 REJECT_QUANTILE = 0.999
 EVIDENCE = 50                # characters beyond which the score gets no surer
@@ -135,7 +138,8 @@ def count_grams(train: DataFrame) -> DataFrame:
 
 def most_frequent(counts: DataFrame, limit: int = MAX_GRAMS) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Each language's 4-grams and counts, as many of the most frequent as the bound
-    allows. A histogram of counts gives the least count that fits."""
+    allows. A histogram of counts gives the least count that fits. The models are not
+    learned from it."""
     # Counts in geometric steps (a few hundred of them), whatever the corpus's size.
     step = F.floor(16 * F.log2("n")).cast("int")
     hist = counts.groupBy("lang", step.alias("c")).agg(F.count(F.lit(1)).alias("grams")).toPandas()
@@ -175,18 +179,27 @@ def _discount(n: np.ndarray) -> float:
 
 class KneserNey:
     """One language's model: per order, keys with log-probabilities and contexts with
-    the log of the weight they leave to the order below."""
+    the log of the weight they leave to the order below.
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+    A part of a model has the 4-grams around some pairs of characters; ``lower``, by
+    order, the 2- and 1-grams with counts over the whole model, and ``discounts`` each
+    order's."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray,
+                 lower: dict[int, tuple[np.ndarray, np.ndarray]] | None = None,
+                 discounts: dict[int, float] | None = None):
         levels = [(grams, counts)]
         for order in range(ORDER - 1, 0, -1):  # continuation counts from the types above
+            if lower and order in lower:
+                levels.append(lower[order])
+                continue
             shorter = levels[-1][0] & np.uint64((1 << (16 * order)) - 1)
             levels.append(np.unique(shorter, return_counts=True))
         self.uniform = 1.0 / (len(levels[-1][0]) + 1)
         below_keys, below = None, None
         self.keys, self.logp, self.contexts, self.left = [], [], [], []
         for order, (keys, n) in enumerate(reversed(levels), 1):
-            d = _discount(n)
+            d = discounts[order] if discounts else _discount(n)
             contexts, total, types, place = _context_sums(keys, n)
             left = d * types / total
             if order == 1:
@@ -205,6 +218,8 @@ class KneserNey:
         if order == 0:
             return np.full(len(gram), np.log(self.uniform))
         keys = self.keys[order - 1]
+        if not len(keys):  # a part without n-grams of this language
+            return self.log_probability(gram & np.uint64((1 << (16 * (order - 1))) - 1), order - 1)
         at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
         out = self.logp[order - 1][at]
         miss = np.flatnonzero(keys[at] != gram)
@@ -227,10 +242,11 @@ class Models:
     """All languages' models as sorted hash arrays. Level by level from the longest
     n-grams: a hash array of those any language has seen with a row of
     log-probabilities, and one of their contexts with a row of what each leaves to
-    the next level."""
+    the next level. ``span``: the pairs (see ``_pair``) a part is about, above the first
+    and up to the second."""
 
-    def __init__(self, learned: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(learned)
+    def __init__(self, learned: dict[str, tuple], span: tuple[int, int] = (-1, 1 << 32)):
+        self.langs, self.span = sorted(learned), span
         models = [KneserNey(*learned[lang]) for lang in self.langs]
         self.grams, self.contexts = [], []
         for order in range(ORDER, 0, -1) if models else ():
@@ -267,40 +283,151 @@ class Models:
             out = out + self.total(g & np.uint64((1 << (16 * (ORDER - 1 - level))) - 1), level + 1)
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float, float, int]:
-        """Language, its cross-entropy per character, score, characters."""
+    def sums(self, text: str | None) -> tuple[np.ndarray | None, int]:
+        """Summed log-probabilities of a text's n-grams in the span, and the number of
+        all its n-grams."""
         if text is None or not self.langs or not has_letter(text):
-            return UNKNOWN, None, 0.0, 0
+            return None, 0
         total, n = np.zeros(len(self.langs)), 0
         for g in gram_slices(text):
-            total += self.total(g)
             n += len(g)
-        entropy = -total / n
+            if self.span != (-1, 1 << 32):
+                pair = _pair(g).astype(np.int64)
+                g = g[(pair > self.span[0]) & (pair <= self.span[1])]
+            total += self.total(g)
+        return total, n
+
+    def choose(self, total: np.ndarray | None, n: int) -> tuple[str, float, float, int]:
+        """Language, its cross-entropy per character, score, characters."""
+        if total is None:
+            return UNKNOWN, None, 0.0, 0
+        entropy = -np.asarray(total) / n
         best = int(np.argmin(entropy))
         weight = np.exp(-(entropy - entropy[best]) * min(n, EVIDENCE))
         return self.langs[best], float(entropy[best]), float(1 / weight.sum()), n
 
+    def predict(self, text: str | None) -> tuple[str, float, float, int]:
+        return self.choose(*self.sums(text))
+
+
+def _pair(gram: np.ndarray) -> np.ndarray:
+    """The third and the second character of 4-grams, as one number. Equal pairs share
+    all contexts but the one of the 2-grams, which has the third character alone."""
+    return ((gram >> np.uint64(16) & np.uint64(0xFFFF)) << np.uint64(16)) | (gram >> np.uint64(32) & np.uint64(0xFFFF))
 
-def learn(train: DataFrame, limit: int = MAX_GRAMS) -> Models:
+
+def _by_lang(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted n-grams and counts of each language of (lang, gram, n)."""
+    out = {}
+    for lang, part in rows.toPandas().groupby("lang"):
+        k = part["gram"].to_numpy().view(np.uint64)
+        order = np.argsort(k)
+        out[lang] = (k[order], part["n"].to_numpy()[order])
+    return out
+
+
+class Learned:
+    """What (lang, gram, n) says of all languages, as a sequence of ``Models``, each
+    about one span of pairs and made when asked for."""
+
+    def __init__(self, counts: DataFrame):
+        third = F.shiftrightunsigned("gram", 16).bitwiseAND(0xFFFF)
+        second = F.shiftrightunsigned("gram", 32).bitwiseAND(0xFFFF)
+        self.counts = counts.withColumn("pair", third * 0x10000 + second)
+        self.orders = {ORDER: counts}
+        for order in range(ORDER - 1, 0, -1):  # continuation counts from the types above
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
+            self.orders[order] = materialize(self.orders[order + 1].groupBy("lang", shorter.alias("gram")).agg(
+                F.count(F.lit(1)).alias("n")), f"grams{order}")
+        few = [t.groupBy("lang").agg(F.lit(order).alias("order"), F.count_if(F.col("n") == 1).alias("once"),
+                                     F.count_if(F.col("n") == 2).alias("twice"), F.count(F.lit(1)).alias("grams"))
+               for order, t in self.orders.items()]
+        seen = few[0].unionAll(few[1]).unionAll(few[2]).unionAll(few[3]).collect()  # four rows a language
+        self.langs = sorted({r["lang"] for r in seen})
+        self.discounts = {lang: {} for lang in self.langs}
+        for r in seen:
+            both = r["once"] and r["twice"]
+            self.discounts[r["lang"]][r["order"]] = r["once"] / (r["once"] + 2 * r["twice"]) if both else 0.5
+        # Three orders' rows at most come from a 4-gram; a row takes a hash and a column per language.
+        need = sum(r["grams"] for r in seen if r["order"] == ORDER) * (8 + 4 * len(self.langs)) * 3
+        parts = max(1, -(-need // MODEL_BYTES))
+        cuts = []
+        if parts > 1:
+            *cuts, top = self.counts.agg(F.percentile_approx(
+                "pair", [i / parts for i in range(1, parts + 1)], max(10_000, 100 * parts))).first()[0]
+            cuts = sorted({c for c in cuts if c < top})
+        self.spans = list(zip([-1, *cuts], [*cuts, 1 << 32]))
+        self.ones = _by_lang(self.orders[1]) if self.langs else {}  # one row a character
+
+    def __len__(self) -> int:
+        return len(self.spans)
+
+    def __iter__(self) -> Iterator[Models]:
+        none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+        for low, high in self.spans if self.langs else ():
+            grams = _by_lang(self.counts.filter((F.col("pair") > low) & (F.col("pair") <= high)).drop("pair"))
+            # All 2-grams after the span's third characters: at most one a pair of characters.
+            first = F.shiftrightunsigned("gram", 16)
+            twos = _by_lang(self.orders[2].filter(first.between(max(low, 0) >> 16, high >> 16)))
+            yield Models({lang: (*grams.get(lang, none), {2: twos.get(lang, none), 1: self.ones[lang]},
+                                 self.discounts[lang]) for lang in self.langs}, (low, high))
+        if not self.langs:
+            yield Models({})
+
+
+def learn(train: DataFrame) -> Learned:
     """Models of the languages of ``train`` (lang, text)."""
     bound_arrow(train.sparkSession)
-    return Models(most_frequent(materialize(count_grams(train), "grams"), limit))
+    return Learned(materialize(count_grams(train), "grams"))
 
 
-def predict(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text",
+def predict(docs: DataFrame, models: Learned, id_col: str = "doc_id", text_col: str = "text",
             carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, entropy, score, n and ``carry``."""
     bound_arrow(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-
-    @F.pandas_udf("lang_pred string, entropy double, score double, n bigint")
-    def identify(text: pd.Series) -> pd.DataFrame:
+    result = "lang_pred string, entropy double, score double, n bigint"
+    columns = ["lang_pred", "entropy", "score", "n"]
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"), *carry)
+    if len(models) == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(next(iter(models)))
+
+        @F.pandas_udf(result)
+        def identify(text: pd.Series) -> pd.DataFrame:
+            m = sent.value
+            return pd.DataFrame([m.predict(t) for t in text], columns=columns).astype({"entropy": "float64"})
+
+        return own.withColumn("p", identify("__text")).select("doc_id", "p.*", *carry)
+
+    # Rows get a number that stays, by which the parts' sums meet.
+    own = materialize(own.withColumn("__row", F.monotonically_increasing_id()), "texts")
+    sums = None
+    for part in models:
+        found = materialize(_part_sums(own, part), "part_sums")
+        sums = found if sums is None else sums.unionAll(found)
+    added = sums.groupBy("__row").agg(F.first("n").alias("n"), *[
+        F.sum(F.col("total")[j]).alias(f"t{j}") for j in range(len(models.langs))])
+    chooser = Models({})
+    chooser.langs = models.langs
+
+    @F.pandas_udf(result)
+    def best(total: pd.Series, n: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([chooser.choose(t if c else None, c) for t, c in zip(total, n)],
+                            columns=columns).astype({"entropy": "float64"})
+
+    p = added.select("__row", best(F.array(*[f"t{j}" for j in range(len(models.langs))]), "n").alias("p"))
+    return own.drop("__text").join(p, "__row").select("doc_id", "p.*", *carry)
+
+
+def _part_sums(texts: DataFrame, part: Models) -> DataFrame:
+    """(__row, total, n) of (__row, __text): sums under one part of the model."""
+    sent = texts.sparkSession.sparkContext.broadcast(part)
+
+    @F.pandas_udf("total array<double>, n bigint")
+    def add(text: pd.Series) -> pd.DataFrame:
         m = sent.value
-        return pd.DataFrame([m.predict(t) for t in text], columns=["lang_pred", "entropy", "score", "n"]
-                            ).astype({"entropy": "float64"})
+        return pd.DataFrame([m.sums(t) for t in text], columns=["total", "n"])
 
-    t = docs.select(F.col(id_col).alias("doc_id"), identify(F.col(text_col)).alias("p"), *carry)
-    return t.select("doc_id", "p.*", *carry)
+    return texts.select("__row", add("__text").alias("s")).select("__row", "s.*")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
