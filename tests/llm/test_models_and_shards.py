@@ -231,6 +231,17 @@ def test_importance_prefers_the_target(spark, make_docs):
     assert importance.resample(make_docs([]), labels).count() == 0
 
 
+def test_importance_sees_word_order_and_numbers(spark, make_docs):
+    """The same words in the target's order weigh more than in the opposite order."""
+    words = "one two three four five six seven eight".split()
+    texts = [" ".join(words), " ".join(reversed(words))] * 20
+    docs = make_docs(list(enumerate(texts)) + [(100, "2024 7"), (101, "7 2024 9")])
+    labels = spark.createDataFrame([(i, (i + 1) % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in importance.resample(docs, labels).collect()}
+    assert got[30].log_weight > got[31].log_weight
+    assert got[30].n_grams == 15 and got[100].n_grams == 3 and got[101].n_grams == 5
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline(spark):

@@ -1,16 +1,17 @@
 """Operator 1: a quality classifier by importance resampling.
 
-Two generative models over hashed n-grams (words and symbols in ``BUCKETS``
-buckets, and one bucket for a word directly repeated): one of target text,
-documents labelled good and not toxic, one of the raw text, all documents. A
-document counts an n-gram it has c times as 1 + log2(c), lest texts that repeat
-one word fill the models. Its weight is the log-ratio of the two likelihoods per
-n-gram. Gumbel noise of its own is added, and the k largest keys are kept, which
+Two generative models over hashed n-grams: one of target text, documents labelled
+good and not toxic, one of the raw text, all documents. Each has single words,
+numbers and symbols in ``BUCKETS`` buckets (one of them for a word directly
+repeated) and pairs of neighbours in as many further ones. A document counts an
+n-gram it has c times as 1 + log2(c), lest texts that repeat one word fill the
+models. Its weight is the log-ratio of the two likelihoods per single word, plus
+``PAIRS`` times that per pair. Gumbel noise of its own is added, and the k largest keys are kept, which
 samples k documents without replacement by their weights. k is the share of good
 documents among the labelled ones, times all documents.
 
 Counts are kept per task and added by bucket, so what moves is bounded by tasks
-times buckets; the ratio table (one double per bucket) is broadcast. The raw model
+times buckets; the ratio table (a double per bucket) is broadcast. The raw model
 counts all documents. The target model learns from a bounded sample of the
 labelled rows (``TARGET_DOCS`` expected, chosen by the hash of the id). The k-th
 key is found by counting keys in ever finer intervals, without a sort.
@@ -39,32 +40,49 @@ from .common import bound_arrow, read_table
 
 BUCKETS = 1 << 18
 REPEAT = 0                   # bucket of a word directly after itself
+PAIRS = 0.25                 # share of the pairs' log-ratio in a weight
 SMOOTHING = 2.0              # a bucket's pseudo-count, at the raw text's rate
 TARGET_DOCS = 20_000
 TEMPERATURE = 0.005          # scale of the noise, per n-gram like the weights
 SEED = 42
 BINS = 1024
-_TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]")
+_TOKEN = re.compile(r"\w+|[^\w\s]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _counted(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    h, n = np.unique(h, return_counts=True)
+    with np.errstate(over="ignore"):
+        return ((h * _MIX) >> np.uint64(24)).astype(np.int64) % (buckets - 1) + 1, n
+
+
 def features(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """A text's buckets and how much each counts."""
+    """A text's buckets and how much each counts: single words' below ``buckets``, pairs'
+    from there on."""
     tokens = _TOKEN.findall((text or "").lower())
     h = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
     repeats = int((h[1:] == h[:-1]).sum())
-    h, n = np.unique(h, return_counts=True)
     with np.errstate(over="ignore"):
-        ids = ((h * _MIX) >> np.uint64(24)).astype(np.int64) % (buckets - 1) + 1
+        pairs = (h[:-1] * _MIX) ^ (h[1:] + (h[:-1] >> np.uint64(29)))
+    ids, n = _counted(h, buckets)
+    pair_ids, pair_n = _counted(pairs, buckets)
+    ids, n = np.concatenate([ids, buckets + pair_ids]), np.concatenate([n, pair_n])
     if repeats:
         ids, n = np.append(ids, REPEAT), np.append(n, repeats)
     return ids, 1.0 + np.log2(n)
 
 
+def weight(ids: np.ndarray, c: np.ndarray, ratio: np.ndarray) -> float:
+    """Log-ratio per single word, and ``PAIRS`` times that per pair."""
+    single, got = ids < len(ratio) // 2, ratio[ids] * c
+    return float(got[single].sum() / max(1.0, c[single].sum())
+                 + PAIRS * got[~single].sum() / max(1.0, c[~single].sum()))
+
+
 def count_buckets(marked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target) over rows of (text, is_target)."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((2, buckets))
+        n = np.zeros((2, 2 * buckets))
         for batch in batches:
             for text, target in zip(batch["text"], batch["is_target"]):
                 ids, c = features(text, buckets)
@@ -79,27 +97,31 @@ def count_buckets(marked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 
 def log_ratio(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Log of target over raw probability per bucket (at most ``buckets`` rows come in).
-    A bucket rarely seen keeps a ratio near 1, whichever text it is from."""
+    """Log of target over raw probability per bucket (at most 2 * ``buckets`` rows come
+    in), among single words and among pairs. A bucket rarely seen keeps a ratio near 1,
+    whichever text it is from."""
     got = counts.toPandas()
-    n = np.zeros((2, buckets))
+    n = np.zeros((2, 2 * buckets))
     n[0, got["bucket"]], n[1, got["bucket"]] = got["target"], got["raw"]
-    if not n[0].any():
-        return np.zeros(buckets)
-    expected = n[1] * (n[0].sum() / n[1].sum())
-    return np.log((n[0] + SMOOTHING) / (expected + SMOOTHING))
+    out = np.zeros(2 * buckets)
+    for part in (slice(0, buckets), slice(buckets, None)):
+        target, raw = n[:, part]
+        if target.any():
+            expected = raw * (target.sum() / raw.sum())
+            out[part] = np.log((target + SMOOTHING) / (expected + SMOOTHING))
+    return out
 
 
 def weights(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_grams, log_weight, key): log-ratio per n-gram, and with Gumbel noise."""
+    """(doc_id, n_grams, log_weight, key): log-ratio (see ``weight``), and with Gumbel noise."""
     sent = docs.sparkSession.sparkContext.broadcast(ratio)
 
     @F.pandas_udf("n_grams bigint, log_weight double")
     def weigh(text: pd.Series) -> pd.DataFrame:
         table = sent.value
-        got = [features(t, len(table)) for t in text]
+        got = [features(t, len(table) // 2) for t in text]
         return pd.DataFrame({"n_grams": [len(ids) for ids, _ in got],
-                             "log_weight": [float(table[ids] @ c / max(1.0, c.sum())) for ids, c in got]})
+                             "log_weight": [weight(ids, c, table) for ids, c in got]})
 
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)), 11)
     uniform = (bits.cast("double") + 0.5) / float(1 << 53)
