@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from wattsmith.plans import catalog
 from wattsmith.plans.runs import load_model
-from wattsmith.plans.training import cross_validate, fit, mae, predict
+from wattsmith.plans.training import PROFILES, cross_validate, fit, mae, predict
 
 
 def test_fit_save_load_score(spark, tmp_path):
@@ -47,3 +47,8 @@ def test_runs_table(spark):
     assert len(rec) == 1 and rec[0].metrics["mean_absolute_error"] >= 0
     assert rec[0].params["maxIter"] == "10"
     assert 0 < len(rec[0].input_example) <= 5 and rec[0].input_example[0].startswith("{")
+
+
+def test_registered_models_use_the_whole_profiles():
+    assert all(catalog._profile(name) == PROFILES[name] for name in PROFILES)
+    assert all(catalog._profile(name)["maxIter"] == 500 for name in PROFILES)
