@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, importance, language_id, line_dedup, pii, quality_rules, secrets,
-               sentencepiece, sharding, simhash)
+from . import (bpe, conversation_trie, decontaminate, filter_audit, importance, language_id, line_dedup,
+               pii, quality_rules, secrets, sentencepiece, sharding, simhash)
 
 MODULES = [importance, decontaminate, pii, simhash, line_dedup, language_id, sentencepiece, secrets,
-           quality_rules, sharding]
+           quality_rules, sharding, filter_audit, conversation_trie, bpe]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
