@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from testdata_paths import SF001
 from wattsmith.operators.joins import scratch_path
 from wattsmith.plans import jobs
 from wattsmith.plans.runs import read_runs

@@ -125,7 +125,7 @@ def test_folds_keep_rows_without_a_time_and_many_times(spark):
 
 def test_global_side_is_judged_by_its_own_rows(spark):
     """A budget between the two sides' sizes: the global one alone is broadcast."""
-    from conftest import SF001
+    from testdata_paths import SF001
     from wattsmith.operators import weather as wx
     from wattsmith.operators.joins import row_width_bytes
     from wattsmith.plans import catalog
@@ -142,7 +142,7 @@ def test_global_side_is_judged_by_its_own_rows(spark):
 
 
 def test_raw_rows_are_not_expanded(spark):
-    from conftest import SF001
+    from testdata_paths import SF001
     from wattsmith.operators import target as tgt
     from wattsmith.operators import weather as wx
     from wattsmith.plans import catalog

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from testdata_paths import SF01
 from wattsmith.plans import catalog
 from wattsmith.plans.runs import load_model
 from wattsmith.plans.training import PROFILES, cross_validate, fit, mae, predict

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from testdata_paths import SF001
 
 FAST = ["scan_energy", "scan_client", "filter_since", "forecast_horizon",
         "forecast_all_horizons", "historical_local_mean", "weather_features", "client_lag2d",

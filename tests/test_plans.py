@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from testdata_paths import SF001
 from wattsmith.plans import catalog
 from wattsmith.plans.features import FeatureBuilder
 from wattsmith.sources import fixtures as fx

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from testdata_paths import SF001, SF01
 from wattsmith.operators import update as upd
 from wattsmith.operators.folds import assign_folds, ordered_positions
 from wattsmith.plans import catalog

@@ -62,7 +62,7 @@ def test_watermark_dedupe(spark, tmp_path):
 
 
 def test_scoring_stream_equals_batch_scoring(spark):
-    from conftest import SF001
+    from testdata_paths import SF001
     from wattsmith.plans.runs import save_model
     from wattsmith.plans.training import fit
     from wattsmith.sources import fixtures as fx
@@ -93,7 +93,7 @@ def _train_features(tables):
 
 
 def test_partitioned_stream_rewrites_touched_days_only(spark):
-    from conftest import SF001
+    from testdata_paths import SF001
     from wattsmith.plans import catalog
     from wattsmith.streaming.updates import (init_partitioned_table,
                                              start_partitioned_update_stream)
