@@ -72,11 +72,19 @@ def _segment(fp: Column, i: int) -> Column:
 
 def variants(fps: DataFrame) -> DataFrame:
     """(key, fp): each fingerprint's one-wildcard segment variants. The key packs the
-    segment's place and the wildcard's (6 bits) above the 32 bits with that bit 0."""
+    segment's place and the wildcard's (6 bits) above the 32 bits with that bit 0.
+
+    The fingerprints are dealt out first: their table is one of small rows in few files,
+    and a task that read a whole file would make and count 64 rows of each."""
     keys = [_segment(F.col("fp"), i).bitwiseAND(F.lit(~(1 << p)))
             .bitwiseOR(F.lit((i * WIDTH + p) << WIDTH))
             for i in range(SEGMENTS) for p in range(WIDTH)]
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return _dealt(fps).select("fp", F.explode(F.array(*keys)).alias("key"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "fp")
 
 
 def _close(x: Column, y: Column, max_bits: int) -> Column:
@@ -106,13 +114,14 @@ def _hot_links(members: DataFrame) -> DataFrame:
         return F.array(*[F.lit(sum(1 << b for b in c)) for c in combinations(range(WIDTH), k)])
 
     def hubs(rows, head, k):
-        cut = rows.select("fp", *head, F.explode(masks(k)).alias("mask"), "other")
+        cut = _dealt(rows).select("fp", *head, F.explode(masks(k)).alias("mask"), "other")
         group = [*head, "mask", F.col("other").bitwiseAND(F.bitwise_not("mask")).alias("rest")]
         keyed = cut.select("fp", F.xxhash64(*group).alias("g1"),
                            F.xxhash64(F.lit(1), *group).alias("g2"))
         least = keyed.groupBy("g1", "g2").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")
                                               ).filter("n > 1")
-        return keyed.join(least, ["g1", "g2"]).select(F.col("fp").alias("a"), "b").filter("a <> b")
+        # Spark's size estimate ignores the explode: never let it take a side for small.
+        return keyed.hint("merge").join(least.hint("merge"), ["g1", "g2"]).select(F.col("fp").alias("a"), "b").filter("a <> b")
 
     same = m.select("fp", "seg", "own", "other").distinct()
     return hubs(same, ["seg", "own"], MAX_BITS).union(hubs(m, ["key"], MAX_BITS - 1)).distinct()
@@ -126,7 +135,8 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
         keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("key"),
         "hot-variants")
     plain = keyed.join(crowded, "key", "left_anti") if n else keyed
-    x, y = plain.alias("x"), plain.alias("y")
+    # Spark's size estimate ignores the explode, and would broadcast 64 times what it thinks.
+    x, y = plain.alias("x").hint("merge"), plain.alias("y").hint("merge")
     a, b = F.col("x.fp"), F.col("y.fp")
     # In a hot variant a pair may have its only shared key, so "once" cannot be asked for then.
     once = _once(F.col("x.key"), a, b) if not n else F.lit(True)
