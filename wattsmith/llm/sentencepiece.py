@@ -7,9 +7,11 @@ from the end gives the segmentation of highest total score. Characters no piece
 covers fall back to their bytes, at a score below every piece's.
 
 No piece holds a word mark after another character (checked when the model is
-loaded), so a text's best segmentation is that of its chunks, each a run of marks
-and the characters up to the next mark. Chunks repeat, so a worker remembers
-those it has met, in a table of bounded size.
+loaded), and no piece joins characters of two families: two characters are of one
+family if some piece holds them side by side, or both are linked so through others. So
+a text's best segmentation is that of its chunks, each a run of marks and the
+characters of one family that follow. Chunks repeat, so a task remembers those it has
+met, in a table of bounded size that it forgets when it ends.
 
 The model file is read on the driver, from a path that is a parameter, and sent
 to the workers as a broadcast (half a megabyte). For a merge model the scores are
@@ -28,9 +30,13 @@ from __future__ import annotations
 
 import math
 import re
-from functools import lru_cache
+import struct
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from itertools import pairwise
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +45,8 @@ from .common import bound_arrow, read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"                # stands for a space
-_CHUNK = re.compile(f"{MARK}*[^{MARK}]*")
 _NONE = float("-inf")
-REMEMBERED = 1 << 17           # chunks a worker keeps, of at most REMEMBERED_CHARS characters
+REMEMBERED = 1 << 18           # chunks a task keeps, of at most REMEMBERED_CHARS characters
 REMEMBERED_CHARS = 64
 
 
@@ -58,6 +63,25 @@ def log_probabilities(scores: dict[int, float]) -> dict[int, float]:
     return {i: -math.log(r + 1) - norm for r, i in enumerate(order)}
 
 
+def families(pieces: Iterable[str]) -> list[str]:
+    """The characters that pieces link, as one string per family, the largest first."""
+    above: dict[str, str] = {}
+
+    def root(c):
+        while above.setdefault(c, c) != c:
+            above[c] = above[above[c]]
+            c = above[c]
+        return c
+
+    for piece in pieces:
+        for a, b in pairwise(piece.lstrip(MARK)):
+            above[root(a)] = root(b)
+    found: dict[str, list[str]] = {}
+    for c in sorted(above):
+        found.setdefault(root(c), []).append(c)
+    return sorted(map("".join, found.values()), key=lambda f: (-len(f), f))
+
+
 class Tokenizer:
     """Pieces and scores of a SentencePiece model, as an automaton."""
 
@@ -87,9 +111,24 @@ class Tokenizer:
         self.automaton.make_automaton()
         self.singles = {x for x in self.pieces if x and len(x) == 1}
         self.byte_score = 2 * min(scores.values()) - 10
-        self.segment = lru_cache(REMEMBERED)(self._viterbi)
-
-    def _viterbi(self, chunk: str) -> tuple[int, ...]:
+        # A character of no family stands alone.
+        runs = [f"[{re.escape(f)}]+" for f in families(piece for piece in self.pieces if piece)]
+        self.chunks = re.compile(f"{MARK}*(?:{'|'.join([*runs, f'[^{MARK}]'])})|{MARK}+", re.DOTALL)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {}
+
+    def segment(self, chunk: str) -> bytes:
+        """A chunk's ids, packed."""
+        if (found := self.known.get(chunk)) is None:
+            ids = self._viterbi(chunk)
+            found = struct.pack(f"<{len(ids)}i", *ids)
+            if len(chunk) <= REMEMBERED_CHARS and len(self.known) < REMEMBERED:
+                self.known[chunk] = found
+        return found
+
+    def _viterbi(self, chunk: str) -> list[int]:
         """The ids of a chunk's best segmentation."""
         n = len(chunk)
         if self.singles.issuperset(chunk):
@@ -109,7 +148,7 @@ class Tokenizer:
             n -= size
             out.append(i) if isinstance(i, int) else out.extend(reversed(i))
         out.reverse()
-        return tuple(out)
+        return out
 
     def _relax_with_bytes(self, chunk: str):
         """As in ``_viterbi``, and a character that is no piece may be its bytes."""
@@ -135,24 +174,26 @@ class Tokenizer:
         return best, back
 
     def encode(self, text: str) -> list[int]:
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str) -> np.ndarray:
         """Ids of a text, led by a word mark as the library does. A real U+2581 would
         read as a space, so it goes as bytes."""
-        out: list[int] = []
-        if not text:
-            return out
-        for k, part in enumerate((" " + text).split(MARK)):
+        out: list[bytes] = []
+        for k, part in enumerate((" " + text).split(MARK) if text else []):
             if k:
-                out.extend(self.of_byte[b] for b in MARK.encode())
-            for chunk in _CHUNK.findall(part.replace(" ", MARK)):
-                if chunk:
-                    out.extend(self.segment(chunk) if len(chunk) <= REMEMBERED_CHARS else self._viterbi(chunk))
-        return out
+                out += [struct.pack("<i", self.of_byte[b]) for b in MARK.encode()]
+            out += map(self.segment, self.chunks.findall(part.replace(" ", MARK)))
+        return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids) -> str:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return self._joined(ids)[1:]
 
     def _joined(self, ids) -> str:
         pieces = self.pieces
+        if self.bytes.keys().isdisjoint(ids):
+            return "".join([pieces[i] for i in ids]).replace(MARK, " ")
         out: list[bytes] = []
         run: list[str] = []
         for i in ids:
@@ -163,8 +204,6 @@ class Tokenizer:
                 out.append("".join(run).replace(MARK, " ").encode())
                 run = []
                 out.append(bytes((self.bytes[i],)))
-        if not out:
-            return "".join(run).replace(MARK, " ")
         out.append("".join(run).replace(MARK, " ").encode())
         return b"".join(out).decode("utf-8")
 
@@ -172,13 +211,18 @@ class Tokenizer:
 _LOADED: dict[int, Tokenizer] = {}
 
 
-def _tokenizer(sent) -> Tokenizer:
-    """This worker's tokenizer, built once from the broadcast model."""
+@contextmanager
+def _tokenizer(sent):
+    """This worker's tokenizer, built once from the broadcast model, for one task: what
+    it remembers goes with the task."""
     key = hash(sent.value)
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = Tokenizer(sent.value)
-    return _LOADED[key]
+    try:
+        yield _LOADED[key]
+    finally:
+        _LOADED[key].forget()
 
 
 def load(spark: SparkSession, path: str = MODEL):
@@ -192,9 +236,10 @@ def add_ids(docs: DataFrame, text_col: str = "text", path: str = MODEL, ids: str
     sent = load(docs.sparkSession, path)
 
     @F.pandas_udf("array<int>")
-    def encode(text: pd.Series) -> pd.Series:
-        t = _tokenizer(sent)
-        return pd.Series([None if x is None else t.encode(x) for x in text], dtype=object)
+    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with _tokenizer(sent) as t:
+            for text in texts:
+                yield pd.Series([None if x is None else t.encode_array(x) for x in text], dtype=object)
     return docs.withColumn(ids, encode(F.col(f"`{text_col}`")))
 
 
@@ -203,19 +248,30 @@ def decoded(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = M
     sent = load(df.sparkSession, path)
 
     @F.pandas_udf("string")
-    def decode(rows: pd.Series) -> pd.Series:
-        t = _tokenizer(sent)
-        return pd.Series([None if x is None else t.decode(x if isinstance(x, list) else x.tolist()) for x in rows], dtype=object)
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with _tokenizer(sent) as t:
+            for rows in batches:
+                yield pd.Series([None if x is None else t.decode(x) for x in rows], dtype=object)
     return df.withColumn(out, decode(F.col(f"`{ids}`")))
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids, n_ids, and whether decoding the ids
-    gave the text again."""
-    t = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    both = decoded(add_ids(t, "text", path), path=path)
-    return both.select("doc_id", "ids", F.size("ids").alias("n_ids"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    gave the text again. Both directions run where the text already is, so that neither
+    the ids nor the decoded text travel to Python again."""
+    bound_arrow(docs.sparkSession)
+    sent = load(docs.sparkSession, path)
+
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def there_and_back(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        with _tokenizer(sent) as t:
+            for text in texts:
+                ids = [None if x is None else t.encode_array(x) for x in text]
+                same = [i is None or t.decode(i) == x for i, x in zip(ids, text)]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": same})
+
+    both = docs.select(F.col(f"`{id_col}`").alias("doc_id"), there_and_back(F.col(f"`{text_col}`")).alias("e"))
+    return both.select("doc_id", "e.ids", F.size("e.ids").alias("n_ids"), "e.round_trip")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
