@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from wattsmith.operators.joins import SmallSide, materialize
 
-from .common import WORD_JAVA, bound_arrow, read_table
+from .common import WORD_JAVA, bound_arrow, let, read_table
 
 MIN_CHARS = 20
 LINE = ["h1", "h2"]
@@ -84,8 +84,10 @@ def _half_keys(line: Column) -> Column:
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, th, pos, line, h1, h2): lines with a word. th names the text."""
-    t = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"),
-                    F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
+    # The hash has a step of its own: beside the explode it would be taken once per line.
+    named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"),
+                        F.col(text_col).alias("text"))
+    t = named.select("doc_id", "th", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     return t.filter(F.col("line").rlike(WORD_JAVA)).select(
         "*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), F.col("line")).alias("h2"))
 
@@ -152,7 +154,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     text = F.col(f"`{text_col}`")
     joined = docs.join(lost, docs[id_col].eqNullSafe(F.col("__d")) & (F.xxhash64(docs[text_col]) == F.col("__h")),
                        "left")
-    kept = F.array_join(F.filter(split_lines(text), lambda x, i: ~F.array_contains("__drop", i)), "\n")
+    # A set difference of places: a test of each line against all dropped ones would be quadratic.
+    kept = let(split_lines(text), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop")), lambda i: F.get(lines, i)), "\n"))
     counts = [F.coalesce(F.size(F.filter(split_lines(text), lambda x: x.rlike(WORD_JAVA))), F.lit(0)).alias("n_lines"),
               F.coalesce("__equal", F.lit(0)).alias("n_equal"), F.coalesce("__near", F.lit(0)).alias("n_near")]
     return joined.select(*[F.when(F.col("__drop").isNull(), text).otherwise(kept).alias(c) if c == text_col
