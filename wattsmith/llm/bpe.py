@@ -4,8 +4,8 @@ A text is cut at the vocabulary's special tokens; the rest is brought to NFC,
 lower-cased character by character, and cut into words (letters, single digits,
 runs of other marks, English contractions). A word's UTF-8 bytes are written as one
 character each, the last with the end-of-word mark. For a short word two arrays
-are held: the boundaries of its parts and, between neighbours, the rank of joining
-them. The least rank is found by a scan, its boundary deleted, and the two ranks
+are held: the parts between its boundaries and, for each boundary, the rank of deleting
+it. The least rank is found by a scan, its boundary deleted, and the two ranks
 beside it refreshed, until no neighbours join. In a word over ``SHORT`` characters
 scanning would be quadratic; there a heap of (rank, place) over linked parts makes
 the same joins in the same order.
@@ -34,8 +34,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -47,9 +49,10 @@ from .common import bound_arrow, read_table
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
 SHORT = 96                  # characters of a word that are scanned; longer ones take a heap
-REMEMBERED = 1 << 16        # words a task keeps, of at most REMEMBERED_CHARS characters
+REMEMBERED = 1 << 18        # words a task keeps, of at most REMEMBERED_CHARS characters
 REMEMBERED_CHARS = 64
 NEVER = 1 << 62             # the rank of neighbours that do not join
+ID_BITS = 20
 # Fixed value: the word pattern of the vocabulary's file, which ``check_steps`` asserts.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -102,16 +105,21 @@ class Bpe:
         model = json.loads(file)
         check_steps(model)
         bpe = model["model"]
-        self.end = bpe["end_of_word_suffix"] or ""
-        self.ids: dict[str, int] = bpe["vocab"]
-        self.rank = {tuple(pair): r for r, pair in enumerate(bpe["merges"])}
+        end = bpe["end_of_word_suffix"] or ""
+        ids: dict[str, int] = bpe["vocab"]
         chars = byte_characters()
-        if missing := [c for c in chars if c not in self.ids or c + self.end not in self.ids]:
+        if missing := [c for c in chars if c not in ids or c + end not in ids]:
             raise ValueError(f"{len(missing)} bytes have no piece")
-        self.shown = {b: c for b, c in enumerate(chars)}
+        self.inside = [ids[c] for c in chars]           # a byte's id, and that of a word's last byte
+        self.final = [ids[c + end] for c in chars]
+        # Joins by the two parts' ids in one number, and what they give, by rank.
+        self.rank = {ids[x] << ID_BITS | ids[y]: r for r, (x, y) in enumerate(bpe["merges"])}
+        self.joined = [ids[x + y] for x, y in bpe["merges"]]
         special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.special = special
-        self.pieces = {i: p for p, i in [*self.ids.items(), *special.items()]}
+        self.pieces = {i: p for p, i in [*ids.items(), *special.items()]}
+        if max(self.pieces) >> ID_BITS:
+            raise ValueError(f"ids need more than {ID_BITS} bits")
         # The longest first, so that one that starts another does not hide it.
         order = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, order)) + ")") if order else None
@@ -122,71 +130,64 @@ class Bpe:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def parts(self, word: str) -> list[str]:
-        """The pieces of a word, from its characters for bytes."""
-        w = word.encode().decode("latin-1").translate(self.shown) + self.end
-        n = len(w) - len(self.end)
-        return self._scanned(w, n) if n <= SHORT else self._queued(w, n)
+    def parts(self, word: str) -> list[int]:
+        """The ids of a word's parts."""
+        *head, last = word.encode()
+        ids = [*map(self.inside.__getitem__, head), self.final[last]]
+        return self._scanned(ids) if len(ids) <= SHORT else self._queued(ids)
 
-    def _scanned(self, w: str, n: int) -> list[str]:
-        bounds = [*range(n), len(w)]
+    def _scanned(self, ids: list[int]) -> list[int]:
+        """``ids`` are the parts between the boundaries; ``ranks[i]`` is the rank of
+        deleting the boundary after part i."""
         rank = self.rank.get
-
-        def between(i):
-            """The rank of joining part i with the next."""
-            a, b, c = bounds[i:i + 3]
-            return rank((w[a:b], w[b:c]), NEVER)
-
-        ranks = [between(i) for i in range(n - 1)]
-        while ranks:
-            least = min(ranks)
-            if least == NEVER:
-                break
+        ranks = [rank(a << ID_BITS | b, NEVER) for a, b in pairwise(ids)]
+        while ranks and (least := min(ranks)) != NEVER:
             i = ranks.index(least)
-            del bounds[i + 1], ranks[i]
+            ids[i] = self.joined[least]
+            del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = between(i - 1)
+                ranks[i - 1] = rank(ids[i - 1] << ID_BITS | ids[i], NEVER)
             if i < len(ranks):
-                ranks[i] = between(i)
-        return [w[a:b] for a, b in zip(bounds, bounds[1:])]
+                ranks[i] = rank(ids[i] << ID_BITS | ids[i + 1], NEVER)
+        return ids
 
-    def _queued(self, w: str, n: int) -> list[str]:
-        """The same joins by a heap. ``after[i]`` is where the part that starts at i
-        ends, ``before[i]`` where the part before it starts (-1: none)."""
-        after = [*range(1, n), len(w)]
-        before = [*range(-1, n - 1)]
-        alive = bytearray(b"\1" * n)
-        heap: list[tuple[int, int, int]] = []
+    def _queued(self, ids: list[int]) -> list[int]:
+        """The same joins by a heap. The part at place i is followed by the one at
+        ``after[i]`` and comes after that at ``before[i]``; a joined part has id -1."""
+        n = len(ids)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        heap: list[tuple[int, int]] = []
+
+        def rank(i):
+            return self.rank.get(ids[i] << ID_BITS | ids[after[i]]) if after[i] < n else None
 
         def offer(i):
-            """Queue the join of the part at i and the next, if there is one."""
-            b = after[i]
-            if b < n and (r := self.rank.get((w[i:b], w[b:after[b]]))) is not None:
-                heapq.heappush(heap, (r, i, after[b]))
+            if (r := rank(i)) is not None:
+                heapq.heappush(heap, (r, i))
 
         for i in range(n):
             offer(i)
         while heap:
-            r, i, end = heapq.heappop(heap)
-            # Stale if the part is gone or it or the next has grown since.
-            if not alive[i] or (b := after[i]) >= n or after[b] != end or self.rank.get((w[i:b], w[b:end])) != r:
+            r, i = heapq.heappop(heap)
+            if ids[i] < 0 or rank(i) != r:      # this part or the next has changed since
                 continue
-            alive[b] = 0
-            after[i] = end
-            if end < n:
-                before[end] = i
+            gone = after[i]
+            ids[i], ids[gone] = self.joined[r], -1
+            after[i] = after[gone]
+            if after[i] < n:
+                before[after[i]] = i
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return [w[i:after[i]] for i in range(n) if alive[i]]
+        return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """A word's ids, packed, and its pieces with spaces between."""
+    def word(self, word: str) -> bytes:
+        """A word's ids, packed."""
         if (found := self.known.get(word)) is None:
-            parts = self.parts(word)
-            found = np.array([self.ids[p] for p in parts], "<u4").tobytes(), " ".join(parts)
+            ids = self.parts(word)
+            found = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= REMEMBERED_CHARS and len(self.known) < REMEMBERED:
                 self.known[word] = found
         return found
@@ -198,22 +199,21 @@ class Bpe:
         low = "".join([self.lower.get(c) or c.lower() for c in unicodedata.normalize("NFC", text)])
         return [low[slice(*m.span())] for m in self.words.finditer(low.translate(self.masked))]
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """A text's ids as little-endian unsigned 32-bit integers, and their decoding."""
+    def encode(self, text: str | None) -> bytes:
+        """A text's ids as little-endian unsigned 32-bit integers."""
         ids: list[bytes] = []
-        shown: list[str] = []
         for k, piece in enumerate(self.cut.split(text or "") if self.cut else [text or ""]):
             if k % 2:
-                ids.append(self.special[piece].to_bytes(4, "little"))
-                shown.append(piece)
+                ids.append(struct.pack("<I", self.special[piece]))
             elif piece:
-                for a, b in map(self.word, self.words_of(piece)):
-                    ids.append(a)
-                    shown.append(b)
-        return b"".join(ids), " ".join(shown)
+                ids += map(self.word, self.words_of(piece))
+        return b"".join(ids)
 
     def decode(self, ids) -> str:
-        return " ".join(self.pieces[int(i)] for i in ids)
+        return " ".join(map(self.pieces.__getitem__, ids))
+
+    def unpack(self, ids: bytes) -> list[int]:
+        return np.frombuffer(ids, "<u4").tolist()
 
 
 def lowered(text: str) -> str:
@@ -253,7 +253,8 @@ def encoding(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
         bpe = _encoder(sent)
         try:
             for batch in texts:
-                yield pd.DataFrame([bpe.encode(x) for x in batch], columns=["ids", "decoded"], dtype=object)
+                ids = [bpe.encode(x) for x in batch]
+                yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(bpe.unpack(x)) for x in ids]}, dtype=object)
         finally:
             bpe.forget()
     return encode(text)
@@ -281,7 +282,7 @@ def decoded(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = M
     @F.pandas_udf("string")
     def decode(rows: pd.Series) -> pd.Series:
         bpe = _encoder(sent)
-        return pd.Series([None if x is None else bpe.decode(x) for x in rows], dtype=object)
+        return pd.Series([None if x is None else bpe.decode(map(int, x)) for x in rows], dtype=object)
     return df.withColumn(out, decode(F.col(f"`{ids}`")))
 
 
