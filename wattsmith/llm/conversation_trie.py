@@ -228,38 +228,40 @@ def _split(big: DataFrame, paths: DataFrame, values: list[str]) -> tuple[DataFra
             moved.filter("ends"))
 
 
-def decompose(parent: list[int], weight: list[int], values: np.ndarray) -> np.ndarray:
+def decompose(parent: list[int], weight: list[int], values: list[list[int]]) -> list[list[int]]:
     """The same steps for one small component. ``parent``: each node's place (-1: the
     top, which comes first and every node after its parent); ``weight``: of the subtrees;
-    ``values``: a row per node. Returns the sums over subtrees."""
+    ``values``: lists with a number per node. Returns their sums over subtrees."""
     n = len(parent)
     children: list[list[int]] = [[] for _ in range(n)]
     for i, p in enumerate(parent):
         if p >= 0:
             children[p].append(i)
-    weight, alive, sums = list(weight), [True] * n, np.zeros_like(values)
+    weight, sums = list(weight), [[0] * n for _ in values]
     tops = [0] if n else []
     while tops:
         top = c = tops.pop()
         half = weight[top] / 2
-        while (heavier := next((x for x in children[c] if alive[x] and weight[x] > half), None)) is not None:
+        while (heavier := next((x for x in children[c] if weight[x] > half), None)) is not None:
             c = heavier
-        below, todo = [], [c]
-        while todo:
-            below.append(x := todo.pop())
-            todo.extend(y for y in children[x] if alive[y])
-        add = values[below].sum(axis=0)
+        below = [c]
+        for x in below:
+            below += children[x]
+        for v, out in zip(values, sums):
+            add = sum([v[x] for x in below])
+            x = c
+            while x != top:
+                out[x] += add
+                x = parent[x]
+            out[top] += add
         x = c
-        while True:
-            sums[x] += add
-            if x != c:
-                weight[x] -= weight[c]
-            if x == top:
-                break
+        while x != top:
             x = parent[x]
-        alive[c] = False
-        tops.extend(y for y in children[c] if alive[y])
+            weight[x] -= weight[c]
+        tops += children[c]
+        children[c] = []
         if c != top:
+            children[parent[c]].remove(c)
             tops.append(top)
     return sums
 
@@ -270,30 +272,38 @@ def _finished(state: DataFrame, values: list[str]) -> DataFrame:
     bound_arrow(state.sparkSession)
     sums = [f"sum_{v}" for v in values]
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        place = {x: i for i, x in enumerate(zip(part["m"].tolist(), part["d"].tolist()))}
-        parent = [-1 if i == 0 else place[p, d - 1] for i, (p, d) in
-                  enumerate(zip(part["parent"].tolist(), part["d"].tolist()))]
-        found = part[sums].to_numpy(np.int64) + decompose(parent, part["weight"].tolist(), part[values].to_numpy(np.int64))
-        return pd.DataFrame({"m": part["m"].to_numpy(), "d": part["d"].to_numpy(),
-                             **{s: found[:, i] for i, s in enumerate(sums)}})
+    def rows_of(batch: list[list[int]], a: int, b: int) -> list[list[int]]:
+        """The columns m, d and the sums of the component in rows a to b."""
+        m, d, parent, weight, *own = [c[a:b] for c in batch]
+        place = {x: i for i, x in enumerate(zip(m, d))}
+        up = [-1, *[place[p, x - 1] for p, x in zip(parent[1:], d[1:])]]
+        found = decompose(up, weight, own[:len(values)])
+        return [m, d, *[[x + y for x, y in zip(*both)] for both in zip(own[len(values):], found)]]
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             if held is not None:
                 batch = pd.concat([held, batch], ignore_index=True)
-            if batch.empty:
-                continue
             tm, td = batch["tm"].to_numpy(), batch["td"].to_numpy()
-            cuts = np.flatnonzero((tm[1:] != tm[:-1]) | (td[1:] != td[:-1])) + 1
-            for a, b in zip([0, *cuts[:-1]], cuts):
-                yield one(batch.iloc[a:b])
-            held = batch.iloc[cuts[-1] if len(cuts) else 0:].reset_index(drop=True)
+            cuts = [0, *(np.flatnonzero((tm[1:] != tm[:-1]) | (td[1:] != td[:-1])) + 1)]
+            yield whole(batch, cuts)
+            held = batch.iloc[cuts[-1]:]
         if held is not None and len(held):
-            yield one(held)
-
-    sorted_ = state.repartition("tm", "td").sortWithinPartitions("tm", "td", "d", "m")
+            yield whole(held, [0, len(held)])
+
+    def whole(batch: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        """The components between the cuts."""
+        columns = [batch[c].tolist() for c in ("m", "d", "parent", "weight", *values, *sums)]
+        out: list[list[int]] = [[] for _ in range(2 + len(sums))]
+        for a, b in zip(cuts, cuts[1:]):
+            for column, more in zip(out, rows_of(columns, a, b)):
+                column += more
+        return pd.DataFrame(dict(zip(["m", "d", *sums], out)), dtype="int64")
+
+    # A number of its own, since little data makes much work here: small partitions would be joined.
+    parts = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = state.repartition(parts, "tm", "td").sortWithinPartitions("tm", "td", "d", "m")
     return materialize(sorted_.mapInPandas(each, "m long, d long, " + ", ".join(f"{s} long" for s in sums)),
                        "finished")
 
