@@ -83,7 +83,10 @@ def posting_lists(failed: DataFrame, filters: Sequence[str] = FILTERS, span: int
     flags = [*filters, *MARKS]
     placed = ordered_positions(failed.select("part", "id", "row", *flags), ["part", "id", "row"])
     place = (F.col("pos") % span).cast("int")
-    return placed.groupBy("part", F.floor(F.col("pos") / span).alias("span")).agg(
+    # A number of partitions of its own, since little data makes much work in ``sizes``.
+    parts = int(failed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.withColumn("span", F.floor(F.col("pos") / span)).repartition(parts, "part", "span")
+    return dealt.groupBy("part", "span").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sort_array(F.collect_list(F.when(F.col(f), place))).alias(f) for f in flags])
 
