@@ -237,3 +237,40 @@ def test_line_dedup_hot_key_stays_linear(spark, make_docs):
 def test_line_dedup_empty(make_docs):
     assert line_dedup.dedup(make_docs([])).count() == 0
     assert [r.text for r in line_dedup.dedup(make_docs([(1, None)])).collect()] == [None]
+
+
+def test_no_broadcast_above_an_explode(spark):
+    """Spark's estimate of an exploded side is the size before the explode."""
+    from wattsmith.llm.simhash import _hot_links, links
+    fps = spark.range(200_000).select(F.xxhash64("id").alias("fp"))
+    hot = fps.select(F.lit(5).cast("bigint").alias("key"), "fp")
+    for df in (links(fps), _hot_links(hot)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for part in plan.split("BroadcastExchange")[1:]:
+            assert "Generate" not in part
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_fingerprint_across_chunks():
+    """A text of more shingles than are unpacked at once."""
+    from wattsmith.llm import simhash
+    text = " ".join(f"w{i % 70_001}" for i in range(simhash.CHUNK + 5000))
+    words = text.split()
+    import xxhash
+    ones = [0] * 64
+    n = len(words) - 2
+    for i in range(n):
+        h = xxhash.xxh64_intdigest(" ".join(words[i:i + 3]), seed=42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    want = sum(1 << b for b in range(64) if 2 * ones[b] > n)
+    assert simhash.fingerprint(text) % (1 << 64) == want
+
+
+def test_very_many_dropped_lines(spark, make_docs):
+    """One text of 100,000 equal lines, and lines that stay in their order."""
+    line = "the same line again and again"
+    text = "\n".join(["first line of this text", *[line] * 100_000, "", "last line of this text"])
+    got = line_dedup.dedup(make_docs([(1, text), (2, line)])).orderBy("doc_id").collect()
+    assert got[0].text == f"first line of this text\n{line}\n\nlast line of this text"
+    assert got[0].n_equal == 99_999 and got[1].text == ""
