@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from testdata_paths import SF01
 from wattsmith.plans import catalog
 from wattsmith.plans.runs import load_model
-from wattsmith.plans.training import PROFILES, cross_validate, fit, mae, predict
+from wattsmith.plans.training import PROFILES, cross_validate, fit, mae, predict, tree_counts, with_late_block
 
 
 def test_fit_save_load_score(spark, tmp_path):
@@ -45,10 +45,52 @@ def test_cross_validate_six_folds(spark):
 def test_runs_table(spark):
     rec = catalog.runs_table(spark, "/root/testdata/sf0.001").collect()
     assert len(rec) == 1 and rec[0].metrics["mean_absolute_error"] >= 0
-    assert rec[0].params["maxIter"] == "10"
+    assert rec[0].params["maxIter"] == "500" and 1 <= int(rec[0].params["trees"]) <= 500
     assert 0 < len(rec[0].input_example) <= 5 and rec[0].input_example[0].startswith("{")
 
 
+def _signal(spark, n=600):
+    """Rows whose target is a step function of one feature, with its trend in time."""
+    return spark.range(n).select(
+        F.col("id").alias("row_id"), F.timestamp_add("HOUR", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))
+        .alias("datetime"), (F.col("id") % 7).cast("double").alias("x"),
+        (F.col("id") % 7 * 10 + F.hash("id") % 3).cast("double").alias("target"))
+
+
+def test_patience_finds_the_least_error(spark):
+    """The chosen count is the best of a longer run, and never beyond the ceiling."""
+    df = _signal(spark)
+    params = {"stepSize": 0.5, "maxDepth": 2, "maxIter": 24}
+    model = fit(df, params, patience=3)
+    late = with_late_block(df)
+    full = fit(late.filter("NOT late").drop("late"), params)
+    scored = Pipeline_of(full).transform(late.filter("late"))
+    errors = full.stages[-1].evaluateEachIteration(scored, "absolute")
+    n = tree_counts(model)
+    assert 1 <= n <= 24 and errors[n - 1] == min(errors[:min(24, n + 3)])
+    assert tree_counts(fit(df, params | {"maxIter": 2}, patience=3)) <= 2
+    assert tree_counts(fit(df.limit(3), params | {"maxIter": 4}, patience=3)) <= 4
+
+
+def Pipeline_of(model):
+    from pyspark.ml import PipelineModel
+    return PipelineModel(model.stages[:-1])
+
+
+def test_folds_at_once_equal_folds_in_turn(spark):
+    df = _signal(spark)
+    params = {"stepSize": 0.1, "maxDepth": 2, "maxIter": 3}
+    a, b = (cross_validate(df, params, parallel=n).orderBy("fold").collect() for n in (1, 6))
+    assert [(x.fold, round(x.mae, 9), x.n_trees, x.n_train) for x in a] == [
+        (x.fold, round(x.mae, 9), x.n_trees, x.n_train) for x in b]
+
+
+def test_a_failing_fold_is_raised(spark):
+    import pytest
+    with pytest.raises(ZeroDivisionError):
+        cross_validate(_signal(spark), {"maxIter": 1}, select=lambda rows: 1 / 0)
+
+
 def test_registered_models_use_the_whole_profiles():
     assert all(catalog._profile(name) == PROFILES[name] for name in PROFILES)
     assert all(catalog._profile(name)["maxIter"] == 500 for name in PROFILES)

@@ -7,6 +7,9 @@ not identical trees: Spark's GBT grows depth-wise and has no leaf-count limit.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -89,15 +92,56 @@ def build_pipeline(df: DataFrame, params: dict, features: list[str] | None = Non
     return Pipeline(stages=stages)
 
 
-def fit(df: DataFrame, params: dict, **kw) -> PipelineModel:
-    """Fit the pipeline; ``df`` is read once per stage, so pass a written table."""
+def fit(df: DataFrame, params: dict, patience: int | None = None, **kw) -> PipelineModel:
+    """Fit the pipeline; ``df`` is read once per stage, so pass a written table.
+
+    ``patience``: let the last time block choose how many trees are grown, at most
+    ``maxIter`` (see ``tree_count``), and fit again on all rows with that number.
+    Without it the model has ``maxIter`` trees.
+    """
     *prepare, booster = build_pipeline(df, params, **kw).getStages()
     prepared = Pipeline(stages=prepare).fit(df)
     labels = [len(x) for s in prepared.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
     booster.setMaxBins(max([booster.getMaxBins(), *[n + 1 for n in labels]]))
+    if patience is not None:
+        booster = booster.copy({booster.maxIter: tree_count(booster, prepared, df, patience)})
     return PipelineModel(prepared.stages + [booster.fit(prepared.transform(df))])
 
 
+def with_late_block(df: DataFrame, flag: str = "late") -> DataFrame:
+    """``df``, written, with a flag for the last block ``assign_folds`` would test: one
+    part in ``N_SPLITS`` + 1 of the rows, the latest ones."""
+    from ..operators.joins import materialize
+    return materialize(assign_folds(df, N_SPLITS).withColumn(flag, F.col("fold") == N_SPLITS - 1).drop("fold"),
+                       "late-block")
+
+
+def tree_count(booster: GBTRegressor, prepared: PipelineModel, df: DataFrame, patience: int) -> int:
+    """The number of trees with the least absolute error on the last time block, learned
+    from the rows before it, once ``patience`` more trees have not bettered it.
+
+    A boosted model holds the models of every smaller count, so one fit gives the errors
+    of all. If the best count is too near the end, twice as many trees are grown, up
+    to ``maxIter``; all tries together cost at most about twice the last one.
+    """
+    marked = with_late_block(df, "__late")
+    late = prepared.transform(marked.filter("__late"))
+    early = prepared.transform(marked.filter("NOT __late"))
+    if late.isEmpty() or early.isEmpty():
+        return booster.getMaxIter()
+    trees = min(2 * patience, booster.getMaxIter())
+    while True:
+        errors = booster.copy({booster.maxIter: trees}).fit(early).evaluateEachIteration(late, "absolute")
+        best = errors.index(min(errors)) + 1
+        if best + patience <= trees or trees == booster.getMaxIter():
+            return best
+        trees = min(2 * trees, booster.getMaxIter())
+
+
+def tree_counts(model: PipelineModel) -> int:
+    return model.stages[-1].getNumTrees
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select("row_id", F.col("prediction").cast("double"))
 
@@ -119,34 +163,45 @@ def cv_blocks(folded: DataFrame, n_splits: int = N_SPLITS, label: str = "target"
 
 
 def cross_validate(df: DataFrame, params: dict, n_splits: int = N_SPLITS, label: str = "target",
-                   select=None, **kw) -> DataFrame:
+                   select=None, parallel: int = N_SPLITS, **kw) -> DataFrame:
     """Expanding-window CV: fold ``i`` trains on every row before its test block.
 
-    Returns one row per fold (fold, mae, n_test, n_train, lag168_mae: see
-    ``cv_blocks``) plus the mean MAE over folds. The fold loop is over six Spark
-    fits; each fit and each score is distributed. ``select``: optional ``train rows
-    -> feature names``, run inside every fold on that fold's training rows only
-    (feature selection without looking at the test block).
+    Returns one row per fold (fold, mae, n_trees, n_test, n_train, lag168_mae: see
+    ``cv_blocks``) plus the mean MAE over folds. Folds are fitted ``parallel`` at a time, each
+    by Spark jobs of its own scheduler pool: a boosted tree is many short jobs, one
+    after another, whose tasks seldom fill a cluster. ``select``: optional ``train
+    rows -> feature names``, run inside every fold on that fold's training rows only
+    (feature selection without looking at the test block). Other arguments: ``fit``'s.
     """
     from ..operators.joins import materialize
     spark = df.sparkSession
     # written once to the checkpoint folder: six fits re-read it, and a lost
     # executor re-reads files instead of rebuilding the features
     folded = materialize(assign_folds(df, n_splits), "cv_folds")
-    rows = []
-    for i in range(n_splits):
-        train = folded.filter(F.col("fold") < i)
-        test = folded.filter(F.col("fold") == i)
-        if select is not None:
-            kw = dict(kw, features=select(train))
-        r = mae(fit(train, params, **kw).transform(test)).first()
-        rows.append((i, float(r["mae"]) if r["mae"] is not None else None))
-    out = spark.createDataFrame(rows, "fold int, mae double").join(
+
+    def one(i: int) -> tuple:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{i}")
+        train = folded.filter(F.col("fold") < i).drop("fold")
+        test = folded.filter(F.col("fold") == i).drop("fold")
+        own = kw if select is None else kw | {"features": select(train)}
+        model = fit(train, params, **own)
+        r = mae(model.transform(test), label).first()
+        return i, float(r["mae"]) if r["mae"] is not None else None, tree_counts(model)
+
+    rows = concurrently([lambda i=i: one(i) for i in range(n_splits)], parallel, spark)
+    out = spark.createDataFrame(rows, "fold int, mae double, n_trees int").join(
         cv_blocks(folded, n_splits, label), "fold", "left")
     # six rows: the mean over folds rides along as a column
     return out.withColumn("mean_mae", F.avg("mae").over(Window.partitionBy(F.lit(1))))
 
 
+def concurrently(calls: list, parallel: int, spark) -> list:
+    """The results of ``calls`` in their order, ``parallel`` at a time. Each thread has
+    the caller's job properties. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(c)) for c in calls]]
+
+
 def cv_score(folds: DataFrame) -> float:
     """Mean MAE over the folds (the notebooks negate sklearn's negative score)."""
     return folds.agg(F.avg("mae")).first()[0]

@@ -26,6 +26,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Folds of a cross-validation are fitted at once, each in a pool of its own.
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
