@@ -67,3 +67,18 @@ def test_time_filter_reaches_the_scan(spark, tmp_path):
     plan = _plan(filter_since(df, "2024-01-15 00:00:00").select("row_id"))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(datetime", plan)
     assert "ReadSchema: struct<datetime:timestamp_ntz,row_id:bigint>" in plan
+
+
+def test_means_read_the_weather_once(spark):
+    """Both levels come from one written table of sums, not from two scans."""
+    from wattsmith.operators import weather as wx
+    mapped = wx.historical_with_county(fx.historical_weather(spark, SF001), fx.station_map(spark, SF001))
+    plan = _plan(wx.hourly_means(mapped))
+    assert "events" not in plan and plan.count("hourly-sums") >= 1
+
+
+def test_correlation_matrix_reads_its_input_once(spark):
+    from wattsmith.operators.selection import corr_matrix
+    df = spark.range(50).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b")
+    out = corr_matrix(df)
+    assert "MapInPandas" not in _plan(out) and out.count() == 3

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rowwise import segment_numeric
+from .joins import materialize
 
 # Fixed value: top-k size as the notebooks set it; the slice that drops the target
 # itself leaves k - 1 names.
@@ -109,7 +110,8 @@ def corr_matrix(df: DataFrame) -> DataFrame:
     cols = num.columns
     schema = ("a int, b int, n double, sa double, sb double, saa double, sbb double, "
               "sab double, ca double, cb double")
-    parts = num.mapInPandas(_gram_partials(cols), schema)
+    # Written, since the shifts and the sums both read it: ``df`` is computed once.
+    parts = materialize(num.mapInPandas(_gram_partials(cols), schema), "gram-parts")
     # Common shift per column: the count-weighted mean of the task shifts, from the
     # diagonal partial rows (tasks x k rows).
     shift = (parts.filter(F.col("a") == F.col("b")).groupBy("a")

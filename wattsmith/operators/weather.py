@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import cast_latlon
-from .joins import SmallSide, left_join, shift_hours
+from .joins import SmallSide, left_join, materialize, shift_hours
 
 # Forecast horizon kept (hours ahead, inclusive) and the lags
 # (hours) at which each weather mean is joined.
@@ -67,15 +67,16 @@ def local_mean(weather: DataFrame) -> DataFrame:
 def hourly_means(weather: DataFrame) -> DataFrame:
     """Global and per-county hourly means from one aggregation of the raw rows.
 
-    Sums and counts per (county, hour) first; the global means roll those up (Spark
-    reuses the exchange), so the raw rows are neither expanded nor shuffled twice.
+    Sums and counts per (county, hour) first, written once; both levels read that table,
+    so the raw rows are scanned, expanded and shuffled no more than once. (Left lazy, the
+    filter on the county would be pushed below one of two copies of the aggregate.)
     ``level`` 1 rows are the global means, over all stations; ``level`` 0 the
     per-county means, without the unmapped stations (NULL county).
     """
     ms = measures(weather)
     sums = [F.sum(f"`{m}`").alias(f"_s{i}") for i, m in enumerate(ms)]
     counts = [F.count(f"`{m}`").alias(f"_n{i}") for i, m in enumerate(ms)]
-    parts = weather.groupBy("county", "datetime").agg(*sums, *counts)
+    parts = materialize(weather.groupBy("county", "datetime").agg(*sums, *counts), "hourly-sums")
     whole = parts.groupBy("datetime").agg(*[F.sum(c).alias(c) for i in range(len(ms))
                                             for c in (f"_s{i}", f"_n{i}")])
     means = [F.try_divide(f"_s{i}", f"_n{i}").alias(m) for i, m in enumerate(ms)]
