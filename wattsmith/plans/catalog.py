@@ -618,7 +618,8 @@ def score_new(spark, sf):
     cut = F.lit(fx.CUT_OLD).cast("timestamp_ntz")
     old_b = b.with_tables(data=b.data.filter(F.col("datetime") < cut),
                           target=b.target.filter(F.col("datetime") < cut))
-    train = materialize(FeatureBuilder(old_b).generate(old_b.data), "features")
+    # Helpers kept: the tree count is chosen on the last rows by datetime.
+    train = materialize(FeatureBuilder(old_b).generate(old_b.data, drop_helpers=False), "features")
     new_target = b.target.filter(F.col("datetime") >= cut)
     updated = upd.update_tables(old_b, new_target=new_target)
     return predict(fit(train, _profile("lightgbm"), PATIENCE),
