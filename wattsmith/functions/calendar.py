@@ -108,8 +108,8 @@ def holiday_dates(years: DataFrame, year_col: str = "year", country: str = "EE")
     the data (at most 12 rows per year) and never collected to the driver.
     """
     if country != "EE":
-        raise ValueError("built-in calendar covers country='EE'; pass a holidays table "
-                         "for other countries")
+        from .holidays import holiday_table, rules_for
+        return holiday_table(years, rules_for(country), year_col)
     yrs = years.select(F.col(year_col).cast("int").alias("_y")).distinct()
     y = F.col("_y")
     fixed = [F.make_date(y, F.lit(m), F.lit(d)) if since is None

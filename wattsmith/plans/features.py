@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import add_general_features, is_ee_holiday
+from ..functions.holidays import is_holiday, rules_for
 from ..operators.client import add_client_features
 from ..operators.joins import SmallSide
 from ..operators.scope import RowScope
@@ -117,7 +118,7 @@ class FeatureBuilder:
         elif country == "EE":
             df = df.withColumn("is_holiday", is_ee_holiday(F.col("date")))
         else:
-            raise ValueError(f"no built-in calendar for {country!r}; pass holidays=")
+            df = df.withColumn("is_holiday", is_holiday(F.col("date"), rules_for(country)))
         if drop_helpers:
             df = df.drop(*DROPPED_HELPERS)
         if with_target and has_target:

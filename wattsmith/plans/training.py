@@ -11,14 +11,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.bins import splits
 from ..operators.folds import assign_folds
 from ..sources.schemas import CATEGORICAL_COLS
+from .signature import accept, model_signature
 
 # ---------------------------------------------------------------------------
 # The notebooks' model settings (learning rate, depth, trees), and
@@ -62,13 +64,18 @@ def _q(c: str) -> str:
 
 
 def build_pipeline(df: DataFrame, params: dict, features: list[str] | None = None,
-                   categorical: bool = False, label: str = "target") -> Pipeline:
+                   categorical: bool = False, label: str = "target", missing_flags: bool = False,
+                   edges: dict[str, list[float]] | None = None) -> Pipeline:
     """Fill NULLs and NaNs with a sentinel, index categoricals, assemble, and boost.
 
     ``categorical``: index the five categorical columns and let the trees split
     them as categories; otherwise only the string ``segment`` is indexed and
     everything else is numeric. The booster's ``maxBins`` must cover the largest
     category count; ``fit`` raises it from the indexer's labels.
+
+    ``missing_flags``: a 0/1 input beside each numeric one. ``edges``: bin edges by
+    feature (``operators.bins``), computed once for all folds and fits; those features
+    enter as bin numbers, missing values in bin 0.
     """
     features = features or feature_columns(df)
     types = dict(df.dtypes)
@@ -76,11 +83,18 @@ def build_pipeline(df: DataFrame, params: dict, features: list[str] | None = Non
     nums = [c for c in features if c not in cats]
     cast = [f"coalesce(nanvl(CAST({_q(c)} AS DOUBLE), {MISSING}), {MISSING}) AS {_q(c + '__x')}" for c in nums]
     cast += [f"CAST({_q(c)} AS STRING) AS {_q(c + '__s')}" for c in cats]
+    flags = [c for c in nums if missing_flags]
+    cast += [f"CAST({_q(c)} IS NULL OR isnan(CAST({_q(c)} AS DOUBLE)) AS DOUBLE) AS {_q(c + '__m')}" for c in flags]
+    binned = [c for c in nums if edges and edges.get(c)]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(cast)} FROM __THIS__")]
     if cats:
         stages.append(StringIndexer(inputCols=[f"{c}__s" for c in cats],
                                     outputCols=[f"{c}__i" for c in cats], handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"{c}__x" for c in nums] + [f"{c}__i" for c in cats],
+    if binned:
+        stages.append(Bucketizer(splitsArray=[splits(edges[c], floor=MISSING) for c in binned],
+                                 inputCols=[f"{c}__x" for c in binned], outputCols=[f"{c}__b" for c in binned]))
+    stages.append(VectorAssembler(inputCols=[f"{c}__b" if c in binned else f"{c}__x" for c in nums]
+                                  + [f"{c}__m" for c in flags] + [f"{c}__i" for c in cats],
                                   outputCol="features", handleInvalid="keep"))
     p = dict(params)
     # Deep trees: keep node ids cached instead of re-walking trees each level, and
@@ -142,7 +156,11 @@ def tree_counts(model: PipelineModel) -> int:
     return model.stages[-1].getNumTrees
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, signature: T.StructType | None = None) -> DataFrame:
+    """Predictions by row_id. ``signature``: the schema the model was fitted on (as a run
+    records it); rows that do not fit it are refused (``plans.signature``)."""
+    if signature is not None:
+        df = accept(df, model_signature(signature))
     return model.transform(df).select("row_id", F.col("prediction").cast("double"))
 
 

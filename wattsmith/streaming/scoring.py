@@ -20,17 +20,20 @@ from ..plans.training import predict
 from ..sources.storage import TableBundle, preprocess_test
 
 
-def score_batch(tables: TableBundle, model, test_rows: DataFrame) -> DataFrame:
+def score_batch(tables: TableBundle, model, test_rows: DataFrame,
+                signature: T.StructType | None = None) -> DataFrame:
     rows = preprocess_test(test_rows)
-    return predict(model, FeatureBuilder(tables).generate(rows, has_target=False))
+    return predict(model, FeatureBuilder(tables).generate(rows, has_target=False), signature)
 
 
 def start_scoring_stream(spark: SparkSession, tables: Callable[[SparkSession], TableBundle],
                          model_path: str, source_dir: str, schema: T.StructType,
                          out_dir: str, checkpoint: str, fmt: str = "parquet",
-                         available_now: bool = True):
+                         available_now: bool = True, signature: T.StructType | None = None):
     """``tables`` is called per batch, so each batch sees the current table
-    versions (e.g. after the update stream merged the latest revealed targets)."""
+    versions (e.g. after the update stream merged the latest revealed targets).
+    ``signature``: the schema the model was fitted on; features that do not fit it stop
+    the stream (see ``plans.signature``)."""
     stream = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         stream = stream.option("header", True)
@@ -39,7 +42,7 @@ def start_scoring_stream(spark: SparkSession, tables: Callable[[SparkSession], T
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        out = score_batch(tables(batch.sparkSession), model, batch)
+        out = score_batch(tables(batch.sparkSession), model, batch, signature)
         out.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     writer = (stream.load(source_dir).writeStream.foreachBatch(run)
