@@ -1,7 +1,8 @@
 """Update streams lose nothing: replays, new checkpoints, two streams, rows without a day."""
 
 import datetime as dt
-import shutil
+import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,77 +15,97 @@ from wattsmith.streaming import updates as U
 SCHEMA = "k int, v double"
 
 
-def _start(spark, versions=1):
+def _start(spark, rows=((1, 1.0),)):
     root = scratch_path(spark, "lossless")
-    U.write_version(spark.createDataFrame([(1, 1.0)], SCHEMA), f"{root}/table")
-    for i in range(1, versions):
-        U.merge_version(spark.createDataFrame([(1 + i, 1.0)], SCHEMA), f"{root}/table", ["k"], "loader", i)
+    U.init_table(spark.createDataFrame(list(rows), SCHEMA), f"{root}/table", ["k"])
     return root
 
 
-def _run(spark, root, rows=None, checkpoint="ck"):
-    if rows:
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    q = U.start_update_stream(spark, f"{root}/in", spark.createDataFrame([], SCHEMA).schema, ["k"],
-                              f"{root}/table", f"{root}/{checkpoint}")
-    q.awaitTermination()
+def _add(spark, root, rows, at):
+    """One file written at second ``at``."""
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for f in pathlib.Path(f"{root}/in".removeprefix("file:")).glob("*.parquet"):
+        if f.stat().st_mtime < 1_000_000_000 or f.stat().st_mtime > 1_500_000_000:
+            os.utime(f, (1_000_000_000 + at,) * 2)
 
 
-def _table(spark, root):
-    return {r.k: r.v for r in spark.read.parquet(U.latest_version(spark, f"{root}/table")).collect()}
+def _run(spark, root, checkpoint="ck"):
+    U.start_update_stream(spark, f"{root}/in", spark.createDataFrame([], SCHEMA).schema, ["k"],
+                          f"{root}/table", f"{root}/{checkpoint}").awaitTermination()
+
+
+def _table(spark, root, table="table"):
+    rows = U.updated(spark, f"{root}/{table}", ["k"]).collect()
+    assert len({r.k for r in rows}) == len(rows)
+    return {r.k: r.v for r in rows}
 
 
 def test_replay_of_a_batch_whose_commit_record_is_lost(spark):
     root = _start(spark)
-    _run(spark, root, [(2, 2.0)])
-    _run(spark, root, [(1, 5.0), (3, 3.0)])
-    before = U.commits(spark, f"{root}/table")
+    _add(spark, root, [(2, 2.0)], 1)
+    _run(spark, root)
+    _add(spark, root, [(1, 5.0), (3, 3.0)], 2)
+    _run(spark, root)
+    before = U.finished_batches(spark, f"{root}/table")
     local = root.removeprefix("file:")
     for name in ("1", ".1.crc"):
-        shutil.os.remove(f"{local}/ck/commits/{name}")
+        os.remove(f"{local}/ck/commits/{name}")
     _run(spark, root)
     assert _table(spark, root) == {1: 5.0, 2: 2.0, 3: 3.0}
-    assert U.commits(spark, f"{root}/table") == before
+    assert U.finished_batches(spark, f"{root}/table") == before and len(before) == 2
 
 
-@pytest.mark.parametrize("versions", [1, 2, 3])
-def test_new_checkpoint(spark, versions):
-    root = _start(spark, versions)
-    _run(spark, root, [(10, 1.0)], "ck-a")
-    _run(spark, root, [(11, 2.0), (10, 3.0)], "ck-b")
-    assert _table(spark, root) == {**{1 + i: 1.0 for i in range(versions)}, 10: 3.0, 11: 2.0} or (
-        # one file order is as good as another within the batch of all files
-        _table(spark, root)[11] == 2.0 and set(_table(spark, root)) >= {1, 10, 11})
-    assert len(U.commits(spark, f"{root}/table")) == versions + 2
+def test_new_checkpoint_reads_all_files_again(spark):
+    root = _start(spark)
+    _add(spark, root, [(1, 2.0), (10, 1.0)], 1)
+    _run(spark, root, "ck-a")
+    _add(spark, root, [(11, 2.0), (10, 3.0)], 2)
+    _run(spark, root, "ck-a")
+    want = {1: 2.0, 10: 3.0, 11: 2.0}
+    assert _table(spark, root) == want
+    _run(spark, root, "ck-b")
+    assert _table(spark, root) == want
 
 
-def test_two_streams_at_once(spark, monkeypatch):
-    """Another stream commits while this one writes: it merges again, nothing is lost."""
-    root = _start(spark)
-    table = f"{root}/table"
-    upsert_once = U.upsert
+def _arrived(spark, rows, at):
+    return spark.createDataFrame(rows, SCHEMA).withColumn(U.ARRIVED, F.lit(at).cast("bigint"))
 
-    def slow(*args, **kw):
-        out = upsert_once(*args, **kw)
-        if U.upsert is slow:
-            monkeypatch.setattr(U, "upsert", upsert_once)
-            U.merge_version(spark.createDataFrame([(7, 7.0)], SCHEMA), table, ["k"], "other", 0)
-        return out
 
-    monkeypatch.setattr(U, "upsert", slow)
-    U.merge_version(spark.createDataFrame([(8, 8.0)], SCHEMA), table, ["k"], "mine", 0)
-    assert _table(spark, root) == {1: 1.0, 7: 7.0, 8: 8.0}
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0, 1, 2]])
+def test_streams_at_once_in_any_order_and_repeated(spark, order):
+    root = _start(spark, [(1, 1.0), (None, 0.0)])
+    calls = [("a", 0, [(1, 7.0), (2, 7.0)], 10), ("b", 0, [(1, 8.0), (None, 8.0)], 20), ("a", 1, [(2, 9.0), (3, 9.0)], 15)]
+    for i in order:
+        stream, number, rows, at = calls[i]
+        U.write_batch(_arrived(spark, rows, at), f"{root}/table", ["k"], stream, number)
+    assert _table(spark, root) == {1: 8.0, 2: 9.0, 3: 9.0, None: 8.0}
 
 
-def test_unfinished_commit_is_no_version(spark):
+def test_compacted_table_keeps_times(spark):
+    """Older files that come after a compaction do not win over its rows."""
     root = _start(spark)
-    fs, path = U._fs(spark, f"{root}/table/_commits/{1:012d}")
-    fs.create(path, False).close()
+    U.write_batch(_arrived(spark, [(1, 5.0), (2, 5.0)], 50), f"{root}/table", ["k"], "a", 0)
+    U.compact(spark, f"{root}/table", ["k"], f"{root}/next")
+    assert _table(spark, root, "next") == {1: 5.0, 2: 5.0}
+    U.write_batch(_arrived(spark, [(1, 4.0), (2, 6.0), (3, 4.0)], 40), f"{root}/next", ["k"], "a", 1)
+    U.write_batch(_arrived(spark, [(2, 6.0)], 60), f"{root}/next", ["k"], "a", 2)
+    assert _table(spark, root, "next") == {1: 5.0, 2: 6.0, 3: 4.0}
+
+
+def test_unfinished_batch_is_not_read(spark):
+    root = _start(spark)
+    path = U.write_batch(_arrived(spark, [(1, 5.0)], 50), f"{root}/table", ["k"], "a", 0)
+    os.remove(f"{path}/_SUCCESS".removeprefix("file:"))
     assert _table(spark, root) == {1: 1.0}
-    U.merge_version(spark.createDataFrame([(2, 2.0)], SCHEMA), f"{root}/table", ["k"], "s", 0)
-    assert _table(spark, root) == {1: 1.0, 2: 2.0}
-    assert U.retire_versions(spark, f"{root}/table", keep=1) == [0]
-    assert _table(spark, root) == {1: 1.0, 2: 2.0}
+    U.write_batch(_arrived(spark, [(1, 5.0)], 50), f"{root}/table", ["k"], "a", 0)
+    assert _table(spark, root) == {1: 5.0}
+
+
+def test_base_is_not_shuffled_for_small_batches(spark):
+    root = _start(spark)
+    U.write_batch(_arrived(spark, [(1, 5.0)], 50), f"{root}/table", ["k"], "a", 0)
+    plan = U.updated(spark, f"{root}/table", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
 @pytest.mark.parametrize("new", [[(None, 1, 9.0)], [(None, 2, 9.0), (dt.datetime(2024, 1, 2, 5), 1, 8.0)]])

@@ -509,31 +509,31 @@ def features_roundtrip(spark, sf):
 
 
 def _updated_by_stream(spark, sf, replay: bool):
-    from ..streaming.updates import latest_version, start_update_stream, write_version
+    from ..streaming.updates import init_table, start_update_stream, updated
     old, new = batches(spark, sf, "target")
-    root = _scratch(spark, "stream")
-    write_version(old, f"{root}/table")
+    root, keys = _scratch(spark, "stream"), S.UPDATE_KEYS["target"]
+    init_table(old, f"{root}/table", keys)
     new.write.mode("overwrite").parquet(f"{root}/incoming")
 
     def run(checkpoint):
-        start_update_stream(spark, f"{root}/incoming", new.schema, S.UPDATE_KEYS["target"],
-                            f"{root}/table", f"{root}/{checkpoint}").awaitTermination()
+        start_update_stream(spark, f"{root}/incoming", new.schema, keys, f"{root}/table",
+                            f"{root}/{checkpoint}").awaitTermination()
     run("checkpoint")
     if replay:
         run("checkpoint")
         run("new-checkpoint")
-    return rounded(spark.read.parquet(latest_version(spark, f"{root}/table")))
+    return rounded(updated(spark, f"{root}/table", keys))
 
 
 def stream_update(spark, sf):
-    """The target update run as a stream: the first version is the old batch, the new
-    batch arrives as files, one availableNow run merges it (newest wins)."""
+    """The target update run as a stream: the base is the old batch, the new
+    batch arrives as files, one availableNow run adds it (newest wins)."""
     return _updated_by_stream(spark, sf, replay=False)
 
 
 def stream_update_replayed(spark, sf):
     """The same, run again from its checkpoint and once more from a new one, which
-    merges all files again: the table must not change."""
+    adds all files again: the table must not change."""
     return _updated_by_stream(spark, sf, replay=True)
 
 

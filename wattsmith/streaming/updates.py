@@ -1,27 +1,34 @@
-"""The incremental update as a stream: new batches arrive as files, each micro-batch
-is merged into the current table version (newest wins) and written as the next one.
-
-A version is a folder of its own, never overwritten, and a commit record written
-last: ``_commits/<n>`` names the folder, the version it was merged into, and the
-stream and batch it came from. A batch that is already recorded is not merged
-again, so replays after a lost checkpoint record change nothing; a new stream
-continues from the latest version; of two streams that commit at once one gets the
-number and the other merges again into the new version. Readers see a version
-once its record is whole.
+"""The incremental update as a stream: new batches arrive as files, and of each key the
+row of the newest file is kept.
+
+A table is a folder: ``base``, unique by key, and ``batches/<stream>/<batch>``, one
+folder for each micro-batch. A micro-batch only writes its own folder, named by the
+stream's and the batch's id, so a batch run again writes the same folder again; Spark's
+checkpoint alone says what is done. Every row carries when its file was written
+(``ARRIVED``). That decides which row is newest, so the result depends on the
+files and neither on the order of batches nor on how often they ran: a new checkpoint
+that reads all files again changes nothing, and two streams may write at once.
+
+``updated`` merges at reading time; the batches' newest rows are one counted join side
+and the base is not shuffled while they fit the broadcast budget. ``compact`` writes
+the merged state as the base of another folder when batches have grown many.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
+from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import SmallSide, scratch_path
 from ..operators.update import upsert
 
+ARRIVED = "_arrived"  # microseconds: the file's modification time; 0 for the initial load
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -29,128 +36,95 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_text(spark: SparkSession, path) -> str:
-    jvm = spark.sparkContext._jvm
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(path)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _claims(spark: SparkSession, table_root: str) -> dict[int, dict | None]:
-    """Commit records by number; None where a writer ended before its record was whole."""
-    fs, path = _fs(spark, f"{table_root.rstrip('/')}/_commits")
-    if not fs.exists(path):
-        return {}
-    out: dict[int, dict | None] = {}
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.isdigit():
-            try:
-                out[int(name)] = json.loads(_read_text(spark, st.getPath()))
-            except ValueError:
-                out[int(name)] = None
-    return out
-
-
-def commits(spark: SparkSession, table_root: str) -> dict[int, dict]:
-    """The table's versions: number -> record (path, parent, stream, batch)."""
-    return {n: c for n, c in _claims(spark, table_root).items() if c}
-
-
-def latest_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the latest version's folder (None if there is no version)."""
-    done = commits(spark, table_root)
-    return done[max(done)]["path"] if done else None
-
-
-def _commit(spark: SparkSession, table_root: str, number: int, record: dict) -> bool:
-    """Write the record of version ``number`` unless that number is taken."""
-    fs, path = _fs(spark, f"{table_root.rstrip('/')}/_commits/{number:012d}")
-    try:
-        out = fs.create(path, False)
-    except Exception as e:  # noqa: BLE001  the number is taken, or the folder cannot be written
-        if fs.exists(path):
-            return False
-        raise e
-    try:
-        out.write(bytearray(json.dumps(record).encode()))
-    finally:
-        out.close()
-    return True
-
-
-def write_version(df: DataFrame, table_root: str, version: int = 0) -> str:
-    """Write ``df`` as version ``version`` (the initial load); return its folder."""
-    spark = df.sparkSession
-    path = f"{table_root.rstrip('/')}/data/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _commit(spark, table_root, version, {"path": path, "parent": None, "stream": None, "batch": None}):
-        raise ValueError(f"{table_root} has a version {version}")
-    return path
+def newest_arrived(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: of the newest file, and of several in it the one whose values
+    hash highest. One number orders the rows, so all columns come from the same row."""
+    values = [c for c in rows.columns if c not in keys and c != ARRIVED]
+    tie = F.shiftrightunsigned(F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in values]), 1).cast("decimal(19,0)")
+    order = F.col(ARRIVED).cast("decimal(18,0)") * F.lit(Decimal(10**19)) + tie
+    newest = rows.withColumn("_order", order).groupBy(*keys).agg(
+        *[F.max_by(f"`{c}`", "_order").alias(c) for c in values], F.max(ARRIVED).alias(ARRIVED))
+    return newest.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
-def merge_version(batch: DataFrame, table_root: str, keys: list[str], stream: str, batch_id: int) -> str:
-    """Merge one batch of a stream into the latest version, once; return its folder."""
-    spark = batch.sparkSession
-    while True:
-        claims = _claims(spark, table_root)
-        done = {n: c for n, c in claims.items() if c}
-        if not done:
-            raise ValueError(f"{table_root} has no version to merge into")
-        for c in done.values():
-            if c["stream"] == stream and c["batch"] == batch_id:
-                return c["path"]
-        parent = max(done)
-        current = spark.read.parquet(done[parent]["path"])
-        # The initial load's keys may repeat; a merged version's do not, so only the
-        # batch is deduplicated then.
-        merged = upsert(current, batch.select(*current.columns), keys,
-                        current_unique=done[parent]["parent"] is not None)
-        path = f"{table_root.rstrip('/')}/data/{uuid.uuid4().hex}"
-        merged.write.parquet(path)
-        if _commit(spark, table_root, max(claims) + 1,
-                   {"path": path, "parent": parent, "stream": stream, "batch": batch_id}):
-            return path
-        fs, p = _fs(spark, path)  # another stream was first: merge into its version
-        fs.delete(p, True)
-
-
-def retire_versions(spark: SparkSession, table_root: str, keep: int = 2) -> list[int]:
-    """Delete the folders of all but the ``keep`` latest versions; their records stay,
-    so that replayed batches are still known. Returns the retired numbers."""
-    done = commits(spark, table_root)
-    old = sorted(done)[:-keep] if keep else sorted(done)
-    for n in old:
-        fs, p = _fs(spark, done[n]["path"])
-        fs.delete(p, True)
-    return old
+def merge_arrived(base: DataFrame, batches: DataFrame, keys: list[str]) -> DataFrame:
+    """``base`` (unique by key) with the rows of ``batches`` that are as new or newer in
+    place of its own, and those of further keys."""
+    batch = SmallSide(newest_arrived(batches.select(*base.columns), keys), name="arrived")
+    names = {k: f"_new_{k}" for k in keys}
+    new = batch.side(lambda d: d.select(*[F.col(k).alias(n) for k, n in names.items()],
+                                        F.col(ARRIVED).alias("_new_arrived")))
+    same = _same(names)
+    kept = base.join(new, same & (F.col("_new_arrived") >= F.col(ARRIVED)), "left_anti")
+    held = base.join(new, same & (F.col("_new_arrived") < F.col(ARRIVED)), "left_semi")
+    held = SmallSide(held.select(*[F.col(k).alias(n) for k, n in names.items()]), name="held")
+    return kept.unionByName(batch.df.join(held.side(), _same(names), "left_anti"))
+
+
+def _same(names: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+
+
+def init_table(df: DataFrame, table_root: str, keys: list[str]) -> None:
+    """Write ``df`` as the base of a new table, one row per key."""
+    newest_arrived(df.withColumn(ARRIVED, F.lit(0).cast("bigint")), keys).write.parquet(f"{_root(table_root)}/base")
+
+
+def _root(table_root: str) -> str:
+    return table_root.rstrip("/")
+
+
+def finished_batches(spark: SparkSession, table_root: str) -> list[str]:
+    """The batch folders whose write has ended."""
+    fs, path = _fs(spark, f"{_root(table_root)}/batches/*/*/_SUCCESS")
+    return sorted(st.getPath().getParent().toString() for st in fs.globStatus(path) or [])
+
+
+def _state(spark: SparkSession, table_root: str, keys: list[str]) -> DataFrame:
+    base = spark.read.parquet(f"{_root(table_root)}/base")
+    done = finished_batches(spark, table_root)
+    return merge_arrived(base, spark.read.parquet(*done), keys) if done else base
+
+
+def updated(spark: SparkSession, table_root: str, keys: list[str]) -> DataFrame:
+    """The table as of now: the newest row of every key."""
+    return _state(spark, table_root, keys).drop(ARRIVED)
+
+
+def compact(spark: SparkSession, table_root: str, keys: list[str], new_root: str) -> None:
+    """Write the table's present state as the base of the new table ``new_root``. Its rows
+    keep their times, so batches that reach ``table_root`` later can be merged too."""
+    _state(spark, table_root, keys).write.parquet(f"{_root(new_root)}/base")
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the stream of this checkpoint (a new checkpoint has a new one)."""
-    _, path = _fs(spark, f"{checkpoint.rstrip('/')}/metadata")
-    return json.loads(_read_text(spark, path))["id"]
+    return json.loads(spark.read.text(f"{_root(checkpoint)}/metadata").first()[0])["id"]
+
+
+def write_batch(batch: DataFrame, table_root: str, keys: list[str], stream: str, batch_id: int) -> str:
+    """Write one micro-batch (with ``ARRIVED``) as its folder, in place of an earlier try."""
+    path = f"{_root(table_root)}/batches/{stream}/{batch_id:012d}"
+    newest_arrived(batch, keys).write.mode("overwrite").parquet(path)
+    return path
 
 
 def start_update_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
                         keys: list[str], table_root: str, checkpoint: str,
                         fmt: str = "parquet", available_now: bool = True):
-    """Merge every new file under ``source_dir`` into the versions at ``table_root``.
-
-    A first version must exist (``write_version``).
-    """
+    """Add every new file under ``source_dir`` to the table at ``table_root``, which must
+    exist (``init_table``). Columns its base lacks are left out."""
     stream = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         stream = stream.option("header", True)
-    source = stream.load(source_dir)
+    columns = [c for c in spark.read.parquet(f"{_root(table_root)}/base").columns if c != ARRIVED]
+    source = stream.load(source_dir).select(
+        *[F.col(f"`{c}`") for c in columns], F.unix_micros("_metadata.file_modification_time").alias(ARRIVED))
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_version(batch, table_root, keys, stream_id(batch.sparkSession, checkpoint), batch_id)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, table_root, keys, stream_id(batch.sparkSession, checkpoint), batch_id)
 
-    writer = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -225,6 +199,6 @@ def dedupe_stream(source: DataFrame, keys: list[str], event_time: str,
             .dropDuplicatesWithinWatermark(keys).drop("_event_ts"))
 
 
-__all__ = ["commits", "dedupe_stream", "init_partitioned_table", "latest_version",
-           "merge_into_partitioned", "merge_version", "retire_versions",
-           "start_partitioned_update_stream", "start_update_stream", "write_version"]
+__all__ = ["compact", "dedupe_stream", "finished_batches", "init_partitioned_table", "init_table",
+           "merge_arrived", "merge_into_partitioned", "newest_arrived", "start_partitioned_update_stream",
+           "start_update_stream", "updated", "write_batch"]
