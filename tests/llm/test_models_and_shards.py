@@ -1,5 +1,6 @@
 """Operators 1, 6, 7 and 10, and the pipeline."""
 
+import itertools
 import random
 import zlib
 
@@ -60,6 +61,59 @@ def test_shards_of_a_hot_group(make_docs):
     assert sorted((r.doc_id or -1) for r in got) == sorted((r[0] or -1) for r in rows)
 
 
+def test_shards_of_a_table_united_with_itself(make_docs):
+    """Every document is linked and every shard is full: groups come together by exchange."""
+    got, texts = sharded(make_docs([(i, f"text {i % 400}") for i in range(800)]), shards=8)
+    assert all(len(s) == 1 for s in held(got, texts, 8).values())
+
+
+def test_few_groups_are_cut(make_docs):
+    """Copies of many numbers and no document without links: fewer cut groups than shards."""
+    rows = [(g * 100 + i, f"text {g}") for g in range(150) for i in range(2 + g % 5)]
+    got, texts = sharded(make_docs(rows), shards=8)
+    assert sum(len(s) > 1 for s in held(got, texts, 8).values()) < 8
+
+
+def test_cut_links_against_every_placement():
+    """Parts on edges: rooms kept, fewer cuts than shards, and none missing where no placement of wholes exists."""
+    rng = random.Random(5)
+    for _ in range(60):
+        room = [rng.randint(1, 6) for _ in range(3)]
+        parts, left = [], sum(room)
+        while left and len(parts) < 5:
+            n = rng.randint(1, min(4, left))
+            parts.append((len(parts), 0, n))
+            left -= n
+        placed = sharding.on_edges(parts, room)
+        for s, r in enumerate(room):
+            assert sum(n for _, _, t, n in placed if t == s) <= r
+        for g, _, n in parts:
+            assert sum(m for h, _, _, m in placed if h == g) == n
+        cuts = len(placed) - len(parts)
+        fits = any(all(sum(p[2] for p, s in zip(parts, to) if s == t) <= r for t, r in enumerate(room))
+                   for to in itertools.product(range(3), repeat=len(parts)))
+        assert cuts <= 2 and (fits or cuts)
+
+
+def test_quotas_never_overfill():
+    rng = random.Random(7)
+    for shards in (2, 5, 16):
+        for _ in range(40):
+            demand = {(rng.randrange(shards), rng.randrange(shards)): rng.randint(1, 50) for _ in range(3 * shards)}
+            demand = {e: n for e, n in demand.items() if e[0] != e[1]}
+            room = [rng.randint(-5, 5) for _ in range(shards)]
+            may = sharding.quotas(demand, room)
+            assert all(0 <= may[e] <= n for e, n in demand.items()) and set(may) == set(demand)
+            into = [sum(n for (_, b), n in may.items() if b == s) for s in range(shards)]
+            out = [sum(n for (a, _), n in may.items() if a == s) for s in range(shards)]
+            assert all(i - o <= max(0, r) for i, o, r in zip(into, out, room))
+            # nothing more could move: no wish into room, no ring of two
+            rest = {e: n - may[e] for e, n in demand.items() if n > may[e]}
+            assert all(room[b] - into[b] + out[b] <= 0 for _, b in rest)
+            assert not any((b, a) in rest for a, b in rest)
+    assert sharding.quotas({(0, 1): 3, (1, 2): 5, (2, 0): 4}, [0, 0, 0]) == {(0, 1): 3, (1, 2): 3, (2, 0): 3}
+
+
 @pytest.mark.parametrize("n", [0, 1, 15, 16, 17])
 def test_shards_of_few(make_docs, n):
     got, texts = sharded(make_docs([(i, "same") for i in range(n)]))
