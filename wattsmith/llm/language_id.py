@@ -433,9 +433,10 @@ def _part_sums(texts: DataFrame, part: Models) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (rest == 2).alias("held_out"))
-    models = learn(docs.filter(~F.col("held_out")).select("lang", "text"))
-    p = materialize(predict(docs, models, carry=("held_out",)), "predicted")
-    limits = p.filter(~F.col("held_out")).groupBy("lang_pred").agg(
+    docs = docs.withColumn("learns", ~F.col("held_out") & F.col("lang").isNotNull())
+    models = learn(docs.filter("learns").select("lang", "text"))
+    p = materialize(predict(docs, models, carry=("held_out", "learns")), "predicted")
+    limits = p.filter("learns").groupBy("lang_pred").agg(
         F.percentile_approx("entropy", REJECT_QUANTILE).alias("limit"))  # a row per language
     p = p.join(F.broadcast(limits), "lang_pred", "left").withColumn(
         "rejected", F.coalesce(F.col("entropy") > F.col("limit"), F.lit(False)))
