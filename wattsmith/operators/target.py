@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rowwise import row_mean, row_std, safe_ratio
 from .joins import SmallSide, left_join, shift_hours
+from .sums import exact_sum
 
 # ---------------------------------------------------------------------------
 # Lag hours, the columns the row statistics use, and the ratio
@@ -37,8 +38,9 @@ COUNTY_TYPE_SUM_KEYS = ["is_business", "is_consumption", "datetime"]
 
 
 def summed(target: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum of ``target`` per key set; a group whose targets are all NULL sums to 0."""
-    return target.groupBy(*keys).agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("target"))
+    """Sum of ``target`` per key set, whatever the order of the rows; a group whose targets
+    are all NULL sums to 0."""
+    return target.groupBy(*keys).agg(F.coalesce(exact_sum(F.col("target")), F.lit(0.0)).alias("target"))
 
 
 def type_sum(target: DataFrame) -> DataFrame:
@@ -119,14 +121,15 @@ def join_lags_plain(features: DataFrame, history: DataFrame, keys: list[str], la
     return features
 
 
-def _hours(col: str = "datetime"):
+def hours_since_1970(col: str = "datetime"):
     """Wall-clock hours since 1970 (time-zone free on TIMESTAMP_NTZ)."""
     return (F.datediff(F.col(col).cast("date"), F.lit("1970-01-01").cast("date")) * F.lit(24)
             + F.hour(col))
 
 
-def _exact_lags(spread: DataFrame, value: str, lags: list[int], name: str, part: list[str]) -> DataFrame:
-    by = ", ".join(part + ["_bucket"])
+def exact_lags(spread: DataFrame, value: str, lags: list[int], name: str, part: list[str]) -> DataFrame:
+    """Lags of the rows that are their own (``_own``), over windows by ``part``."""
+    by = ", ".join(part)
     cols = {}
     for h in lags:
         iv = f"INTERVAL {h} HOURS PRECEDING"
@@ -149,12 +152,12 @@ def lags_in_place(rows: DataFrame, lags: list[int], name: str = "target",
     frames share partitioning and order), and the rows are copied 2x, not 13x.
     """
     part = [k for k in keys if k != "datetime"]
-    bucket = F.floor(_hours() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
+    bucket = F.floor(hours_since_1970() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
     both = F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
                              F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
     spread = rows.select("*", both.alias("_s")).select(
         "*", F.col("_s.b").alias("_bucket"), F.col("_s.own").alias("_own")).drop("_s")
-    return _exact_lags(spread, name, lags, name, part).drop("_bucket", "_own")
+    return exact_lags(spread, name, lags, name, part + ["_bucket"]).drop("_bucket", "_own")
 
 
 def lags_by_windows(rows: DataFrame, history: DataFrame, lags: list[int], name: str = "target",
@@ -163,12 +166,12 @@ def lags_by_windows(rows: DataFrame, history: DataFrame, lags: list[int], name:
     go to their bucket and the next one as lag sources only, and each row of
     ``rows`` to its own. One exchange and one sort of both, no join."""
     part = [k for k in keys if k != "datetime"]
-    bucket = F.floor(_hours() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
+    bucket = F.floor(hours_since_1970() / F.lit(max(max(lags), bucket_hours or 7 * 24))).cast("long")
     own = rows.withColumns({"_bucket": bucket, "_own": F.lit(True), "_past": F.lit(None).cast("double")})
     past = history.select(*part, "datetime", F.explode(F.array(bucket, bucket + 1)).alias("_bucket"),
                           F.lit(False).alias("_own"), F.col("target").cast("double").alias("_past"))
     spread = own.unionByName(past, allowMissingColumns=True)
-    return _exact_lags(spread, "_past", lags, name, part).drop("_bucket", "_own", "_past")
+    return exact_lags(spread, "_past", lags, name, part + ["_bucket"]).drop("_bucket", "_own", "_past")
 
 
 def lag_by_range_frame(history: DataFrame, h: int, keys=SEGMENT_TIME_KEYS,

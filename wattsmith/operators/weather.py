@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import cast_latlon
 from .joins import SmallSide, left_join, materialize, shift_hours
+from .sums import exact_mean, joined, parts
 
 # Forecast horizon kept (hours ahead, inclusive) and the lags
 # (hours) at which each weather mean is joined.
@@ -55,13 +56,13 @@ def historical_with_county(historical: DataFrame, stations) -> DataFrame:
 
 def global_mean(weather: DataFrame) -> DataFrame:
     """Hourly mean of every measure over all stations (mapped or not)."""
-    return weather.groupBy("datetime").agg(*[F.avg(f"`{m}`").alias(m) for m in measures(weather)])
+    return weather.groupBy("datetime").agg(*[exact_mean(F.col(f"`{m}`")).alias(m) for m in measures(weather)])
 
 
 def local_mean(weather: DataFrame) -> DataFrame:
     """Hourly mean of every measure per county, over mapped stations only."""
     return (weather.filter(F.col("county").isNotNull()).groupBy("county", "datetime")
-            .agg(*[F.avg(f"`{m}`").alias(m) for m in measures(weather)]))
+            .agg(*[exact_mean(F.col(f"`{m}`")).alias(m) for m in measures(weather)]))
 
 
 def hourly_means(weather: DataFrame) -> DataFrame:
@@ -69,22 +70,24 @@ def hourly_means(weather: DataFrame) -> DataFrame:
 
     Sums and counts per (county, hour) first, written once; both levels read that table,
     so the raw rows are scanned, expanded and shuffled no more than once. (Left lazy, the
-    filter on the county would be pushed below one of two copies of the aggregate.)
+    filter on the county would be pushed below one of two copies of the aggregate.) Sums
+    are kept in parts that add exactly, so the means are those of ``global_mean`` and
+    ``local_mean`` to the last bit, whatever the order of the rows.
     ``level`` 1 rows are the global means, over all stations; ``level`` 0 the
     per-county means, without the unmapped stations (NULL county).
     """
     ms = measures(weather)
-    sums = [F.sum(f"`{m}`").alias(f"_s{i}") for i, m in enumerate(ms)]
+    sums = [F.sum(p).alias(f"_s{i}_{j}") for i, m in enumerate(ms) for j, p in enumerate(parts(F.col(f"`{m}`")))]
     counts = [F.count(f"`{m}`").alias(f"_n{i}") for i, m in enumerate(ms)]
-    parts = materialize(weather.groupBy("county", "datetime").agg(*sums, *counts), "hourly-sums")
-    whole = parts.groupBy("datetime").agg(*[F.sum(c).alias(c) for i in range(len(ms))
-                                            for c in (f"_s{i}", f"_n{i}")])
-    means = [F.try_divide(f"_s{i}", f"_n{i}").alias(m) for i, m in enumerate(ms)]
+    hourly = materialize(weather.groupBy("county", "datetime").agg(*sums, *counts), "hourly-sums")
+    whole = hourly.groupBy("datetime").agg(*[F.sum(c).alias(c) for c in hourly.columns if c.startswith("_")])
+    means = [F.try_divide(joined([F.col(f"_s{i}_{j}") for j in range(5)]), F.col(f"_n{i}")).alias(m)
+             for i, m in enumerate(ms)]
 
     def level(df, county, n):
         return df.select(county, "datetime", *means, F.lit(n).cast("byte").alias("level"))
-    kind = parts.schema["county"].dataType
-    return level(parts.filter(F.col("county").isNotNull()), F.col("county"), 0).unionByName(
+    kind = hourly.schema["county"].dataType
+    return level(hourly.filter(F.col("county").isNotNull()), F.col("county"), 0).unionByName(
         level(whole, F.lit(None).cast(kind).alias("county"), 1))
 
 
