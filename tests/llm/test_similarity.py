@@ -106,22 +106,32 @@ def plain_shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
+def held_shingles(item, text):
+    """(the item's shingles, how many of them the text holds); an item under five words is one."""
+    w, x = re.findall(r"[^\W_]+", (item or "").lower()), re.findall(r"[^\W_]+", (text or "").lower())
+    k = min(len(w), 5)
+    own = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
+    return own, len(own & {tuple(x[i:i + k]) for i in range(len(x) - k + 1)})
+
+
 def test_leaks_equal_brute_force(spark, make_docs):
     items = [(1, words(14, 1)), (2, words(40, 2)), (3, words(60, 3)), (4, "too short"), (5, None), (None, words(30, 5)),
-             (6, words(9, 6)), (7, words(60, 3)), (8, words(5, 8))]
+             (6, words(9, 6)), (7, words(60, 3)), (8, words(5, 8)), (9, "Too, short"), (10, "word"), (11, "..."),
+             (12, "one two three four")]
     cut = words(40, 2).split()
     changed = cut[:36] + ["zz"] + cut[37:]
     late = cut[:20] + ["zz"] + cut[21:]
     rows = [(1, words(3000, 11) + " " + words(14, 1) + ". " + words(3000, 12)), (2, " ".join(changed)), (3, " ".join(late)),
             (4, words(60, 3).upper().replace(" ", ",\n")), (5, None), (6, ""), (7, words(30, 5)), (None, words(14, 1)),
-            (8, words(14, 1)), (8, words(14, 1)), (8, words(9, 6)), (9, words(5, 8))]
+            (8, words(14, 1)), (8, words(14, 1)), (8, words(9, 6)), (9, words(5, 8)),
+            (10, words(50, 9) + " too SHORT " + words(50, 10)), (11, "short too words"), (12, "zero one two three four five word"),
+            (13, "word")]
     docs = make_docs(rows).withColumns({c: F.lit("extra") for c in EXTRA})
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("sh", F.lit(1))
     want = set()
     for i, t in items:
-        s = plain_shingles(t)
         for d, x in rows:
-            found = len(s & plain_shingles(x))
+            s, found = held_shingles(t, x)
             if s and found >= 0.8 * len(s):
                 want.add((d, i, len(s), found))
     got = decontaminate.leaks(docs, bench).collect()
@@ -129,8 +139,8 @@ def test_leaks_equal_brute_force(spark, make_docs):
     assert len(got) == len(want) and len(want) >= 9
     kept = decontaminate.drop_leaks(docs, bench)
     assert kept.columns == docs.columns
-    bad = {(d, x) for d, x in rows for i, t in items if plain_shingles(t)
-           and len(plain_shingles(t) & plain_shingles(x)) >= 0.8 * len(plain_shingles(t))}
+    bad = {(d, x) for d, x in rows for i, t in items
+           if held_shingles(t, x)[0] and held_shingles(t, x)[1] >= 0.8 * len(held_shingles(t, x)[0])}
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [r for r in rows if r not in bad], key=str)
 

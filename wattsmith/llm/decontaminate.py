@@ -16,10 +16,11 @@ Documents' shingles are probed against the sketches where they are (a broadcast
 join while the counted sketches fit the budget, else a shuffle join), so texts
 are not shuffled; only candidates are looked at again.
 
-Words are maximal runs of letters and digits, lower-cased. Defined cases: null or
-empty texts and those under five words have no shingles: such an item leaks
-nowhere, such a document holds nothing. Repeated items are reported under each id
-(null included); rows that agree in id and text are one document. Further columns
+Words are maximal runs of letters and digits, lower-cased. An item under five words
+is one shingle, its whole sequence, and leaks into the documents that hold it; only the
+lengths that items have are probed. Defined cases: a null text or one without words
+leaks nowhere and holds nothing. Repeated items are reported under each id (null
+included), from a join after verification, so their ids are never gathered; rows that agree in id and text are one document. Further columns
 are ignored; ``drop_leaks`` keeps them.
 """
 
@@ -36,14 +37,26 @@ SHINGLE_WORDS, CONTAINMENT = 5, 0.8
 _WORDS = r"[\p{L}\p{N}]+"
 
 
-def shingles(text: Column, size: int = SHINGLE_WORDS) -> Column:
-    """Distinct 64-bit hashes of a text's word shingles."""
+def _hashed_words(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORDS), F.lit(0))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return let(hashed, lambda h: F.when(F.size(h) >= size, F.array_distinct(F.transform(
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _windows(h: Column, size: int) -> Column:
+    return F.when(F.size(h) >= size, F.transform(
         F.sequence(F.lit(0), F.size(h) - size),
-        lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(size)])))).otherwise(
-            F.array().cast("array<bigint>")))
+        lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(size)]))).otherwise(F.array().cast("array<bigint>"))
+
+
+def shingles(text: Column, sizes: list[int] = (SHINGLE_WORDS,)) -> Column:
+    """Distinct 64-bit hashes of a text's word sequences of these lengths."""
+    return let(_hashed_words(text), lambda h: F.array_distinct(F.concat(*[_windows(h, k) for k in sizes])))
+
+
+def item_shingles(text: Column) -> Column:
+    """Distinct hashes of an item's shingles; of its whole sequence if it is shorter."""
+    return let(_hashed_words(text), lambda h: F.array_distinct(F.coalesce(
+        *[F.when(F.size(h) == k, _windows(h, k)) for k in range(1, SHINGLE_WORDS)], _windows(h, SHINGLE_WORDS))))
 
 
 def _may_miss(n: Column, containment: float) -> Column:
@@ -51,12 +64,12 @@ def _may_miss(n: Column, containment: float) -> Column:
     return (n - F.ceil(n * F.lit(containment) - 1e-9)).cast("int")
 
 
-def item_sketches(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                  containment: float = CONTAINMENT) -> DataFrame:
-    """(ih, item_ids, sh, n, need, sketch), one row per distinct item text with a shingle."""
-    i = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    i = i.groupBy("text").agg(F.collect_list(F.struct("item_id")).alias("item_ids"))
-    i = i.select(F.xxhash64("text").alias("ih"), "item_ids", F.sort_array(shingles(F.col("text"))).alias("sh"))
+def item_sketches(items: DataFrame, text_col: str = "text", containment: float = CONTAINMENT) -> DataFrame:
+    """(ih, sh, words, n, need, sketch), one row per distinct item text with a word.
+    ``words``: the length of its shingles."""
+    i = items.select(F.col(text_col).alias("text")).filter("text IS NOT NULL").distinct()
+    i = i.select(F.xxhash64("text").alias("ih"), F.sort_array(item_shingles(F.col("text"))).alias("sh"),
+                 F.least(F.lit(SHINGLE_WORDS), F.size(_hashed_words(F.col("text")))).alias("words"))
     i = i.filter(F.size("sh") > 0).withColumn("n", F.size("sh"))
     upper = F.pow(F.lit(2), F.floor(F.log2("n")) + 1).cast("int") - 1
     k = F.least(F.col("n"), _may_miss(upper, containment) + 1)
@@ -68,13 +81,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
           item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, th, item_id, n_shingles, n_found, containment): one row per document
     (id and text hash) and item that leaks into it."""
-    items = materialize(item_sketches(items, item_id, item_text, containment), "items")
+    ids = items.select(F.xxhash64(item_text).alias("ih"), F.col(item_id).alias("item_id")).filter(
+        F.col(item_text).isNotNull())
+    items = materialize(item_sketches(items, item_text, containment), "items")
+    sizes = sorted(r[0] for r in items.select("words").distinct().collect()) or [SHINGLE_WORDS]  # five at most
     sketches = SmallSide(items.select("ih", "need", F.explode("sketch").alias("s")), name="sketches")
     text = F.col("text")
     t = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                     F.xxhash64(text_col).alias("th")).filter("text IS NOT NULL")
 
-    probes = t.select("doc_id", "th", F.explode(shingles(text)).alias("s"))
+    probes = t.select("doc_id", "th", F.explode(shingles(text, sizes)).alias("s"))
     hits = probes.join(sketches.side(), "s")
     pairs = (hits.groupBy("doc_id", "th", "ih", "need").agg(F.count_distinct("s").alias("hits"))
              .filter("hits >= need").select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ih"))
@@ -82,15 +98,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))
     held = (t.join(maybe_broadcast(pairs.df.select("d", "h").distinct(), pairs.broadcast), same, "left_semi")
-            .select("doc_id", "th", shingles(text).alias("own")).dropDuplicates(["doc_id", "th"]))
-    full = items.select("ih", "item_ids", "sh", "n")
-    width = full.agg(F.sum(8 * F.col("n") + 40 * F.size("item_ids") + 80)).first()[0] or 0
+            .select("doc_id", "th", shingles(text, sizes).alias("own")).dropDuplicates(["doc_id", "th"]))
+    full = items.select("ih", "sh", "n")
+    width = full.agg(F.sum(8 * F.col("n") + 80)).first()[0] or 0
     full = maybe_broadcast(full, width <= pairs.budget_bytes)
     verified = (held.join(pairs.side(), same).drop("d", "h").join(full, "ih")
                 .withColumn("found", F.size(F.array_intersect("sh", "own")))
                 .filter(F.col("found") >= F.col("n") - _may_miss(F.col("n"), containment)))
-    return verified.select("doc_id", "th", F.explode("item_ids").alias("i"), "n", "found").select(
-        "doc_id", "th", F.col("i.item_id").alias("item_id"), F.col("n").cast("bigint").alias("n_shingles"),
+    found = SmallSide(verified.select("doc_id", "th", "ih", "n", "found"), name="leaks")
+    return ids.join(found.side(), "ih").select(
+        "doc_id", "th", "item_id", F.col("n").cast("bigint").alias("n_shingles"),
         F.col("found").cast("bigint").alias("n_found"), (F.col("found") / F.col("n")).alias("containment"))
 
 
@@ -113,10 +130,11 @@ dw AS (SELECT row_number() OVER () AS k, doc_id,
               regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM d),
 iw AS (SELECT row_number() OVER () AS ik, item_id,
               regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),
-ds AS (SELECT DISTINCT k, doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)),
-              lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM dw),
-sh AS (SELECT DISTINCT ik, item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)),
-              lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw),
+lens AS (SELECT DISTINCT least(len(w), 5) AS m FROM iw WHERE len(w) > 0),
+ds AS (SELECT DISTINCT k, doc_id, unnest(list_transform(range(1, greatest(len(w) - m + 2, 1)),
+              lambda i: array_to_string(w[i:i + m - 1], ' '))) AS s FROM dw, lens),
+sh AS (SELECT DISTINCT ik, item_id, unnest(list_transform(range(1, greatest(len(w) - least(len(w), 5) + 2, 1)),
+              lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s FROM iw WHERE len(w) > 0),
 n AS (SELECT ik, count(*) AS n FROM sh GROUP BY ik),
 f AS (SELECT ds.k, ds.doc_id, sh.ik, sh.item_id, count(*) AS found
       FROM ds JOIN sh ON ds.s = sh.s GROUP BY ALL)
