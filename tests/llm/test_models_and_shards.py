@@ -218,13 +218,6 @@ def test_language_accuracy_and_contract(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
-def test_the_most_frequent_grams_fit_the_bound(spark):
-    counts = spark.createDataFrame([(lang, g, n) for lang in "ab" for g, n in enumerate([1] * 50 + [9] * 30 + [10**12] * 5)],
-                                   "lang string, gram long, n long")
-    assert {k: len(v[0]) for k, v in language_id.most_frequent(counts, 40).items()} == {"a": 35, "b": 35}
-    assert {k: len(v[0]) for k, v in language_id.most_frequent(counts, 1000).items()} == {"a": 85, "b": 85}
-
-
 def test_parts_of_a_model_give_what_the_whole_gives(spark, monkeypatch):
     """No n-gram is dropped where the model takes more than a worker may hold at once."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")

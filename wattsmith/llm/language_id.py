@@ -45,7 +45,6 @@ SPACE = 32
 OTHER_LETTER = 0xFFFF        # letters beyond 16 bits
 SLICE = 1 << 20              # characters handled at once
 MODEL_BYTES = 96 << 20       # what a part of the model sent to the workers may take
-MAX_GRAMS = 200_000          # 4-grams a language keeps in ``most_frequent``
 FLUSH = 1 << 21              # distinct n-grams a task holds before it passes them on
 REJECT_QUANTILE = 0.999
 EVIDENCE = 50                # characters beyond which the score gets no surer
@@ -136,35 +135,6 @@ def count_grams(train: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def most_frequent(counts: DataFrame, limit: int = MAX_GRAMS) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Each language's 4-grams and counts, as many of the most frequent as the bound
-    allows. A histogram of counts gives the least count that fits. The models are not
-    learned from it."""
-    # Counts in geometric steps (a few hundred of them), whatever the corpus's size.
-    step = F.floor(16 * F.log2("n")).cast("int")
-    hist = counts.groupBy("lang", step.alias("c")).agg(F.count(F.lit(1)).alias("grams")).toPandas()
-    langs = sorted(hist["lang"].unique())
-    if not langs:
-        return {}
-    # Three orders below come from the first; a row takes a hash and a column per language.
-    limit = min(limit, MODEL_BYTES // (len(langs) * (8 + 4 * len(langs)) * 3))
-    least = {}
-    for lang in langs:
-        h = hist[hist["lang"] == lang].sort_values("c", ascending=False)
-        fits = h[h["grams"].cumsum() <= limit]
-        if not len(fits):
-            raise ValueError(f"{lang}: the most frequent 4-grams alone exceed {limit}")
-        least[lang] = int(fits["c"].min())
-    floor = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(c)) for lang, c in least.items()])
-    kept = counts.filter(step >= floor).toPandas()
-    out = {}
-    for lang, part in kept.groupby("lang"):
-        k = part["gram"].to_numpy().view(np.uint64)
-        order = np.argsort(k)
-        out[lang] = (k[order], part["n"].to_numpy()[order])
-    return out
-
-
 def _context_sums(keys: np.ndarray, values: np.ndarray):
     """Contexts (all but the last character) in order, sums and numbers of their keys,
     and each key's place among them."""
