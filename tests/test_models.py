@@ -72,6 +72,57 @@ def test_patience_finds_the_least_error(spark):
     assert tree_counts(fit(df.limit(3), params | {"maxIter": 4}, patience=3)) <= 4
 
 
+def _looks(errors, first, most, patience):
+    """The count by a fit of its own for every doubling."""
+    trees = first
+    while True:
+        best = errors.index(min(errors[:trees])) + 1
+        if best + patience <= trees or trees == most:
+            return best
+        trees = min(2 * trees, most)
+
+
+def test_fewer_tries_choose_the_same_count(monkeypatch):
+    """Errors that go on falling: tries of 10, 40, 160 and 500 trees, the count unchanged."""
+    from wattsmith.plans import training
+    from types import SimpleNamespace
+
+    for errors in ([1 / (i + 1) for i in range(500)], *[
+            [abs(i - n) + (i * 7 % 5) / 10 for i in range(500)] for n in (0, 4, 5, 8, 14, 17, 36, 77, 155, 316, 494, 499)]):
+        grown = []
+
+        class Booster:
+            maxIter = "maxIter"
+
+            def __init__(self, n=500):
+                self.n = n
+
+            def getMaxIter(self):
+                return self.n
+
+            def copy(self, extra):
+                return Booster(extra["maxIter"])
+
+            def fit(self, rows):
+                grown.append(self.n)
+                return self
+
+            def evaluateEachIteration(self, rows, loss):
+                return errors[:self.n]
+
+        rows = SimpleNamespace(filter=lambda c: rows, isEmpty=lambda: False)
+        monkeypatch.setattr(training, "with_late_block", lambda df, flag: rows)
+        n = training.tree_count(Booster(), SimpleNamespace(transform=lambda r: r), rows, 5)
+        assert n == _looks(errors, 10, 500, 5)
+        assert grown == [10, 40, 160, 500][:len(grown)]
+
+
+def test_deep_trees_keep_no_node_ids(spark):
+    from wattsmith.plans.training import build_pipeline
+    deep = build_pipeline(_signal(spark, 5), PROFILES["xgboost"]).getStages()[-1]
+    assert not deep.getCacheNodeIds() and deep.getMaxIter() == 500
+
+
 def Pipeline_of(model):
     from pyspark.ml import PipelineModel
     return PipelineModel(model.stages[:-1])
